@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veedor.llm import chat_format, exact_dedup, mixing, sharding
+from veedor.llm import chat_format, exact_dedup, jaccard_join, mixing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op5_sharding, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_jaccard_join, op5_sharding, op7_mixing)}
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
