@@ -31,14 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veedor.llm.kernel import mix, shingle_set, split_words
-from veedor.llm.storage import attach_groups, cut, shuffle_width
+from veedor.llm.storage import attach_groups, cut, keep_possible, shuffle_width
 
 #: Shingle length in words.
 SHINGLE = 5
 #: Cells of the table of shingle counts, a power of two (4 bytes each), and the rows it travels in.
 CELLS, SLICES = 1 << 18, 16
-#: Bits of the filter that picks the documents whose sets are needed; fixed, as it is broadcast.
-NEEDED_BITS = 1 << 25
 #: Sketch words buffered in a task before they are sent.
 FLUSH = 1_000_000
 #: Sketch words that one task of the candidate search sorts, about.
@@ -292,13 +290,7 @@ class _Verifier:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.holders, "node")
-        cell = (F.pmod(F.xxhash64("holder"), F.lit(NEEDED_BITS)) + 1).alias("cell")
-        pages = needed.select(cell).groupBy(F.bitmap_bucket_number("cell").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap"))
-        docs = self.docs.select("text", (F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_BITS)) + 1).alias("cell"))
-        # At most NEEDED_BITS / 8 bytes are broadcast.
-        docs = docs.join(F.broadcast(pages), F.bitmap_bucket_number("cell") == F.col("page"))
-        at = "cast((cell - 1) % 32768 AS int)"
-        docs = docs.filter(f"(cast(conv(hex(substring(bitmap, {at} div 8 + 1, 1)), 16, 10) AS int) & shiftleft(1, {at} % 8)) != 0")
+        docs = keep_possible(self.docs.withColumnRenamed("doc_id", "holder"), needed.select("holder"), "holder")
         sets = cut(docs.select("text").mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"]))
         left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_test, "a long, b long")

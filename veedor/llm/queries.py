@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veedor.llm import chat_format, exact_dedup, jaccard_join, mixing, sharding
+from veedor.llm import chat_format, exact_dedup, jaccard_join, mixing, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_jaccard_join, op5_sharding, op7_mixing)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_jaccard_join, op5_sharding, op7_mixing, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)

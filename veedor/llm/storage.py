@@ -38,3 +38,21 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     met = rows.join(hot, key, "left")
     cold = met.filter(F.col("_hot").isNull()).select(*rows.columns).join(groups.filter(F.col(size) < line), key)
     return met.filter("_hot").drop("_hot").unionByName(cold)
+
+
+#: Bits of the filter that picks rows which may be needed; fixed, so at most 4 MiB are broadcast.
+NEEDED_BITS = 1 << 25
+
+
+def keep_possible(rows: DataFrame, needed: DataFrame, key: str) -> DataFrame:
+    """Drop most ``rows`` whose ``key`` is not in ``needed``, without moving any.
+
+    A Bloom filter of one fixed-size bit array: a row that is needed always stays, some others stay
+    too, and a full array lets all pass. The join that follows decides.
+    """
+    cell = F.pmod(F.xxhash64(key), F.lit(NEEDED_BITS)) + 1
+    pages = needed.select(cell.alias("_cell")).groupBy(F.bitmap_bucket_number("_cell").alias("_page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_cell")).alias("_bits"))
+    met = rows.withColumn("_cell", cell).join(F.broadcast(pages), F.bitmap_bucket_number("_cell") == F.col("_page"))
+    at = "cast((_cell - 1) % 32768 AS int)"
+    is_set = f"(cast(conv(hex(substring(_bits, {at} div 8 + 1, 1)), 16, 10) AS int) & shiftleft(1, {at} % 8)) != 0"
+    return met.filter(is_set).select(*rows.columns)
