@@ -23,6 +23,8 @@ _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII bytes that are neither letters nor digits.
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -78,10 +80,14 @@ def blocks(texts: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
         i = j
 
 
-def split_words(texts: pa.Array, fold: bool = False) -> Iterator[Words]:
-    """The words of every document, block by block; ``fold`` hashes A-Z as a-z."""
+def split_words(texts: pa.Array, fold: bool = False, parts: np.ndarray | None = None) -> Iterator[Words]:
+    """The words of every document, block by block; ``fold`` hashes A-Z as a-z.
+
+    ``parts`` marks the byte values that part words, instead of white space.
+    """
+    parts = _SPACE if parts is None else parts
     for rows, data, at in blocks(texts):
-        solid = ~_SPACE[data]
+        solid = ~parts[data]
         begin, end = solid.copy(), solid.copy()
         begin[1:] &= ~solid[:-1]
         end[:-1] &= ~solid[1:]

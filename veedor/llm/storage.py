@@ -56,3 +56,20 @@ def keep_possible(rows: DataFrame, needed: DataFrame, key: str) -> DataFrame:
     at = "cast((_cell - 1) % 32768 AS int)"
     is_set = f"(cast(conv(hex(substring(_bits, {at} div 8 + 1, 1)), 16, 10) AS int) & shiftleft(1, {at} % 8)) != 0"
     return met.filter(is_set).select(*rows.columns)
+
+
+def labelled_sample(labels: DataFrame, label: str, buckets: int) -> DataFrame:
+    """A bounded sample of ``doc_id, label``: for each label at most ``buckets`` rows.
+
+    Rows are dealt to buckets by a hash of doc_id and each bucket gives its row of the smallest
+    second hash, so labels weigh the same, reruns agree, and partial aggregation does the work.
+    """
+    keyed = labels.select("doc_id", F.col(label).alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
+    bucket = F.pmod(F.xxhash64(F.lit("bucket"), "doc_id"), F.lit(buckets)).alias("bucket")
+    picked = keyed.groupBy("label", bucket).agg(F.min_by("doc_id", F.xxhash64(F.lit("pick"), "doc_id")).alias("doc_id"))
+    return picked.select("doc_id", "label")
+
+
+def fold_of(folds: int):
+    """The fold of a row: CRC-32 of its doc_id as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
