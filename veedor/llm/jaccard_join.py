@@ -328,3 +328,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = cut(named.join(least, "comp").select("node", "copies", "component_id"))
     linked = attach_groups(rows.filter("n > 0"), named, "node", "copies", total).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.union(rows.filter("n = 0").select("doc_id", "n", "doc_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their component, with all their columns.
+
+    A document is its doc_id here: rows that repeat it stay or go together.
+    """
+    stay = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")

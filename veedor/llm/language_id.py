@@ -1,6 +1,6 @@
 """Language identification by nearest centroid, with rejection by distance.
 
-A text is a vector of hashed byte trigrams, weighted by TF-IDF and of length 1. Each language has
+A text is a vector of hashed byte trigrams of its letters, all else being one space, weighted by TF-IDF and of length 1. Each language has
 several centroids, found by spherical k-means among its own sample texts. The language of the nearest
 centroid by cosine is predicted; a text farther from it than nearly all sample texts of that language
 are is rejected.
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veedor.llm.kernel import blocks
 from veedor.llm.storage import fold_of, labelled_sample
@@ -31,14 +32,13 @@ SAMPLE, CELLS = 512, 4096
 #: Centroids per language, and rounds of k-means.
 CENTROIDS, ROUNDS = 4, 8
 #: A text is rejected below this part of the cosine that all but this share of sample texts reach.
-SLACK, TAIL = 0.5, 0.005
+SLACK, TAIL = 0.3, 0.005
 
 
 def _fold_table() -> np.ndarray:
     table = np.arange(256, dtype=np.uint32)
     table[65:91] += 32
-    for b in (9, 10, 11, 12, 13):
-        table[b] = 32
+    table[:128][[not chr(b).isalpha() for b in range(128)]] = 32
     return table
 
 
@@ -49,6 +49,9 @@ def _counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         d = fold[data]
         upper = np.flatnonzero((d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] <= 0x9E)) + 1
         d[upper] += 32
+        kept = np.ones(len(d), bool)
+        kept[1:] = (d[1:] != 32) | (d[:-1] != 32)
+        d, at = d[kept], np.append(0, np.cumsum(kept))[at]
         cell = (d[:-2] * np.uint32(0x9E3779B1) + d[1:-1] * np.uint32(0x85EBCA6B) + d[2:] * np.uint32(0xC2B2AE35)) if len(d) > 2 else d[:0]
         cell = ((cell ^ (cell >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(20)
         for row, a, b in zip(rows, at[:-1], at[1:], strict=True):
@@ -149,19 +152,31 @@ def _predictor(model: Model | None):
                     held = []
             if held:
                 settle(held)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang), pa.array(score), pa.array(out)], [*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang), pa.array(score), pa.array(out)], [*batch.schema.names[:-1], *_FOUND])
 
     return predict
 
 
+#: What a prediction adds, under names that columns of documents will not have.
+_FOUND = ("_lang_pred", "_score", "_rejected")
+
+
 def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
-    """Columns ``carry`` of every row, with ``lang_pred, score, rejected``."""
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(_predictor(model), f"{schema}, lang_pred string, score double, rejected boolean")
+    """Columns ``carry`` of every row, with ``_lang_pred, _score, _rejected``."""
+    schema = T.StructType([docs.schema[c] for c in carry])
+    for name, kind in zip(_FOUND, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True):
+        schema = schema.add(name, kind)
+    return docs.select(*(F.col(f"`{c}`") for c in carry), F.col("text").alias("_text")).mapInArrow(_predictor(model), schema)
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows that are not rejected, with all their columns; the model is fitted on ``docs``."""
+    found = identify(docs, fit(docs), docs.columns)
+    return found.filter(~F.col("_rejected")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def identify_languages(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     """Predict every row, learning only outside the held-out fold: ``doc_id, held_out, lang_pred, score, rejected``."""
     model = fit(docs.filter(fold_of(folds) != held))
     found = identify(docs.select("doc_id", "text"), model, ["doc_id"])
-    return found.select("doc_id", (F.coalesce(fold_of(folds) == held, F.lit(False))).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", (F.coalesce(fold_of(folds) == held, F.lit(False))).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))

@@ -9,7 +9,7 @@ functions only.
 
 Defined results: a null source is a source of its own, after all others; a null or blank text has
 size 0 and is never taken; repeated rows count each by itself; an empty table gives no row; further
-columns are carried through :func:`mix_rows`.
+columns are carried through :func:`mix_rows`, and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -63,14 +63,17 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def mix_rows(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The rows that the mix takes any word of, with all columns, plus ``taken``; whole rows stay.
+    """The mix as whole rows of ``docs``: each comes as often as its words are taken, on average.
 
-    Rows with the same doc_id and text are one document here and share one decision.
+    A row whose words are taken 1.4 times in all comes once or twice, by a draw from its own hash,
+    so sources keep their targets. Rows with the same doc_id and text share one decision.
     """
-    keyed = docs.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    taken = _taken(cut(keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "draw")), seed)
-    taken = taken.groupBy("draw").agg(F.sum("taken").alias("taken")).filter("taken > 0")
-    return keyed.join(taken, "draw").drop("draw")
+    keyed = docs.withColumn("_draw", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    rows = keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.col("_draw").alias("draw"))
+    taken = _taken(cut(rows), seed).groupBy("draw").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    chance = F.pmod(F.xxhash64(F.lit("times"), "draw"), F.lit(1 << 20)) / F.lit(1 << 20)
+    times = taken.select(F.col("draw").alias("_draw"), F.floor(F.col("taken") / F.col("size") + chance).cast("int").alias("_times")).filter("_times > 0")
+    return keyed.join(times, "_draw").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
 def _taken(rows: DataFrame, seed: int) -> DataFrame:

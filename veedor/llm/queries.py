@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veedor.llm import chat_format, exact_dedup, jaccard_join, language_id, mixing, sharding, substring_dedup, token_count, toxicity
+from veedor.llm import chat_format, decontamination, exact_dedup, jaccard_join, language_id, mixing, sharding, substring_dedup, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -57,10 +61,18 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_exact_dedup, op3_jaccard_join, op4_toxicity, op5_sharding,
-        op7_mixing, op8_token_counts, op9_language_id, op10_substring_dedup,
+        op6_decontamination, op7_mixing, op8_token_counts, op9_language_id, op10_substring_dedup,
     )
 }
 ORACLES: dict[str, str] = {
+    "op6_decontamination": r"""
+WITH w AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+t AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM w),
+s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i+4], ' '))) AS shingle
+      FROM t WHERE len(w) > 0),
+i AS (SELECT id AS item_id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM s WHERE kind = 'i')
+SELECT d.id AS doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+FROM s d JOIN i USING (shingle) WHERE d.kind = 'd' GROUP BY d.id, item_id, n_item HAVING count(*) >= 0.75 * n_item""",
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -48,6 +48,30 @@ def least_loaded(items: list[tuple[int, str]], shards: int) -> dict[str, int]:
     return placed
 
 
+def schedule(rows: DataFrame, shards: int) -> DataFrame:
+    """The shard of each item, ``item, shard``: large groups by key and bundles of all others.
+
+    ``rows`` has ``size, group_key``.
+    """
+    spark = rows.sparkSession
+    groups = cut(rows.groupBy("group_key").agg(F.sum("size").alias("load")))
+    total = groups.agg(F.coalesce(F.sum("load"), F.lit(0))).first()[0]
+    line = max(1, int(total / shards * LARGE))
+    item = F.when(F.col("load") >= line, F.col("group_key")).otherwise(F.concat(F.lit("bundle "), _bundle()))
+    # At most shards / LARGE large groups and BUNDLES bundles reach the driver.
+    loads = groups.groupBy(item.alias("item")).agg(F.sum("load").alias("load")).collect()
+    placed = least_loaded([(r["load"], r["item"]) for r in loads], shards)
+    return spark.createDataFrame([*placed.items()] or [("", 0)], "item string, shard int")
+
+
+def _place(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Add ``shard`` to rows that have ``group_key``, by two broadcasts of the bounded plan."""
+    large = F.broadcast(plan.filter(~F.col("item").startswith("bundle ")).select(F.col("item").alias("group_key"), F.col("shard").alias("_own")))
+    bundles = F.broadcast(plan.select(F.col("item").alias("_item"), F.col("shard").alias("_bundled")))
+    met = rows.join(large, "group_key", "left").withColumn("_item", F.when(F.col("_own").isNull(), F.concat(F.lit("bundle "), _bundle())))
+    return met.join(bundles, "_item", "left").withColumn("shard", F.coalesce("_own", "_bundled")).drop("_item", "_own", "_bundled")
+
+
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every row."""
     text = F.col("text")
@@ -56,23 +80,20 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
         F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("group_key"),
     )
     rows = cut(rows)
-    spark = docs.sparkSession
-    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    groups = rows.groupBy("group_key").agg(F.sum("size").alias("load"))
-    line = max(1, int(total / shards * LARGE))
-    groups = cut(groups.withColumn("item", F.when(F.col("load") >= line, F.col("group_key")).otherwise(F.concat(F.lit("bundle "), _bundle()))))
-    # At most shards / LARGE large groups and BUNDLES bundles reach the driver.
-    loads = groups.groupBy("item").agg(F.sum("load").alias("load")).collect()
-    placed = least_loaded([(r["load"], r["item"]) for r in loads], shards)
-    plan = F.broadcast(spark.createDataFrame([*placed.items()] or [("", 0)], "item string, shard int"))
-    large = F.broadcast(plan.filter(~F.col("item").startswith("bundle ")).select(F.col("item").alias("group_key"), F.col("shard").alias("own")))
-    dealt = rows.join(large, "group_key", "left").withColumn("item", F.when(F.col("own").isNull(), F.concat(F.lit("bundle "), _bundle())))
-    dealt = dealt.join(plan, "item", "left").withColumn("shard", F.coalesce("own", "shard"))
+    dealt = _place(rows, schedule(rows, shards))
+    count = rows.count()
     return _with_slots(dealt, count).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
+def sharded_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
+    """All columns of ``docs`` with ``shard``; rows of equal text share one."""
+    digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null"))
+    plan = schedule(docs.select((F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), digest.alias("group_key")), shards)
+    return _place(docs.withColumn("group_key", digest), plan).drop("group_key")
+
+
 def _with_slots(dealt: DataFrame, count: int) -> DataFrame:
     """Number the rows of each shard from 0 without gaps, block by block of hashed rows."""
     blocks = max(1, count // SLOT_BLOCK + 1)
