@@ -180,7 +180,9 @@ def validate_records(records: DataFrame, contract: Contract, settings: Settings
 
 def code_counts(validated: DataFrame, column: str) -> DataFrame:
     """How often each code occurs: ``code, n``."""
-    return validated.select(F.explode(column).alias("m")).groupBy(F.col("m.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    # explode_outer, since a plain explode would have the messages made once more for its filter.
+    codes = validated.select(F.explode_outer(F.transform(column, lambda m: m.code)).alias("code")).filter("code IS NOT NULL")
+    return codes.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def batch_report(validated: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008

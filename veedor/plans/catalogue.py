@@ -1,6 +1,518 @@
-"""Registered queries of the catalogue engine and the SQL that checks them."""
+"""Registered queries of the catalogue engine and the SQL that checks them.
+
+Each query runs an operator over whole tables. The tables at hand are no catalogue, so records are
+made of their columns; the SQL that makes them is shared with the oracle, what is checked is not.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veedor.functions import numbers, text
+from veedor.operators import batch, integrity, load, mapping, resolve, semantic, structural
+from veedor.sources import pages, records, urls
+from veedor.sources.contract import version_contract
+from veedor.streaming import state
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def registered(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its name, with the SQL that gives the same rows."""
+
+    def keep(query: Query) -> Query:
+        QUERIES[query.__name__] = query
+        if sql is not None:
+            ORACLES[query.__name__] = sql
+        return query
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def from_sql(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    """Run SQL over tables of ``sf_dir``, given as keyword views."""
+    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+
+
+#: Catalogue records out of the parts table: dirty spellings, gaps, zeros and incoherent figures.
+VERSIONS = """
+SELECT p_partkey AS record_idx, p_brand AS manufacturer_name, p_type AS model_name,
+  CASE WHEN p_size % 7 = 0 THEN NULL ELSE concat('Gen  ', CAST(p_size % 4 AS STRING)) END AS generation_name, p_name AS version_name,
+  CASE p_partkey % 7 WHEN 0 THEN 'Gasolina' WHEN 1 THEN ' diesel ' WHEN 2 THEN 'Marciano' WHEN 3 THEN 'EV' WHEN 4 THEN 'glp' WHEN 5 THEN 'Plug-in  Hybrid' END AS fuel_type,
+  CASE p_partkey % 5 WHEN 0 THEN 'MT' WHEN 1 THEN 'at' WHEN 2 THEN 'Manual' WHEN 3 THEN '???' END AS gearbox_type,
+  CASE p_partkey % 4 WHEN 0 THEN 'Berlina' WHEN 1 THEN 'SUV' WHEN 2 THEN ' Small  Hatchback' ELSE 'Landaulet & Co' END AS body_type,
+  CASE p_partkey % 3 WHEN 0 THEN 'FWD' WHEN 1 THEN '4x4' END AS drive_type,
+  CASE p_partkey % 4 WHEN 0 THEN '5' WHEN 1 THEN ' 3-5 ' WHEN 2 THEN '0' END AS doors,
+  CAST(p_size * 4 AS BIGINT) AS power_cv, CAST(p_size * 4 + p_partkey % 9 AS BIGINT) AS max_power_cv, CAST(p_size % 14 AS BIGINT) AS gear_count,
+  p_size / 10.0E0 AS engine_displacement_l, CAST(p_size * 100 + (p_partkey % 5) * 60 AS BIGINT) AS engine_displacement_cc, CAST(p_partkey % 5 AS BIGINT) AS cylinders,
+  p_size * 25.0E0 AS unitary_displacement_cc, CAST(p_size * 320 AS BIGINT) AS max_power_rpm, CASE WHEN p_partkey % 2 = 0 THEN p_size * 9.0E0 END AS max_torque_nm,
+  CASE WHEN p_partkey % 3 > 0 THEN CAST(p_size * 40 AS BIGINT) END AS max_torque_rpm, p_size * 10.0E0 AS top_speed_kmh, p_size * 6.0E0 AS top_speed_mph,
+  CAST(p_partkey % 14 AS BIGINT) AS seats, p_size * 10.0E0 AS boot_capacity_min_l, CAST(p_partkey % 600 AS DOUBLE) AS boot_capacity_max_l
+FROM {part}"""
+_V = VERSIONS.replace("{part}", "part")
+FIELDS = [
+    "manufacturer_name", "model_name", "generation_name", "version_name", "fuel_type", "gearbox_type", "body_type", "drive_type", "doors", "power_cv", "max_power_cv", "gear_count",
+    "engine_displacement_l", "engine_displacement_cc", "cylinders", "unitary_displacement_cc", "max_power_rpm", "max_torque_nm", "max_torque_rpm", "top_speed_kmh", "top_speed_mph",
+    "seats", "boot_capacity_min_l", "boot_capacity_max_l",
+]
+
+
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = from_sql(spark, sf_dir, VERSIONS, "part")
+    return records.parse_records(records.records_of(rows, FIELDS, F.col("record_idx")))
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.enrich(versions(spark, sf_dir))
+
+
+_NORM = lambda c: f"upper(trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g')))"
+_KEYED = f"""WITH v AS ({_V}), k AS (SELECT *, {_NORM("manufacturer_name")} || '|' || {_NORM("model_name")} || '|' || {_NORM("generation_name")} AS generation_key FROM v),
+r AS (SELECT *, generation_key || '|' || {_NORM("version_name")} AS semantic_key FROM k)"""
+_PRESENT = " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for f in FIELDS)
+
+# ---------------------------------------------------------------- batch validation
+
+
+@registered(f"{_KEYED} SELECT semantic_key, min(record_idx) AS first_idx, count(*) AS n, count(DISTINCT ({', '.join(FIELDS)})) AS payloads FROM r GROUP BY semantic_key")
+def semantic_key_groups(spark, sf_dir):
+    return batch.key_groups(enriched(spark, sf_dir))
+
+
+@registered(f"""{_KEYED} SELECT semantic_key, generation_key, CASE WHEN count(DISTINCT ({', '.join(FIELDS)})) = 1 THEN 'duplicate_exact' ELSE 'duplicate_semantic' END AS code,
+  count(*) AS n, min(record_idx) AS first_idx, 'Se detectaron ' || count(*) || ' registros para la misma versión semántica.' AS message FROM r GROUP BY semantic_key, generation_key HAVING count(*) > 1""")
+def duplicate_kinds(spark, sf_dir):
+    rows = batch.detect_duplicates(enriched(spark, sf_dir))
+    return rows.select("semantic_key", "generation_key", "code", F.size("record_indexes").cast("long").alias("n"), "first_idx", "message")
+
+
+_CONFLICT = " UNION ALL ".join(
+    f"SELECT semantic_key, record_idx, {k} AS pos, '{f}' AS field, " + (f"{_NORM(f)}" if f in ("fuel_type", "gearbox_type", "drive_type") else f"CAST(CAST({f} AS DOUBLE) AS STRING)") + f" AS value FROM r WHERE {f} IS NOT NULL"
+    for k, f in enumerate(batch.CONFLICTING)
+)
+
+
+@registered(f"""{_KEYED}, u AS ({_CONFLICT}) SELECT semantic_key, field, count(DISTINCT value) AS n_values, count(*) AS n_records, min(record_idx) AS first_record FROM u
+GROUP BY semantic_key, field HAVING count(DISTINCT value) > 1""")
+def group_conflicts(spark, sf_dir):
+    rows = batch.detect_group_conflicts(enriched(spark, sf_dir))
+    n = F.size(F.map_keys(F.from_json("details", "struct<values:map<string,array<bigint>>>").getField("values")))
+    return rows.select("semantic_key", F.col("fields")[0].alias("field"), n.cast("long").alias("n_values"), F.size("record_indexes").cast("long").alias("n_records"), F.col("record_indexes")[0].alias("first_record"))
+
+
+@registered(f"""{_KEYED} SELECT record_idx, semantic_key, code FROM (
+  SELECT record_idx, semantic_key, 'conflict_displacement_l_vs_cc' AS code FROM r WHERE abs(engine_displacement_cc - engine_displacement_l * 1000) > 150
+  UNION ALL SELECT record_idx, semantic_key, 'conflict_power_vs_max_power' FROM r WHERE abs(power_cv - max_power_cv) > 5)""")
+def record_conflicts(spark, sf_dir):
+    return batch.detect_record_conflicts(enriched(spark, sf_dir)).select(F.col("first_idx").alias("record_idx"), "semantic_key", "code")
+
+
+_OUT = " UNION ALL ".join(f"SELECT record_idx, '{f}' AS field, CAST({f} AS DOUBLE) AS value, 'outlier_value' AS code FROM r WHERE {f} < {lo} OR {f} > {hi}" for f, (lo, hi) in batch.RANGES.items() if f in FIELDS)
+
+
+@registered(f"{_KEYED} {_OUT} UNION ALL SELECT record_idx, 'boot_capacity_min_l', boot_capacity_min_l, 'outlier_boot_range' FROM r WHERE boot_capacity_max_l < boot_capacity_min_l")
+def range_outliers(spark, sf_dir):
+    rows = batch.detect_outliers(enriched(spark, sf_dir))
+    value = F.coalesce(F.get_json_object("details", "$.value"), F.get_json_object("details", "$.boot_capacity_min_l")).cast("double")
+    return rows.select(F.col("first_idx").alias("record_idx"), F.col("fields")[0].alias("field"), value.alias("value"), "code")
+
+
+_GENERATIONS = f"""{_KEYED}, c AS (SELECT generation_key, semantic_key, count(*) AS n, sum(CAST({_PRESENT} AS DOUBLE) / {len(FIELDS)}) AS c FROM r GROUP BY 1, 2),
+g AS (SELECT generation_key, sum(n) AS records, count(*) AS unique_versions, count(*) FILTER (WHERE n > 1) AS duplicate_groups, sum(c) / sum(n) AS completeness FROM c GROUP BY 1)"""
+
+
+@registered(f"{_GENERATIONS} SELECT generation_key, CAST(records AS BIGINT) AS records, unique_versions, duplicate_groups, CAST(floor(completeness * 1000 + 0.25) AS BIGINT) AS avg_completeness_permille FROM g")
+def generation_summary(spark, sf_dir):
+    rows = batch.generation_summary(enriched(spark, sf_dir))
+    return rows.select("generation_key", "records", "unique_versions", "duplicate_groups", F.floor(F.col("completeness") * 1000 + 0.25).alias("avg_completeness_permille"))
+
+
+@registered(f"""{_GENERATIONS} SELECT generation_key, 'generation_low_coverage' AS code, CAST(records AS BIGINT) AS n FROM g WHERE unique_versions < 12
+UNION ALL SELECT generation_key, 'generation_low_completeness', CAST(records AS BIGINT) FROM g WHERE completeness < 0.9""")
+def generation_issues(spark, sf_dir):
+    rows = batch.detect_generation_issues(enriched(spark, sf_dir), batch.Settings(sparse_versions=12, low_completeness=0.9))
+    return rows.select("generation_key", "code", F.size("record_indexes").cast("long").alias("n"))
+
+
+@registered(f"""{_GENERATIONS}, u AS ({_CONFLICT}), e AS (SELECT semantic_key, field FROM u GROUP BY 1, 2 HAVING count(DISTINCT value) > 1),
+x AS (SELECT (SELECT count(*) FROM e) + count(*) FILTER (WHERE abs(engine_displacement_cc - engine_displacement_l * 1000) > 150) + count(*) FILTER (WHERE abs(power_cv - max_power_cv) > 5) AS conflicts FROM r),
+o AS ({_OUT} UNION ALL SELECT record_idx, 'x', 0, 'x' FROM r WHERE boot_capacity_max_l < boot_capacity_min_l)
+SELECT CAST(sum(records) AS BIGINT) AS total_records, CAST(sum(unique_versions) AS BIGINT) AS unique_versions, CAST(sum(duplicate_groups) AS BIGINT) AS duplicates, (SELECT conflicts FROM x) AS conflicts,
+  CAST(sum(duplicate_groups) + (SELECT count(*) FROM o) + count(*) FILTER (WHERE unique_versions < 2) + count(*) FILTER (WHERE completeness < 0.6) AS BIGINT) AS warnings, count(*) AS generations, (SELECT conflicts FROM x) = 0 AS is_valid_dataset FROM g""")
+def dataset_metrics(spark, sf_dir):
+    rows = enriched(spark, sf_dir)
+    return batch.dataset_metrics(rows, batch.detect_issues(rows)).drop("completeness_avg")
+
+
+# ---------------------------------------------------------------- semantic layer
+
+
+def _alias_sql(column: str, names: dict[str, str], keep: bool) -> str:
+    key = f"lower(trim(regexp_replace(regexp_replace(trim({column}), '[^\\p{{L}}\\p{{N}}_\\s\\-/().,+]', '', 'g'), '\\s+', ' ', 'g')))"
+    cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items())
+    return f"CASE {key} {cases} {f'ELSE {key}' if keep else ''} END"
+
+
+_NORMAL = f"""n AS (SELECT * REPLACE ({_alias_sql("fuel_type", semantic.FUEL, False)} AS fuel_type, {_alias_sql("gearbox_type", semantic.GEARBOX, False)} AS gearbox_type,
+  {_alias_sql("body_type", semantic.BODY, True)} AS body_type, {_alias_sql("drive_type", semantic.DRIVE, True)} AS drive_type, trim(doors) AS doors) FROM v)"""
+
+
+@registered(f"WITH v AS ({_V}), {_NORMAL} SELECT record_idx, fuel_type, gearbox_type, body_type, drive_type, doors FROM n")
+def enum_normalise(spark, sf_dir):
+    rows = semantic.validate_semantics(versions(spark, sf_dir))
+    return rows.select("record_idx", *[F.col(f"normalised.{n}.text").alias(n) for n in ("fuel_type", "gearbox_type", "body_type", "drive_type", "doors")])
+
+
+def _when(*pairs: tuple[str, str]) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{m}' END" for c, m in pairs) + "], lambda x: x IS NOT NULL)"
+
+
+_ERRORS = _when(*[(f"{f} IS NULL", f"{f}: campo crítico ausente o inválido") for f in semantic.CRITICAL])
+_G = "nullif(gear_count, 0)"
+_WARNINGS = _when(
+    ("engine_displacement_cc <= 0", "engine_displacement_cc: valor no positivo"), ("engine_displacement_l <= 0", "engine_displacement_l: valor no positivo"),
+    ("abs(engine_displacement_cc - engine_displacement_l * 1000) > greatest(80.0, engine_displacement_l * 1000 * 0.05)", "cilindrada incoherente entre cc y l"),
+    ("cylinders <> 0 AND abs(unitary_displacement_cc - engine_displacement_l * 1000 / nullif(cylinders, 0)) > greatest(25.0, engine_displacement_l * 1000 / nullif(cylinders, 0) * 0.08)", "unitary_displacement_cc incoherente con cilindrada y cilindros"),
+    ("max_power_rpm <= 0", "max_power_rpm: valor no positivo"), ("max_power_rpm > 0 AND max_power_rpm < 500", "max_power_rpm: sospechosamente bajo"), ("max_power_rpm > 15000", "max_power_rpm: sospechosamente alto"),
+    ("max_torque_nm IS NOT NULL AND max_torque_rpm IS NULL", "max_torque_nm presente sin max_torque_rpm"), ("max_torque_rpm IS NOT NULL AND max_torque_nm IS NULL", "max_torque_rpm presente sin max_torque_nm"),
+    ("max_torque_rpm < 250", "max_torque_rpm: sospechosamente bajo"), ("power_cv <= 0", "power_cv: valor no positivo"), ("max_power_cv <= 0", "max_power_cv: valor no positivo"),
+    ("abs(power_cv - max_power_cv) > greatest(3.0, max_power_cv * 0.03)", "power_cv incoherente con max_power_cv"), ("top_speed_kmh <= 0", "top_speed_kmh: valor no positivo"),
+    ("top_speed_kmh > 0 AND top_speed_kmh < 40", "top_speed_kmh: sospechosamente bajo"), ("top_speed_kmh > 450", "top_speed_kmh: sospechosamente alto"),
+    ("abs(top_speed_mph - top_speed_kmh * 0.621371) > greatest(3.0, top_speed_kmh * 0.621371 * 0.05)", "top_speed_mph incoherente con top_speed_kmh"),
+    (f"{_G} IS NOT NULL AND gearbox_type IS NULL", "gear_count presente sin gearbox_type"), (f"gearbox_type IS NOT NULL AND {_G} IS NULL", "gearbox_type presente sin gear_count"),
+    (f"{_G} <= 0 OR {_G} > 12", "gear_count: valor fuera de rango razonable"), ("doors = '0'", "doors: valor no positivo"), ("seats <= 0", "seats: valor no positivo"), ("seats > 12", "seats: sospechosamente alto"),
+    ("boot_capacity_min_l <= 0", "boot_capacity_min_l: valor no positivo o absurdo"), ("boot_capacity_min_l > 0 AND boot_capacity_min_l < 20", "boot_capacity_min_l: sospechosamente bajo"),
+    ("boot_capacity_max_l <= 0", "boot_capacity_max_l: valor no positivo o absurdo"), ("boot_capacity_max_l > 0 AND boot_capacity_max_l < 20", "boot_capacity_max_l: sospechosamente bajo"),
+    ("boot_capacity_min_l > boot_capacity_max_l", "maletero incoherente: min_l > max_l"),
+)
+
+
+@registered(f"WITH v AS ({_V}), {_NORMAL} SELECT record_idx, array_to_string({_ERRORS}, ';') AS errors, array_to_string({_WARNINGS}, ';') AS warnings, len({_ERRORS}) = 0 AS is_valid FROM n")
+def semantic_validation(spark, sf_dir):
+    rows = semantic.validate_semantics(versions(spark, sf_dir))
+    return rows.select("record_idx", F.array_join("semantic_errors", ";").alias("errors"), F.array_join("semantic_warnings", ";").alias("warnings"), F.col("semantic_valid").alias("is_valid"))
+
+
+_HAS = lambda names: " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for f in names if f in FIELDS)
+
+
+@registered(f"""WITH v AS ({_V}), {_NORMAL} SELECT record_idx, {len(FIELDS)} AS total_fields, {_PRESENT} AS present_fields, {len(FIELDS)} - ({_PRESENT}) AS missing_fields,
+  {_HAS(semantic.CRITICAL)} AS critical_fields_ok, {_HAS(semantic.RELEVANT)} AS relevant_fields_ok, {_HAS(semantic.INFORMATIVE)} AS informative_fields_ok, CAST(len({_WARNINGS}) AS INTEGER) AS warning_count FROM n""")
+def completeness_metrics(spark, sf_dir):
+    rows = semantic.validate_semantics(versions(spark, sf_dir))
+    return rows.select("record_idx", *[f"semantic_metrics.{n}" for n in ("total_fields", "present_fields", "missing_fields", "critical_fields_ok", "relevant_fields_ok", "informative_fields_ok", "warning_count")])
+
+
+# ---------------------------------------------------------------- structural gate
+
+#: Raw JSON records of the customer table with every kind of fault.
+RAW = """
+SELECT c_custkey AS record_idx, CASE WHEN c_custkey % 97 = 0 THEN '[1]' ELSE concat('{{"version_id": "v', CAST(c_custkey AS STRING), '", "manufacturer_id": ',
+  CASE WHEN c_custkey % 11 = 0 THEN 'null' ELSE '"m"' END, ', "model_id": "o", "generation_id": "g", "source": ', CASE WHEN c_custkey % 13 = 0 THEN '"  "' ELSE '"s"' END,
+  CASE WHEN c_custkey % 17 = 0 THEN '' ELSE ', "source_version_url": "u"' END, ', "manufacturer_name": "', c_name, '", "model_name": "', c_mktsegment, '", "generation_name": "x", "version_name": ',
+  CASE WHEN c_custkey % 19 = 0 THEN '7' ELSE '"y"' END, ', "power_cv": ', CASE c_custkey % 7 WHEN 0 THEN '"95"' WHEN 1 THEN '95.0' WHEN 2 THEN 'true' ELSE '95' END,
+  ', "fuel_type": "diesel", "engine_displacement_cc": ', CASE WHEN c_custkey % 2 = 0 THEN 'null' ELSE '999' END, ', "scrape_date": ',
+  CASE c_custkey % 5 WHEN 0 THEN '"28/03/2026"' WHEN 1 THEN '"2026-3-8"' WHEN 2 THEN '"2026-02-30"' ELSE '"2026-03-28"' END, ', "scrape_timestamp": ',
+  CASE c_custkey % 4 WHEN 0 THEN '"ayer"' WHEN 1 THEN '"2026-03-28"' ELSE '"2026-03-28T10:15:00Z"' END, CASE WHEN c_custkey % 23 = 0 THEN ', "zeta": 1, "alfa": 2' ELSE '' END, '}}') END AS raw
+FROM {customer}"""
+_R = RAW.replace("{{", "{").replace("}}", "}").replace("{customer}", "customer")
+_K = "c_custkey"
+
+
+def _codes() -> str:
+    bad_date, bad_time = f"{_K} % 5 IN (0, 2)", f"{_K} % 4 = 0"
+    low = f"(CASE WHEN {_K} % 2 = 0 THEN 0 ELSE 1 END) < 1"
+    pairs = [
+        (f"{_K} % 23 = 0", "extra_keys"), (f"{_K} % 17 = 0", "missing_required_keys"), (f"{_K} % 11 = 0", "non_nullable_null"), (f"{_K} % 13 = 0", "empty_required_string"),
+        (f"{_K} % 17 = 0 OR {_K} % 11 = 0 OR {_K} % 13 = 0", "missing_minimum_fields"), (f"{_K} % 11 = 0", "non_nullable_null"), (f"{_K} % 19 = 0", "invalid_type"), (f"{_K} % 7 IN (0, 1, 2)", "invalid_type"),
+        (bad_date, "invalid_date"), (bad_time, "invalid_datetime"), (f"(CASE WHEN {_K} % 17 = 0 THEN 1 ELSE 0 END + CASE WHEN {_K} % 11 = 0 THEN 1 ELSE 0 END + CASE WHEN {_K} % 13 = 0 THEN 1 ELSE 0 END + CASE WHEN {_K} % 2 = 0 THEN 1 ELSE 0 END + 109) / 124.0 >= 0.9", "critical_null_density"),
+    ]
+    return f"CASE WHEN {_K} % 97 = 0 THEN ['record_not_dict'] ELSE {_when(*pairs)} END", low
+
+
+_ERR, _LOW = _codes()
+_WARN = f"CASE WHEN {_K} % 97 = 0 THEN [] ELSE list_concat(CASE WHEN list_contains({_ERR}, 'critical_null_density') THEN [] ELSE ['high_null_density'] END, CASE WHEN {_LOW} THEN ['low_technical_content'] ELSE [] END) END"
+_CRIT = "len(list_filter(e, lambda x: x IN ('record_not_dict', 'extra_keys', 'missing_required_keys', 'non_nullable_null', 'missing_minimum_fields'))) > 0"
+_GATE = f"WITH g AS (SELECT {_K} AS record_idx, {_ERR} AS e, {_WARN} AS w FROM customer)"
+
+
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records.parse_records(from_sql(spark, sf_dir, RAW, "customer"))
+    return structural.validate_records(rows, version_contract())
+
+
+@registered(f"""{_GATE} SELECT record_idx, array_to_string(e, ';') AS error_codes, array_to_string(w, ';') AS warning_codes, len(e) = 0 AS is_valid, {_CRIT} AS should_block,
+  len(list_filter(e, lambda x: x IN ('invalid_type', 'invalid_date', 'invalid_datetime', 'record_not_dict'))) = 0 AS types_valid FROM g""")
+def structural_gate(spark, sf_dir):
+    codes = lambda c: F.array_join(F.transform(c, lambda m: m.code), ";")
+    return gated(spark, sf_dir).select("record_idx", codes("errors").alias("error_codes"), codes("warnings").alias("warning_codes"), "is_valid", "flags.should_block", "flags.types_valid")
+
+
+@registered(f"{_GATE} SELECT code, count(*) AS n FROM (SELECT unnest(e) AS code FROM g) GROUP BY code")
+def error_summary(spark, sf_dir):
+    return structural.code_counts(gated(spark, sf_dir), "errors")
+
+
+@registered(f"""{_GATE}, t AS (SELECT count(*) AS total_records, count(*) FILTER (WHERE len(e) = 0) AS valid_records, count(*) FILTER (WHERE len(e) > 0) AS records_with_errors, count(*) FILTER (WHERE {_CRIT}) AS critical_records FROM g)
+SELECT *, 'high_error_rate;critical_error_rate;high_null_density_batch;critical_records_present' AS anomaly_flags FROM t""")
+def batch_report(spark, sf_dir):
+    rows = structural.batch_report(gated(spark, sf_dir))
+    return rows.select("total_records", "valid_records", "records_with_errors", "critical_records", F.array_join("anomaly_flags", ";").alias("anomaly_flags"))
+
+
+@registered(f"SELECT {_K} AS record_idx, CASE WHEN {_K} % 97 = 0 THEN 0 ELSE 14 - CASE WHEN {_K} % 17 = 0 THEN 1 ELSE 0 END + CASE WHEN {_K} % 23 = 0 THEN 2 ELSE 0 END + 1 END AS n_keys, CASE WHEN {_K} % 23 = 0 AND {_K} % 97 <> 0 THEN 'alfa,zeta' ELSE '' END AS extra FROM customer")
+def json_keys_extra(spark, sf_dir):
+    rows = records.parse_records(from_sql(spark, sf_dir, RAW, "customer"))
+    extra = F.array_sort(F.array_except("keys", F.array(*map(F.lit, version_contract().fields))))
+    return rows.select("record_idx", F.size("keys").alias("n_keys"), F.array_join(extra, ",").alias("extra"))
+
+
+# ---------------------------------------------------------------- scalar functions over whole texts
+
+_STRIP = "regexp_replace(regexp_replace({0}, '^[\\s]+', ''), '[\\s]+$', '')"
+
+
+def _documents(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", *[F.md5(c.cast("binary")).alias(n) for n, c in columns.items()])
+
+
+@registered(r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '[^\p{L}\p{N}_\s\-/().,+]', '', 'g'))) AS cleaned, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS spaced FROM documents""")
+def text_clean(spark, sf_dir):
+    return _documents(spark, sf_dir, cleaned=text.clean_identity("text"), spaced=text.normalize_space("text"))
+
+
+@registered(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM documents""")
+def slug_ascii(spark, sf_dir):
+    return _documents(spark, sf_dir, slug=text.slug_ascii("text"))
+
+
+@registered(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_\s-]', '', 'g'), '[\s_-]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM documents""")
+def slug_unicode(spark, sf_dir):
+    return _documents(spark, sf_dir, slug=text.slug_unicode("text"))
+
+
+@registered(r"""WITH c AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9áéíóúüñ]+', ' ', 'g')) AS c FROM documents) SELECT doc_id, md5(c) AS canon, md5(replace(c, ' ', '_')) AS id_slug FROM c""")
+def canon(spark, sf_dir):
+    return _documents(spark, sf_dir, canon=text.canon("text"), id_slug=text.id_slug("text"))
+
+
+@registered(r"""SELECT doc_id, CAST(regexp_extract(text, '\b((?:19|20)[0-9]{2})\b', 1) AS STRING) AS first_year,
+  try_cast(nullif(regexp_extract(replace(text, ',', '.'), '(-?[0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE) AS first_number FROM documents""")
+def document_numbers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    plain = F.regexp_extract("text", r"\b((?:19|20)[0-9]{2})\b", 1)
+    return docs.select("doc_id", plain.alias("first_year"), numbers.first_number("text").alias("first_number"))
+
+
+#: Figures written as catalogue pages write them, out of the parts table.
+FIGURES = """
+SELECT p_partkey, concat(CAST(p_size AS STRING), '.', CAST(100 + p_partkey % 900 AS STRING), ' kg') AS weight, concat('3-', CAST(p_size AS STRING)) AS doors,
+  concat(CAST(p_size AS STRING), ' CV @ 4.', CAST(100 + p_partkey % 900 AS STRING), ' RPM') AS power, concat(CAST(p_size AS STRING), ',5 Litro') AS litres, concat('1.', CAST(100 + p_partkey % 900 AS STRING), ' cc') AS cc,
+  concat('Coche (', CAST(1950 + p_size AS STRING), '-', CAST(1990 + p_size % 30 AS STRING), ') 12345') AS made, concat('2 (', CAST(p_size AS STRING), 'v Total)') AS valves,
+  concat('79,5 x ', CAST(p_size AS STRING), ',5 mm') AS bore, CASE p_partkey % 4 WHEN 0 THEN 'fwd' WHEN 1 THEN 'Tracción Trasera' WHEN 2 THEN 'AWD total' ELSE 'Otra' END AS drive,
+  CASE p_partkey % 3 WHEN 0 THEN concat('3.', CAST(100 + p_size AS STRING), ' mm') WHEN 1 THEN '1,75 m' ELSE CAST(p_size * 50 AS STRING) END AS length
+FROM {part}"""
+_F = FIGURES.replace("{part}", "part")
+_THREE = "(100 + p_partkey % 900)"
+
+
+@registered(f"""SELECT p_partkey, CAST(p_size * 1000 + {_THREE} AS DOUBLE) AS thousands, CAST(CAST(p_size AS STRING) || '.' || CAST({_THREE} AS STRING) AS DOUBLE) AS first_number, CAST(p_size * 1000 + {_THREE} AS BIGINT) AS kg,
+  CAST(p_size AS BIGINT) AS doors, CAST(4000 + {_THREE} AS BIGINT) AS rpm, CAST(p_size * 1000 + 500 AS BIGINT) AS cc_of_litres, CAST(1000 + {_THREE} AS BIGINT) AS cc, CAST(1950 + p_size AS BIGINT) AS first_year,
+  CAST(1990 + p_size % 30 AS BIGINT) AS last_year, CAST(CASE p_partkey % 3 WHEN 0 THEN 3100 + p_size WHEN 1 THEN 1750 ELSE CASE WHEN p_size * 50 < 20 THEN p_size * 50000 ELSE p_size * 50 END END AS BIGINT) AS mm FROM part""")
+def number_grammars(spark, sf_dir):
+    years = numbers.years("made")
+    return from_sql(spark, sf_dir, FIGURES, "part").select(
+        "p_partkey", numbers.number_thousands("weight").alias("thousands"), numbers.first_number("weight").alias("first_number"), numbers.kilograms("weight").alias("kg"), numbers.last_int("doors").alias("doors"),
+        numbers.rpm("power").alias("rpm"), numbers.cubic_centimetres("litres").alias("cc_of_litres"), numbers.cubic_centimetres("cc").alias("cc"), years.first.alias("first_year"), years.last.alias("last_year"), numbers.millimetres("length").alias("mm"),
+    )
+
+
+@registered(f"""SELECT p_partkey, CAST(p_size AS BIGINT) AS valves_total, CAST(2 AS BIGINT) AS valves_per_cylinder, CAST(79.5 AS DOUBLE) AS bore, p_size + 0.5E0 AS stroke, p_size + 0.5E0 AS displacement_l, CAST(1000 + {_THREE} AS BIGINT) AS displacement_cc,
+  CASE p_partkey % 4 WHEN 0 THEN 'FWD' WHEN 1 THEN 'RWD' WHEN 2 THEN 'AWD' ELSE 'Otra' END AS drive_code, CASE p_partkey % 4 WHEN 0 THEN 'Tracción Delantera' WHEN 1 THEN 'Tracción Trasera' WHEN 2 THEN 'AWD total' ELSE 'Otra' END AS drive_label FROM part""")
+def pair_parsers(spark, sf_dir):
+    v, b, m, d = numbers.valves("valves"), numbers.bore_stroke("bore"), numbers.displacement(F.array("litres", "cc")), numbers.drive_type(F.array("drive"))
+    return from_sql(spark, sf_dir, FIGURES, "part").select(
+        "p_partkey", v.total.alias("valves_total"), v.per_cylinder.alias("valves_per_cylinder"), b.bore.alias("bore"), b.stroke.alias("stroke"), m.l.alias("displacement_l"), m.cc.alias("displacement_cc"), d.code.alias("drive_code"), d.label.alias("drive_label"),
+    )
+
+
+@registered(r"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+)://', 1) AS s, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS a, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages)
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN s || '://' || a || '/x/y' WHEN 1 THEN replace(s || '://' || a || regexp_replace(p, '/[^/]*$', '') || '/rel', '//es', '/es') ELSE 'https://else.example/z' END AS link FROM p""")
+def normalize_links(spark, sf_dir):
+    href = F.when(F.col("page_id") % 3 == 0, "/x/y").when(F.col("page_id") % 3 == 1, "rel").otherwise("https://else.example/z")
+    return table(spark, sf_dir, "pages").select("page_id", text.normalize_url("url", href).alias("link"))
+
+
+# ---------------------------------------------------------------- resolution, load and integrity
+
+
+def _reference_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    makes = from_sql(spark, sf_dir, "SELECT concat('mk_', CAST(r_regionkey AS STRING)) AS manufacturer_id, r_name AS manufacturer_name, r_regionkey AS pos FROM {region}", "region")
+    models = from_sql(spark, sf_dir, "SELECT concat('md_', CAST(n_nationkey AS STRING)) AS model_id, concat('mk_', CAST(n_regionkey AS STRING)) AS manufacturer_id, n_name AS model_name, n_nationkey AS pos FROM {nation}", "nation")
+    generations = from_sql(spark, sf_dir, """SELECT concat('g_', CAST(n AS STRING), '_', lower(m)) AS generation_id, concat('md_', CAST(n AS STRING)) AS model_id, m AS generation_name, dense_rank() OVER (ORDER BY n, m) AS pos
+        FROM (SELECT DISTINCT c_nationkey AS n, c_mktsegment AS m FROM {customer} WHERE c_mktsegment <> 'MACHINERY')""", "customer")
+    return makes, models, generations
+
+
+@registered("""WITH t AS (SELECT c_custkey AS record_idx, c_custkey % 10 = 0 AS nomake, c_nationkey AS n, n_regionkey AS r, c_mktsegment AS m, lower(replace(c_name, '#', '_')) AS v FROM customer JOIN nation ON n_nationkey = c_nationkey),
+g AS (SELECT DISTINCT c_nationkey AS n, c_mktsegment AS m FROM customer WHERE c_mktsegment <> 'MACHINERY')
+SELECT record_idx, CASE WHEN NOT nomake THEN 'mk_' || r END AS manufacturer_id, CASE WHEN NOT nomake THEN 'md_' || t.n END AS model_id, CASE WHEN NOT nomake AND g.n IS NOT NULL THEN 'g_' || t.n || '_' || lower(t.m) END AS generation_id,
+  CASE WHEN NOT nomake AND g.n IS NOT NULL THEN 'g_' || t.n || '_' || lower(t.m) || '__' || v END AS version_id, CASE WHEN nomake THEN 'manufacturer' WHEN g.n IS NULL THEN 'generation' END AS unresolved
+FROM t LEFT JOIN g ON g.n = t.n AND g.m = t.m""")
+def id_resolution(spark, sf_dir):
+    rows = from_sql(spark, sf_dir, """SELECT c_custkey AS record_idx, CASE WHEN c_custkey % 10 = 0 THEN 'ATLANTIS' ELSE concat(' (', lower(r_name), ')') END AS manufacturer_name, concat(n_name, ' !') AS model_name, c_mktsegment AS generation_name, c_name AS version_name
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey JOIN {region} ON r_regionkey = n_regionkey""", "customer", "nation", "region")
+    out = resolve.resolve_ids(rows, *_reference_tables(spark, sf_dir))
+    return out.select("record_idx", "manufacturer_id", "model_id", "generation_id", "version_id", F.substring_index("resolution_error", " ", 1).alias("unresolved"))
+
+
+@registered("""WITH f AS (SELECT c_mktsegment AS segment, min(c_custkey) AS seen FROM customer GROUP BY 1), k AS (SELECT segment, 1 AS id FROM f WHERE segment = 'BUILDING' UNION ALL
+  SELECT segment, 1 + row_number() OVER (ORDER BY seen) FROM f WHERE segment <> 'BUILDING') SELECT c_custkey AS record_idx, CAST(id AS BIGINT) AS segment_id FROM customer JOIN k ON k.segment = c_mktsegment""")
+def resolve_or_create(spark, sf_dir):
+    existing = spark.createDataFrame([(1, " BUILDING ")], "segment_id bigint, segment string")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_idx"), F.col("c_mktsegment").alias("segment"))
+    return resolve.resolve_or_create(rows, existing, "segment", "segment_id")[0].select("record_idx", "segment_id")
+
+
+#: Load batches out of line items: many repeats, some rows whose checks did not pass.
+LOADS = """
+SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS BIGINT) AS record_idx, CASE WHEN l_quantity = 7 THEN 'failed' ELSE 'passed' END AS iig_status, 'passed' AS dvl_status,
+  'passed' AS batch_status, CAST(l_suppkey AS STRING) AS manufacturer_name, CASE WHEN l_quantity = 9 THEN '' ELSE l_returnflag END AS model_name, CAST(l_partkey AS STRING) AS version_name, l_linestatus AS body_type
+FROM {lineitem}"""
+_L = LOADS.replace("{lineitem}", "lineitem")
+_LOADED = f"""WITH l AS ({_L}), e AS (SELECT *, CASE WHEN iig_status <> 'passed' THEN 'iig_status is not passed' WHEN model_name = '' THEN 'model_name is missing' END AS error,
+  sha256(manufacturer_name || '|' || model_name || '|NULL|' || version_name || '|' || body_type || '||||') AS load_key FROM l),
+f AS (SELECT load_key, min(record_idx) AS seen FROM e WHERE error IS NULL GROUP BY 1),
+d AS (SELECT e.record_idx, coalesce(error, '') AS error, CASE WHEN error IS NOT NULL THEN 'UNAVAILABLE' ELSE e.load_key END AS load_key,
+  CASE WHEN error IS NOT NULL THEN 'failed' WHEN CAST(version_name AS BIGINT) % 3 = 0 OR record_idx <> seen THEN 'skipped_duplicate' ELSE 'inserted' END AS status FROM e LEFT JOIN f ON f.load_key = e.load_key)"""
+
+
+def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["iig_status", "dvl_status", "batch_status", "manufacturer_name", "model_name", "version_name", "body_type"]
+    rows = records.parse_records(records.records_of(from_sql(spark, sf_dir, LOADS, "lineitem"), fields, F.col("record_idx")))
+    key = load.load_key(records.text("manufacturer_name"), records.text("model_name"), F.lit(None))
+    rows = rows.select("record_idx", load.prevalidate().alias("error"), key.alias("load_key"), records.text("version_name").alias("version"))
+    there = rows.filter(F.col("error").isNull() & (F.col("version").cast("long") % 3 == 0)).select("load_key")
+    return load.decide(rows.drop("version"), there)
+
+
+@registered(f"{_LOADED} SELECT record_idx, error, load_key, status FROM d")
+def load_decisions(spark, sf_dir):
+    return decided(spark, sf_dir).select("record_idx", F.coalesce("error", F.lit("")).alias("error"), "load_key", "status")
+
+
+@registered(f"""{_LOADED} SELECT count(*) AS total_rows, count(*) FILTER (WHERE status = 'inserted') AS inserted, count(*) FILTER (WHERE status = 'skipped_duplicate') AS skipped_duplicate,
+  count(*) FILTER (WHERE status = 'failed') AS failed, 'T_Versiones' AS affected_tables FROM d""")
+def load_report(spark, sf_dir):
+    return load.report(decided(spark, sf_dir), "run").drop("ingestion_run_id").withColumn("affected_tables", F.array_join("affected_tables", ","))
+
+
+@registered("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def unique_violations(spark, sf_dir):
+    return integrity.unique_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@registered("SELECT coalesce(CAST(k AS STRING), 'null') AS k, n FROM (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS k, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1 OR k IS NULL)")
+def key_violations(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("k"))
+    return integrity.key_violations(orders, ["k"]).withColumn("k", F.coalesce(F.col("k").cast("string"), F.lit("null")))
+
+
+@registered("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')")
+def fk_orphans(spark, sf_dir):
+    kept = table(spark, sf_dir, "customer").filter("c_mktsegment != 'MACHINERY'")
+    return integrity.orphans(table(spark, sf_dir, "orders"), "o_custkey", kept, "c_custkey").select("o_orderkey", "o_custkey")
+
+
+@registered("""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, array_to_string(list_filter([CASE WHEN NOT l_quantity <= 40 THEN 'quantity' END, CASE WHEN NOT l_returnflag IN ('A', 'R') THEN 'flag' END], lambda x: x IS NOT NULL), ',') AS failed
+FROM lineitem WHERE l_quantity > 40 OR l_returnflag NOT IN ('A', 'R')""")
+def check_violations(spark, sf_dir):
+    checks = {"quantity": F.col("l_quantity") <= 40, "flag": F.col("l_returnflag").isin("A", "R")}
+    rows = integrity.check_violations(table(spark, sf_dir, "lineitem"), checks)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", F.array_join("failed", ",").alias("failed"))
+
+
+@registered("""SELECT 'fuel_type' AS column, count(*) FILTER (WHERE p_partkey % 7 = 6) AS n FROM part UNION ALL SELECT 'generation_name', count(*) FILTER (WHERE p_size % 7 = 0) FROM part""")
+def null_violations(spark, sf_dir):
+    return integrity.null_violations(from_sql(spark, sf_dir, VERSIONS, "part"), ["fuel_type", "generation_name", "version_name"])
+
+
+@registered("""WITH RECURSIVE u AS (SELECT 'r' || r_regionkey AS unit_id, NULL AS parent_id FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier),
+t AS (SELECT unit_id, 0 AS level, unit_id AS path FROM u WHERE parent_id IS NULL UNION ALL SELECT u.unit_id, level + 1, path || '>' || u.unit_id FROM u JOIN t ON t.unit_id = u.parent_id) SELECT * FROM t""")
+def territory_paths(spark, sf_dir):
+    units = from_sql(spark, sf_dir, """SELECT concat('r', CAST(r_regionkey AS STRING)) AS unit_id, CAST(NULL AS STRING) AS parent_id FROM {region} UNION ALL
+        SELECT concat('n', CAST(n_nationkey AS STRING)), concat('r', CAST(n_regionkey AS STRING)) FROM {nation} UNION ALL SELECT concat('s', CAST(s_suppkey AS STRING)), concat('n', CAST(s_nationkey AS STRING)) FROM {supplier}""", "region", "nation", "supplier")
+    return integrity.territory_paths(units, 4).withColumn("path", F.array_join("path", ">"))
+
+
+# ---------------------------------------------------------------- state, pages and mapping
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_sql(spark, sf_dir, "SELECT CAST(user_id AS STRING) AS source, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status, ts, event_id AS seq FROM {events}", "events")
+
+
+_LATEST = """WITH l AS (SELECT CAST(user_id AS STRING) AS source, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status, ts, event_id AS seq,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events), m AS (SELECT * FROM l WHERE rn = 1)"""
+
+
+@registered(f"{_LATEST} SELECT source, status, seq, md5(source) || '.json' AS entry FROM m")
+def checkpoint_latest(spark, sf_dir):
+    return state.latest(_log(spark, sf_dir)).select("source", "status", "seq", state.entry_name("source").alias("entry"))
+
+
+@registered(f"{_LATEST} SELECT array_to_string(list_sort(list(source) FILTER (WHERE status = 'completed')), ',') AS completed_sources, array_to_string(list_sort(list(source) FILTER (WHERE status = 'failed')), ',') AS failed_sources FROM m")
+def checkpoint_state(spark, sf_dir):
+    return state.state(_log(spark, sf_dir)).select(*[F.array_join(c, ",").alias(c) for c in ("completed_sources", "failed_sources")])
+
+
+@registered(f"{_LATEST} SELECT CAST(c_custkey AS STRING) AS source FROM customer WHERE CAST(c_custkey AS STRING) NOT IN (SELECT source FROM m WHERE status = 'completed')")
+def resume_pending(spark, sf_dir):
+    return state.pending(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("source")), _log(spark, sf_dir))
+
+
+@registered("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, arg_min(value, ts) AS first_price, arg_max(value, ts) AS last_price, count(*) AS sightings FROM events GROUP BY 1")
+def advert_lifecycle(spark, sf_dir):
+    return state.lifecycle(table(spark, sf_dir, "events"), "user_id", "ts", "value")
+
+
+@registered("SELECT url FROM pages ORDER BY page_id LIMIT 40 OFFSET 9")
+def url_slice(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("idx"), "url")
+    return urls.slice_urls(rows, 10, 40).select("url")
+
+
+@registered(r"""SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS n_links, regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link FROM pages""")
+def html_parts(spark, sf_dir):
+    page = pages.parse_pages(table(spark, sf_dir, "pages"))
+    return page.select("page_id", F.col("page.meta.html_lang").alias("lang"), F.size("page.hrefs").alias("n_links"), F.coalesce(F.try_element_at("page.hrefs", F.lit(1)), F.lit("")).alias("first_link"))
+
+
+#: Raw page documents out of the parts table.
+DOCUMENTS = """
+SELECT p_partkey AS record_idx, concat('{{"source_version_url": "http://x/', CAST(p_partkey AS STRING), '", "headline": "2009 ', split_part(p_brand, '#', 1), ' ', p_type, ' ', p_name, ' - Ficha", "meta": {{"meta_description": "hecho ', CAST(1950 + p_size AS STRING), '"}}, ',
+  '"breadcrumbs": [{{"position": 1, "name": "', split_part(p_brand, '#', 1), '"}}, {{"position": 2, "name": "', p_type, ' (1999-2005)"}}, {{"position": 3, "name": "2004 brand ', p_type, ' ', p_name, '"}}], "summary": {{"Potencia Total": "', CAST(p_size AS STRING), ' CV"}}, ',
+  '"sections": {{"Diésel Motor": {{"Cilindrada": ["1,9 Litro", "1.', CAST(100 + p_partkey % 900 AS STRING), ' cc"], "Combustible": "Diésel"}}, "Dimensiones y Practicidad": {{"Peso en Vacío": "1.', CAST(100 + p_partkey % 900 AS STRING), ' kg", "Puertas": "3-5"}}}}}}') AS raw FROM {part}"""
+
+
+@registered(f"""SELECT p_partkey AS record_idx, 'brand__' || lower(p_type) || '__' || lower(p_type) || '-1999-2005__' || replace(lower(p_name), ' ', '-') AS version_id, p_name AS version_name, 'Diésel' AS fuel_type, CAST(p_size AS BIGINT) AS power_cv,
+  CAST(1000 + {_THREE} AS BIGINT) AS engine_displacement_cc, 1.9E0 AS engine_displacement_l, CAST(1000 + {_THREE} AS DOUBLE) AS kerb_weight_kg, CAST(5 AS BIGINT) AS doors, CAST(2009 AS BIGINT) AS model_year, CAST(1950 + p_size AS BIGINT) AS production_start_year FROM part""")
+def contract_mapping(spark, sf_dir):
+    raw = mapping.read_raw_documents(from_sql(spark, sf_dir, DOCUMENTS, "part"))
+    clean = mapping.map_to_contract(raw, version_contract(), ("record_idx",))
+    return clean.select("record_idx", "version_id", "version_name", "fuel_type", "power_cv", "engine_displacement_cc", "engine_displacement_l", "kerb_weight_kg", "doors", "model_year", "production_start_year")
+
+
+@registered(f"""SELECT p_partkey AS record_idx, CAST(p_size AS BIGINT) AS power_cv, CAST(2 AS BIGINT) AS engine_displacement_cc, CAST(1000 + {_THREE} AS DOUBLE) AS kerb_weight_kg FROM part""")
+def label_mapping(spark, sf_dir):
+    raw = mapping.read_raw_documents(from_sql(spark, sf_dir, DOCUMENTS, "part"))
+    return mapping.map_by_labels(raw, version_contract(), ("record_idx",)).select("record_idx", "power_cv", "engine_displacement_cc", "kerb_weight_kg")
