@@ -24,7 +24,7 @@ WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 #: The longest block in words, and the least number of blocks that a source of enough words is cut into.
 BLOCK, LEAST_BLOCKS = 256, 200
 #: Documents whose places in their source's stream are summed together.
-STREAM_RUN = 2_000
+STREAM_RUN = 20_000
 OUTPUT_SHARDS = 64
 
 
