@@ -32,8 +32,8 @@ SLOT_BLOCK = 50_000
 
 def _bundle() -> Column:
     """Bundle of a group: a coarse one, or for a hundredth of the groups a fine one."""
-    fine = F.pmod(F.xxhash64(F.lit("fine"), "group_key"), F.lit(10_000)) < int(10_000 * FINE_SHARE)
-    within = F.pmod(F.xxhash64(F.lit("bundle"), "group_key"), F.lit(BUNDLES // 2))
+    fine = F.pmod(F.xxhash64(F.lit("fine"), "_group_key"), F.lit(10_000)) < int(10_000 * FINE_SHARE)
+    within = F.pmod(F.xxhash64(F.lit("bundle"), "_group_key"), F.lit(BUNDLES // 2))
     return F.when(fine, within + BUNDLES // 2).otherwise(within).cast("int")
 
 
@@ -51,13 +51,13 @@ def least_loaded(items: list[tuple[int, str]], shards: int) -> dict[str, int]:
 def schedule(rows: DataFrame, shards: int) -> DataFrame:
     """The shard of each item, ``item, shard``: large groups by key and bundles of all others.
 
-    ``rows`` has ``size, group_key``.
+    ``rows`` has ``size, _group_key``.
     """
     spark = rows.sparkSession
-    groups = cut(rows.groupBy("group_key").agg(F.sum("size").alias("load")))
+    groups = cut(rows.groupBy("_group_key").agg(F.sum("size").alias("load")))
     total = groups.agg(F.coalesce(F.sum("load"), F.lit(0))).first()[0]
     line = max(1, int(total / shards * LARGE))
-    item = F.when(F.col("load") >= line, F.col("group_key")).otherwise(F.concat(F.lit("bundle "), _bundle()))
+    item = F.when(F.col("load") >= line, F.col("_group_key")).otherwise(F.concat(F.lit("bundle "), _bundle()))
     # At most shards / LARGE large groups and BUNDLES bundles reach the driver.
     loads = groups.groupBy(item.alias("item")).agg(F.sum("load").alias("load")).collect()
     placed = least_loaded([(r["load"], r["item"]) for r in loads], shards)
@@ -65,10 +65,10 @@ def schedule(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def _place(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Add ``shard`` to rows that have ``group_key``, by two broadcasts of the bounded plan."""
-    large = F.broadcast(plan.filter(~F.col("item").startswith("bundle ")).select(F.col("item").alias("group_key"), F.col("shard").alias("_own")))
+    """Add ``shard`` to rows that have ``_group_key``, by two broadcasts of the bounded plan."""
+    large = F.broadcast(plan.filter(~F.col("item").startswith("bundle ")).select(F.col("item").alias("_group_key"), F.col("shard").alias("_own")))
     bundles = F.broadcast(plan.select(F.col("item").alias("_item"), F.col("shard").alias("_bundled")))
-    met = rows.join(large, "group_key", "left").withColumn("_item", F.when(F.col("_own").isNull(), F.concat(F.lit("bundle "), _bundle())))
+    met = rows.join(large, "_group_key", "left").withColumn("_item", F.when(F.col("_own").isNull(), F.concat(F.lit("bundle "), _bundle())))
     return met.join(bundles, "_item", "left").withColumn("shard", F.coalesce("_own", "_bundled")).drop("_item", "_own", "_bundled")
 
 
@@ -77,7 +77,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     text = F.col("text")
     rows = docs.select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("group_key"),
+        F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("_group_key"),
     )
     rows = cut(rows)
     dealt = _place(rows, schedule(rows, shards))
@@ -90,8 +90,8 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 def sharded_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
     """All columns of ``docs`` with ``shard``; rows of equal text share one."""
     digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null"))
-    plan = schedule(docs.select((F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), digest.alias("group_key")), shards)
-    return _place(docs.withColumn("group_key", digest), plan).drop("group_key")
+    plan = schedule(docs.select((F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), digest.alias("_group_key")), shards)
+    return _place(docs.withColumn("_group_key", digest), plan).drop("_group_key")
 
 
 def _with_slots(dealt: DataFrame, count: int) -> DataFrame:
