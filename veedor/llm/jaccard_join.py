@@ -13,7 +13,9 @@ counts over all shingles; any order gives the same result. Small sets get a word
 Sets that share a word are candidates. Each block of these is first tested as a star around its best
 connected member; then, in blocks that still hold several components, all pairs across components.
 Pairs inside one component need no test, as only components are asked for, so groups of copies cost
-no quadratic work. Tests compare whole shingle sets. Components come from alternating star
+no quadratic work. A test first compares bit sketches, made in the same way with one bit to a word and
+a length in proportion to the set: pairs whose Hamming distance exceeds D go. Whole shingle sets are
+fetched and compared for the rest alone. Components come from alternating star
 contractions on distributed tables. Equal sets are one node from the start.
 
 Defined results: a null or blank text has no shingle, size 0, and is its own component; with fewer
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,23 +101,54 @@ def _node(shingles: np.ndarray) -> int:
     return int(mix(np.bitwise_xor.reduce(mix(shingles ^ np.uint64(0x5DEECE66D)), keepdims=True) + mix(shingles.sum(dtype=np.uint64, keepdims=True)))[0].astype(np.int64))
 
 
+def bit_sketch(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles in each of two to four times as many bits; a power of two, 64 at least.
+
+    A longer sketch folds to a shorter one by XOR of its halves.
+    """
+    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles >> np.uint64(24)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs whose bit sketches differ in no more bits than D."""
+    for batch in batches:
+        x, y = batch.column(4), batch.column(5)
+        sizes = [batch.column(k).to_numpy() for k in (2, 3)]
+        most = (sizes[0] + sizes[1]) // 7
+        lengths = np.stack([pc.binary_length(c).to_numpy() for c in (x, y)])
+        good = np.zeros(len(x), bool)
+        shapes = np.unique(lengths, axis=1).T if len(x) else ()
+        for shape in shapes:
+            at = np.flatnonzero((lengths == shape[:, None]).all(0))
+            sides = []
+            for c, n in zip((x, y), shape, strict=True):
+                bits = np.frombuffer(b"".join(c.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), n)
+                sides.append(np.bitwise_xor.reduce(bits.reshape(len(at), -1, min(shape)), axis=1))
+            good[at] = np.bitwise_count(sides[0] ^ sides[1]).sum(1, dtype=np.int64) <= most[at]
+        good &= 4 * np.minimum(*sizes) >= 3 * np.maximum(*sizes)
+        yield batch.select(["a", "b"]).filter(pa.array(good))
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row: doc_id, set size and node. Per task: the counts of its shingles, in slices."""
+    """Per row: doc_id, set size, node and bit sketch. Per task: the counts of its shingles, in slices."""
+    names = ["slice", "doc_id", "n", "node", "bytes"]
     counts = np.zeros(CELLS, np.int64)
     for batch in batches:
-        ids, sizes, nodes = [], [], []
+        sizes, nodes, bits = [], [], []
         for words in split_words(batch.column(1), fold=True):
             for k in range(len(words.rows)):
                 s = shingle_set(words.hashes[words.first[k] : words.first[k + 1]], SHINGLE)
                 sizes.append(len(s))
                 nodes.append(_node(s) if len(s) else None)
+                bits.append(bit_sketch(s) if len(s) else None)
                 np.add.at(counts, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
         ids = batch.column(0)
         n = len(ids)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(n, pa.binary())], ["slice", "doc_id", "n", "node", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())], names)
     if counts.any():
         parts = [x.astype(np.uint32).tobytes() for x in np.split(counts, SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), *[pa.nulls(SLICES, pa.int64())] * 3, pa.array(parts, pa.binary())], ["slice", "doc_id", "n", "node", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), *[pa.nulls(SLICES, pa.int64())] * 3, pa.array(parts, pa.binary())], names)
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,13 +319,15 @@ def components(edges: DataFrame) -> DataFrame:
 class _Verifier:
     """Tests pairs of nodes against whole shingle sets, fetched from the documents that hold them."""
 
-    def __init__(self, docs: DataFrame, holders: DataFrame):
-        self.docs, self.holders = docs, holders
+    def __init__(self, docs: DataFrame, nodes: DataFrame):
+        self.docs, self.sketches, self.holders = docs, nodes.select("node", "n", "bits"), nodes.select("node", "holder")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
+        both = pairs.join(self.sketches.toDF("a", "m", "x"), "a").join(self.sketches.toDF("b", "n", "y"), "b")
+        pairs = cut(both.select("a", "b", "m", "n", "x", "y").mapInArrow(_near, "a long, b long"))
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.holders, "node")
         docs = keep_possible(self.docs.withColumnRenamed("doc_id", "holder"), needed.select("holder"), "holder")
-        sets = cut(docs.select("text").mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"]))
+        sets = docs.select("text").mapInArrow(_sets, "node long, shingles binary")
         left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_test, "a long, b long")
 
@@ -300,24 +336,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """The component of every row: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    profile = cut(docs.mapInArrow(_profile, "slice int, doc_id long, n long, node long, counts binary"))
-    rows = profile.filter("slice IS NULL").select("doc_id", "n", "node")
-    nodes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")))
+    profile = cut(docs.mapInArrow(_profile, "slice int, doc_id long, n long, node long, bytes binary"))
+    rows = profile.filter("slice IS NULL").select("doc_id", "n", "node", "bytes")
+    nodes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bytes").alias("bits")))
+    rows = rows.drop("bytes")
     counts = np.zeros(CELLS, np.uint32)
-    slices = profile.filter("slice IS NOT NULL").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(_sum_counts, "slice int, counts binary")
+    slices = profile.filter("slice IS NOT NULL").select("slice", F.col("bytes").alias("counts")).repartition(SLICES, "slice").mapInArrow(_sum_counts, "slice int, counts binary")
     for r in slices.collect():  # a table of fixed size
         counts[r["slice"] * (CELLS // SLICES) : (r["slice"] + 1) * (CELLS // SLICES)] = np.frombuffer(r["counts"], np.uint32)
     total, shingles = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     parts = max(shuffle_width(spark), int(shingles * 0.5) // PER_TASK + 1)
     sent = docs.select("text").mapInArrow(_sender(counts, parts), "part int, nodes binary, runs binary, words binary")
     met = cut(sent.repartition(parts, "part").mapInArrow(_meet, "a long, b long, identity long, members array<long>"))
-    verifier = _Verifier(docs, nodes.select("node", "holder"))
+    verifier = _Verifier(docs, nodes)
     stars = cut(met.filter("a IS NOT NULL").select("a", "b").distinct())
     edges = cut(verifier.linked(stars))
     comps = cut(components(edges))
     # Blocks that still hold several components: all pairs across these that were not tested yet.
     blocks = met.filter("members IS NOT NULL").groupBy("identity").agg(F.first("members").alias("members"))
     placed = blocks.select("identity", F.explode("members").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = placed.repartition(parts, "identity")
     mixed = placed.groupBy("identity").agg(F.collect_list(F.struct("comp", "node")).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
     across = mixed.select("m.comp", "m.node").mapInArrow(_across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     more = cut(verifier.linked(cut(across)))
