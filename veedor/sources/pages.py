@@ -155,17 +155,20 @@ def read_page(html: str | None) -> dict:
     }
 
 
-@F.pandas_udf(f"struct<{re.sub(r'(^|, )(\w+) ', r'\1\2:', PAGE)}>")
-def parse_page(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_page(h) for h in html], columns=["meta", "breadcrumbs", "summary", "sections", "links", "title", "date_modified", "hrefs"])
+_PARTS = [part.split(" ", 1)[0] for part in re.split(r", (?=\w+ )", PAGE)]
+
+
+def _read_pages(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([read_page(h) for h in html], columns=_PARTS)
 
 
 def read_html(spark: SparkSession, *paths: str) -> DataFrame:
-    """``source, html`` of HTML files; paths may hold globs; bytes that are no UTF-8 are replaced."""
+    """``source, html`` of HTML files; paths may hold globs; bytes that are no UTF-8 are dropped."""
     files = spark.read.format("binaryFile").load(list(paths))
-    return files.select(F.col("path").alias("source"), F.decode("content", F.lit("UTF-8")).alias("html"))
+    return files.select(F.col("path").alias("source"), F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit("")).alias("html"))
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``page``, the parts of each page; SQL takes it from there."""
-    return pages.withColumn("page", parse_page(F.col(html)))
+    made = re.sub(r"(^|, )(\w+) ", r"\1\2:", PAGE)
+    return pages.withColumn("page", F.pandas_udf(_read_pages, f"struct<{made}>")(F.col(html)))
