@@ -10,13 +10,13 @@ partners there, the band below. The common order is rarity: words made of freque
 lines, repeated passages) come last and are seldom needed. Rarity is an estimate from a fixed table of
 counts over all shingles; any order gives the same result. Small sets get a word per shingle.
 
-Sets that share a word are candidates. Each block of these is first tested as a star around its best
-connected member; then, in blocks that still hold several components, all pairs across components.
-Pairs inside one component need no test, as only components are asked for, so groups of copies cost
-no quadratic work. A test first compares bit sketches, made in the same way with one bit to a word and
-a length in proportion to the set: pairs whose Hamming distance exceeds D go. Whole shingle sets are
-fetched and compared for the rest alone. Components come from alternating star
-contractions on distributed tables. Equal sets are one node from the start.
+Sets that share a word are candidates. A test first compares bit sketches, made in the same way with
+one bit to a word and a length in proportion to the set: pairs whose Hamming distance exceeds D go.
+Whole shingle sets are fetched and compared for the rest alone. Each block of candidates is first
+tested as a star around its best connected member; then, in blocks that still hold several components,
+members outside the largest are tested against all others. Pairs inside one component need no test,
+as only components are asked for. Components come from alternating star contractions on distributed
+tables. Equal sets are one node from the start.
 
 Defined results: a null or blank text has no shingle, size 0, and is its own component; with fewer
 than five words the whole sequence is one shingle; rows of equal sets, repeated rows included, are
@@ -87,7 +87,8 @@ def sketch_words(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
             words = np.bitwise_xor.reduceat(shingles[order], first)
             rare = np.minimum.reduceat(rarity[order], first)
         else:
-            words, rare = shingles, rarity
+            # Only the set's own shingles count here: at most a quarter of them are not shared.
+            words, rare, most = shingles, rarity, size // 4
         words = mix(words ^ mix(np.full(1, band + 1, np.uint64)))
         if most + 1 < len(words):
             rank = (rare.astype(np.uint64) << np.uint64(32)) | (words >> np.uint64(32))
@@ -287,17 +288,29 @@ def _test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a block's members that lie in different components."""
+    """Pairs of a block's members in different components, as far as their bit sketches allow.
+
+    Members outside the largest component are compared with all others, many at once.
+    """
     for batch in batches:
-        for comps, nodes in zip(batch.column(0), batch.column(1), strict=True):
-            comp, node = np.array(comps.as_py(), np.int64), np.array(nodes.as_py(), np.int64)
-            order = np.argsort(comp, kind="stable")
-            comp, node = comp[order], node[order]
-            ends = np.append(np.flatnonzero(np.diff(comp)) + 1, len(comp))
-            for k, end in zip(range(len(comp)), ends[np.searchsorted(ends, np.arange(len(comp)), side="right")], strict=True):
-                other = node[end:]
+        found = [np.zeros((0, 2), np.int64)]
+        for comps, nodes, sizes, sketches in zip(*batch.columns, strict=True):
+            comp, node, size = (np.asarray(x.values) for x in (comps, nodes, sizes))
+            bits = [np.frombuffer(x, np.uint8) for x in sketches.as_py()]
+            short = min(map(len, bits))
+            folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in bits]).view(np.uint64)
+            _, group, members = np.unique(comp, return_inverse=True, return_counts=True)
+            few = np.flatnonzero(group != members.argmax())
+            done = np.zeros(len(comp), bool)
+            for k in few:
+                done[k] = True
+                other = np.flatnonzero((comp != comp[k]) & ~done & (4 * np.minimum(size, size[k]) >= 3 * np.maximum(size, size[k])))
+                apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1, dtype=np.int64)
+                other = node[other[apart <= (size[other] + size[k]) // 7]]
                 if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, node[k])), pa.array(np.maximum(other, node[k]))], ["a", "b"])
+                    found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -354,10 +367,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = cut(components(edges))
     # Blocks that still hold several components: all pairs across these that were not tested yet.
     blocks = met.filter("members IS NOT NULL").groupBy("identity").agg(F.first("members").alias("members"))
-    placed = blocks.select("identity", F.explode("members").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = placed.repartition(parts, "identity")
-    mixed = placed.groupBy("identity").agg(F.collect_list(F.struct("comp", "node")).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-    across = mixed.select("m.comp", "m.node").mapInArrow(_across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+    placed = cut(blocks.select("identity", F.explode("members").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    mixed = placed.groupBy("identity").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("identity")
+    members = placed.join(mixed, "identity", "left_semi").join(nodes.select("node", "n", "bits"), "node").repartition(parts, "identity")
+    listed = members.groupBy("identity").agg(F.collect_list(F.struct("comp", "node", "n", "bits")).alias("m"))
+    across = listed.select("m.comp", "m.node", "m.n", "m.bits").mapInArrow(_across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     more = cut(verifier.linked(cut(across)))
     if not more.isEmpty():
         comps = cut(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
