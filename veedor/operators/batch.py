@@ -75,8 +75,9 @@ def enrich(parsed: DataFrame, settings: Settings = Settings()) -> DataFrame:  #
     """Add ``semantic_key, generation_key, completeness, fingerprint``."""
     present = F.size(F.filter(F.map_entries("cells"), lambda e: (e.key != "_scenario") & (e.value.kind != "null")))
     total = F.size(F.array_remove("keys", "_scenario"))
-    rows = parsed.withColumn("semantic_key", version_key(*_identity(settings)))
-    return rows.withColumns({"generation_key": generation_key("semantic_key"), "completeness": F.coalesce(F.try_divide(present.cast("double"), total), F.lit(0.0)), "fingerprint": fingerprint()})
+    completeness = F.coalesce(F.try_divide(present.cast("double"), total), F.lit(0.0))
+    rows = records.pin(parsed, {"semantic_key": version_key(*_identity(settings)), "completeness": completeness, "fingerprint": fingerprint()})
+    return rows.withColumn("generation_key", generation_key("semantic_key"))
 
 
 def key_groups(enriched: DataFrame) -> DataFrame:

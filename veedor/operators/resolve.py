@@ -16,6 +16,11 @@ from veedor.functions.text import canon, clean_text, id_slug, strip
 GENERATION_ALIASES = {"mk5": "ibiza 2017 actualidad", "mk4": "ibiza 2008 2017", "mk3": "ibiza 2002 2009", "mk2": "ibiza 1993 2002", "mk1": "ibiza 1984 1993"}
 
 
+def batch_names() -> tuple[str, ...]:
+    """The names by which a record is resolved, from the outermost level in."""
+    return ("manufacturer_name", "model_name", "generation_name", "version_name")
+
+
 def candidates(table: DataFrame, id_: str, spellings: list[str], order: str, parent: str | None = None, empty_keys: bool = False) -> DataFrame:
     """``[parent,] key, id``: for each canonical spelling the identifier of the first row that has it."""
     keys = F.array_distinct(F.array(*[canon(s) for s in spellings]))
@@ -54,7 +59,7 @@ def resolve_ids(rows: DataFrame, manufacturers: DataFrame, models: DataFrame, ge
     out = look_up(out, full, candidates(generations, "generation_id", names[1:], "pos", "model_id", empty_keys), "_by_alias", F.col("model_id"))
     out = out.withColumn("generation_id", F.coalesce("_direct", "_by_alias")).drop("_direct", "_by_alias")
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    four = ("manufacturer_name", "model_name", "generation_name", "version_name")
+    four = batch_names()
     problem = F.coalesce(
         *[F.when(blank(c), F.lit(f"{c} is missing")) for c in four], F.when(F.col("manufacturer_id").isNull(), F.concat(F.lit("manufacturer not found: "), F.col("manufacturer_name"))),
         F.when(F.col("model_id").isNull(), F.concat(F.lit("model not found: "), F.col("model_name"))), F.when(F.col("generation_id").isNull(), F.concat(F.lit("generation not found: "), F.col("generation_name"))),

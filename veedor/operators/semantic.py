@@ -201,7 +201,7 @@ def validate_semantics(
     ``normalised`` holds the cells that normalising can change; ``raw`` and ``cells`` stay as they are.
     """
     v = Values()
-    rows = parsed.withColumn("_now", F.struct(*[normalised(n).alias(n) for n in CHANGED]))
-    rows = rows.withColumns({"semantic_errors": _messages(error_rules, v), "semantic_warnings": _messages(warning_rules, v)})
+    rows = records.pin(parsed, {"_now": F.struct(*[normalised(n).alias(n) for n in CHANGED])})
+    rows = records.pin(rows, {"semantic_errors": _messages(error_rules, v), "semantic_warnings": _messages(warning_rules, v)})
     rows = rows.withColumns({"semantic_metrics": metrics(v), "semantic_valid": F.size("semantic_errors") == 0})
     return rows.withColumnRenamed("_now", "normalised")

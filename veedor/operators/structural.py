@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from veedor.functions.text import strip
 from veedor.sources.contract import Contract
+from veedor.sources.records import pin
 
 #: Fields of which a few must be filled for a record to have technical content.
 TECHNICAL = (
@@ -155,12 +156,11 @@ def validate_records(records: DataFrame, contract: Contract, settings: Settings
     """Add ``is_valid, flags, errors, warnings, logs, metrics`` to parsed records, which stay as they are."""
     filled = F.size(F.filter(F.map_entries("cells"), lambda e: F.array_contains(_strings(contract.fields), e.key) & ~_blank(e.value)))
     n = len(contract.fields)
-    rows = records.withColumn("_nulls", F.lit(n).cast("double") - F.coalesce(F.when(F.col("is_object"), filled), F.lit(0)))
-    rows = rows.withColumn("_nulls", F.col("_nulls") / n if n else F.lit(0.0))
-    rows = rows.withColumn("_technical", F.size(F.filter(_strings(settings.technical), lambda k: ~_blank(_cell(k)))))
+    empty = F.lit(n).cast("double") - F.coalesce(F.when(F.col("is_object"), filled), F.lit(0))
+    rows = pin(records, {"_nulls": empty / n if n else F.lit(0.0), "_technical": F.size(F.filter(_strings(settings.technical), lambda k: ~_blank(_cell(k))))})
     refused = F.array(message("record_not_dict", "critical", None, _json("dict"), F.lit(None).cast("string")))
-    rows = rows.withColumn("errors", F.when(F.col("is_object"), _errors(contract, settings)).otherwise(refused))
-    rows = rows.withColumn("warnings", F.when(F.col("is_object"), _warnings(settings)).otherwise(F.array().cast(f"array<{MESSAGE}>")))
+    none = F.array().cast(f"array<{MESSAGE}>")
+    rows = pin(rows, {"errors": F.when(F.col("is_object"), _errors(contract, settings)).otherwise(refused), "warnings": F.when(F.col("is_object"), _warnings(settings)).otherwise(none)})
     has = lambda codes: F.exists("errors", lambda e: e.code.isin(*codes))
     critical, wrong = F.exists("errors", lambda e: e.level == "critical"), F.size("errors") > 0
     flags = F.struct(

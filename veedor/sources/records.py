@@ -10,10 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_KIND = """CASE WHEN x IS NULL OR is_variant_null(x) THEN 'null' ELSE CASE
-    WHEN schema_of_variant(x) = 'STRING' THEN 'str' WHEN schema_of_variant(x) = 'BOOLEAN' THEN 'bool' WHEN schema_of_variant(x) = 'BIGINT' THEN 'int'
-    WHEN schema_of_variant(x) LIKE 'ARRAY%' THEN 'list' WHEN schema_of_variant(x) LIKE 'OBJECT%' THEN 'dict'
-    WHEN _texts[k] RLIKE '^-?[0-9]+$' THEN 'int' ELSE 'float' END END"""
+_KIND = """CASE WHEN s = 'VOID' THEN 'null' WHEN s = 'STRING' THEN 'str' WHEN s = 'BIGINT' THEN 'int' WHEN s = 'BOOLEAN' THEN 'bool'
+    WHEN startswith(s, 'ARRAY') THEN 'list' WHEN startswith(s, 'OBJECT') THEN 'dict' WHEN t RLIKE '^-?[0-9]+$' THEN 'int' ELSE 'float' END"""
+
+
+def pin(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row, however often later steps refer to them.
+
+    Plain projections are merged into what reads them, filters too, and then parse a record again for
+    each reference; the output of a generator is not.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select(*[c for c in rows.columns if c not in columns], F.inline(F.array(made)))
 
 
 def parse_records(rows: DataFrame) -> DataFrame:
@@ -22,10 +30,13 @@ def parse_records(rows: DataFrame) -> DataFrame:
     ``is_object`` is false for JSON that is no object, and for texts that are no strict JSON, such as
     those with NaN or a key twice; both have no keys.
     """
-    rows = rows.withColumn("is_object", F.coalesce(F.expr("schema_of_variant(try_parse_json(raw)) LIKE 'OBJECT%'"), F.lit(False)))
-    rows = rows.withColumns({"_values": F.expr("CASE WHEN is_object THEN from_json(raw, 'map<string,variant>') END"), "_texts": F.expr("CASE WHEN is_object THEN from_json(raw, 'map<string,string>') END")})
-    cells = F.expr(f"transform_values(_values, (k, x) -> struct({_KIND} AS kind, CASE WHEN NOT is_variant_null(x) THEN _texts[k] END AS text))")
-    return rows.withColumn("cells", cells).withColumn("keys", F.coalesce(F.map_keys("cells"), F.array().cast("array<string>"))).drop("_values", "_texts")
+    rows = pin(rows, {"is_object": F.coalesce(F.expr("schema_of_variant(try_parse_json(raw)) LIKE 'OBJECT%'"), F.lit(False))})
+    kinds = F.expr("CASE WHEN is_object THEN transform_values(from_json(raw, 'map<string,variant>'), (k, x) -> coalesce(schema_of_variant(x), 'VOID')) END")
+    rows = pin(rows, {"_kinds": kinds, "_texts": F.expr("CASE WHEN is_object THEN from_json(raw, 'map<string,string>') END")})
+    # Both maps have the keys in the order of the text.
+    cells = F.expr(f"map_from_arrays(map_keys(_kinds), zip_with(map_values(_kinds), map_values(_texts), (s, t) -> struct({_KIND} AS kind, CASE WHEN s != 'VOID' THEN t END AS text)))")
+    rows = pin(rows, {"cells": cells}).drop("_kinds", "_texts")
+    return rows.withColumn("keys", F.coalesce(F.map_keys("cells"), F.array().cast("array<string>")))
 
 
 def read_json_array(spark: SparkSession, path: str, least: int | None = None, most: int | None = None) -> DataFrame:
