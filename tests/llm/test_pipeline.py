@@ -1,0 +1,62 @@
+import random
+
+import corpus
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from veedor.llm import mixing, queries
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A tiny set of tables with near-duplicates, test passages and texts of no language."""
+    rng = random.Random(12)
+    parts = {"aa": ["ka", "lo", "mi", "tu", "be"], "bb": ["schr", "ung", "eit", "ver", "tz"]}
+    word = lambda lang: "".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 5)))
+    items = [(k, " ".join(word("aa") for _ in range(14))) for k in range(3)]
+    rows = []
+    for k in range(120):
+        lang = ("aa", "bb")[k % 2]
+        w = [word(lang) for _ in range(rng.randint(20, 120))]
+        if k % 12 == 0:
+            w[10:10] = items[k % 3][1].split()
+        rows.append((k, " ".join(w), lang, f"s{k % 4}", None))
+        if k % 10 == 3:
+            w[3] = "edited"
+            rows.append((500 + k, " ".join(w), lang, "s0", None))
+    rows += [(900, None, "aa", "s0", None), (901, "12 34 !!", "aa", "s1", None), (902, "", "bb", None, None)]
+    path = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path), rows, items
+
+
+def test_stages_decide_as_brute_force_does(spark, folder):
+    path, rows, items = folder
+    docs, seen = spark.read.parquet(f"{path}/documents.parquet"), {}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        seen[name] = stage(spark, docs, path).cache()
+        docs = seen[name]
+        assert set(columns) <= set(docs.columns) and (name == "sharding" or docs.columns == columns)
+    ids = {n: sorted(r["doc_id"] for r in d.collect()) for n, d in seen.items()}
+    text = {r[0]: r for r in rows}
+    assert ids["language_id"] == sorted(set(text) - {900, 901, 902})
+    near = corpus.near_components([text[d] for d in ids["language_id"]])
+    assert ids["jaccard_join"] == sorted({c for _, c in near.values()})
+    holds = lambda d: any(f" {q} " in f" {text[d][1]} " for _, q in items)
+    assert ids["decontamination"] == [d for d in ids["jaccard_join"] if not holds(d)]
+    words = lambda d: d.agg(F.sum(mixing.word_count(F.col("text")))).first()[0]
+    assert words(seen["mixing"]) == pytest.approx(1.5 * words(seen["decontamination"]), rel=0.15) and set(ids["mixing"]) <= set(ids["decontamination"])
+    assert ids["sharding"] == ids["mixing"] and seen["sharding"].groupBy("text").agg(F.count_distinct("shard").alias("n")).filter("n > 1").isEmpty()
+
+
+def test_run_gives_the_last_stage(spark, folder):
+    out = corpus_pipeline.run(spark, folder[0])
+    assert "shard" in out.columns and out.count() > 50
+
+
+def test_queries_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontamination", "mixing", "sharding"]
