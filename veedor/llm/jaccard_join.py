@@ -14,7 +14,7 @@ Sets that share a word are candidates. A test first compares bit sketches, made
 one bit to a word and a length in proportion to the set: pairs whose Hamming distance exceeds D go.
 Whole shingle sets are fetched and compared for the rest alone. Each block of candidates is first
 tested as a star around its best connected member; then, in blocks that still hold several components,
-members outside the largest are tested against all others. Pairs inside one component need no test,
+members outside the largest are tested against others, first the nearest and then all that are left. Pairs inside one component need no test,
 as only components are asked for. Components come from alternating star contractions on distributed
 tables. Equal sets are one node from the start.
 
@@ -42,6 +42,8 @@ SHINGLE = 5
 CELLS, SLICES = 1 << 18, 16
 #: Sketch words buffered in a task before they are sent.
 FLUSH = 1_000_000
+#: Pairs that a member outside the largest component of a block gives in the first of two rounds.
+NEAREST = 4
 #: Sketch words that one task of the candidate search sorts, about.
 PER_TASK = 1_500_000
 
@@ -287,30 +289,38 @@ def _test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block's members in different components, as far as their bit sketches allow.
+def _across(nearest: int | None):
+    """Make the mapper that pairs a block's members across components, as far as bit sketches allow.
 
-    Members outside the largest component are compared with all others, many at once.
+    Members outside the largest component are compared with all others, many at once. With
+    ``nearest``, each of them gives only its pairs of least distance, so many at most.
     """
-    for batch in batches:
-        found = [np.zeros((0, 2), np.int64)]
-        for comps, nodes, sizes, sketches in zip(*batch.columns, strict=True):
-            comp, node, size = (np.asarray(x.values) for x in (comps, nodes, sizes))
-            bits = [np.frombuffer(x, np.uint8) for x in sketches.as_py()]
-            short = min(map(len, bits))
-            folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in bits]).view(np.uint64)
-            _, group, members = np.unique(comp, return_inverse=True, return_counts=True)
-            few = np.flatnonzero(group != members.argmax())
-            done = np.zeros(len(comp), bool)
-            for k in few:
-                done[k] = True
-                other = np.flatnonzero((comp != comp[k]) & ~done & (4 * np.minimum(size, size[k]) >= 3 * np.maximum(size, size[k])))
-                apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1, dtype=np.int64)
-                other = node[other[apart <= (size[other] + size[k]) // 7]]
-                if len(other):
-                    found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def pair_up(comps, nodes, sizes, sketches) -> Iterator[np.ndarray]:
+        comp, node, size = (np.asarray(x.values) for x in (comps, nodes, sizes))
+        bits = [np.frombuffer(x, np.uint8) for x in sketches.as_py()]
+        short = min(map(len, bits))
+        folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in bits]).view(np.uint64)
+        _, group, members = np.unique(comp, return_inverse=True, return_counts=True)
+        for k in np.flatnonzero(group != members.argmax()):
+            other = np.flatnonzero((comp != comp[k]) & (4 * np.minimum(size, size[k]) >= 3 * np.maximum(size, size[k])))
+            apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1, dtype=np.int64)
+            near = apart <= (size[other] + size[k]) // 7
+            other, apart = node[other[near]], apart[near]
+            if nearest is not None:
+                other = other[np.lexsort((other, apart))[:nearest]]
+            if len(other):
+                yield np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])], 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros((0, 2), np.int64)]
+            for block in zip(*batch.columns, strict=True):
+                found += pair_up(*block)
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -365,16 +375,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = cut(met.filter("a IS NOT NULL").select("a", "b").distinct())
     edges = cut(verifier.linked(stars))
     comps = cut(components(edges))
-    # Blocks that still hold several components: all pairs across these that were not tested yet.
-    blocks = met.filter("members IS NOT NULL").groupBy("identity").agg(F.first("members").alias("members"))
-    placed = cut(blocks.select("identity", F.explode("members").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    mixed = placed.groupBy("identity").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("identity")
-    members = placed.join(mixed, "identity", "left_semi").join(nodes.select("node", "n", "bits"), "node").repartition(parts, "identity")
-    listed = members.groupBy("identity").agg(F.collect_list(F.struct("comp", "node", "n", "bits")).alias("m"))
-    across = listed.select("m.comp", "m.node", "m.n", "m.bits").mapInArrow(_across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    more = cut(verifier.linked(cut(across)))
-    if not more.isEmpty():
-        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
+    # Blocks that still hold several components: first the nearest pairs across these, which join most
+    # that can be joined, then all that remain. Pairs that were tested are not tested again.
+    blocks = cut(met.filter("members IS NOT NULL").groupBy("identity").agg(F.first("members").alias("members")))
+    tested = stars
+    for nearest in (NEAREST, None):
+        placed = cut(blocks.select("identity", F.explode("members").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        mixed = placed.groupBy("identity").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("identity")
+        members = placed.join(mixed, "identity", "left_semi").join(nodes.select("node", "n", "bits"), "node").repartition(parts, "identity")
+        listed = members.groupBy("identity").agg(F.collect_list(F.struct("comp", "node", "n", "bits")).alias("m"))
+        across = listed.select("m.comp", "m.node", "m.n", "m.bits").mapInArrow(_across(nearest), "a long, b long").distinct()
+        across = cut(across.join(tested, ["a", "b"], "left_anti"))
+        more = cut(verifier.linked(across))
+        if not more.isEmpty():
+            comps = cut(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
+        tested = tested.union(across)
     named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("holder").alias("component_id"))
     named = cut(named.join(least, "comp").select("node", "copies", "component_id"))
