@@ -210,3 +210,15 @@ def test_language_id_held_out(spark, empty):
     assert kept.columns == docs.columns and kept.count() >= 599
     assert language_id.identify_languages(empty).collect() == []
     assert {r["lang_pred"] for r in language_id.identify_languages(docs.withColumn("lang", docs.lang.substr(9, 1)).filter("false")).collect()} == set()
+
+
+def test_thinning_keeps_the_owner_and_the_shards_that_have_another():
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        n = rng.integers(1, 60)
+        ids, window = rng.integers(0, 8, n), rng.integers(0, 5, n).astype(np.uint64)
+        shards = (ids % 3).astype(np.int32)
+        kept = substring_dedup._thin(ids, shards, window)
+        for w in set(window.tolist()):
+            facts = [(ids[m].min(), {int(s) for i, s in zip(ids[m], shards[m], strict=True) if i > ids[m].min()}) for m in (window == w, (window == w) & kept)]
+            assert facts[0] == facts[1]

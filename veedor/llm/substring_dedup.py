@@ -1,7 +1,8 @@
 """Substring dedup with repeated-phrase automata.
 
-1. Every window of 50 words is hashed and sent, packed by part, to where equal windows meet. Windows
-   of two or more documents are recurring; the smallest document that has one owns it.
+1. Every window of 50 words is hashed and sent, packed by part, to where equal windows meet. Of a
+   window that a task has often, only what can matter is sent. Windows of two or more documents are
+   recurring; the smallest document that has one owns it.
 2. Each owner's recurring windows, joined where they adjoin, are passages. A passage goes to those
    document shards alone that hold another document with one of its windows.
 3. Each shard compiles an Aho-Corasick automaton of its passages, in which a word is one symbol and
@@ -42,18 +43,39 @@ KEY = np.uint64((1 << 40) - 1)
 _LAST = np.int64(2**63 - 1)
 
 
+def _thin(ids: np.ndarray, shards: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Which entries of one task's windows must be sent: of each window and shard the two smallest documents.
+
+    More cannot matter: what counts is the smallest of all, and which shards have any other.
+    """
+    keep = np.ones(len(window), bool)
+    order = np.argsort(window, kind="stable")
+    first = np.flatnonzero(np.diff(window[order], prepend=~window[order[:1]]))
+    size = np.diff(first, append=len(window))
+    many = order[np.repeat(size > 2, size)]
+    if len(many):
+        many = many[np.lexsort((ids[many], shards[many], window[many]))]
+        group = np.append(True, (np.diff(window[many]) != 0) | (np.diff(shards[many]) != 0))
+        fresh = group | np.append(True, np.diff(ids[many]) != 0)
+        seen = np.cumsum(fresh)
+        rank = seen - seen[group][np.cumsum(group) - 1]
+        keep[many] = fresh & (rank < 2)
+    return keep
+
+
 def _sender(parts: int):
-    """Make the mapper that sends all windows, packed by part."""
+    """Make the mapper that sends all windows that matter, packed by part."""
 
     def pack(ids: list, shards: list, found: list[np.ndarray]) -> pa.RecordBatch:
-        n = [len(w) for w in found]
-        run = np.repeat(np.arange(len(ids)), n)
+        run = np.repeat(np.arange(len(ids)), [len(w) for w in found])
         window = np.concatenate(found)
+        ids, shards = np.array(ids, np.int64), np.array(shards, np.int32)
+        keep = _thin(ids[run], shards[run], window)
+        run, window = run[keep], window[keep]
         part = ((window >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part, run, window = part[order], run[order], window[order]
         first = np.flatnonzero(np.diff(part, prepend=-1))
-        ids, shards = np.array(ids, np.int64), np.array(shards, np.int32)
         rows = []
         for a, b in zip(first, np.append(first[1:], len(part)), strict=True):
             at = np.flatnonzero(np.diff(run[a:b], prepend=-1))
