@@ -105,6 +105,17 @@ def test_substring_dedup_of_nulls_repeats_and_near_misses(spark):
     assert got == sorted([("3", 60, 0), ("3", 60, 0), ("None", 60, 60), ("9", 51, 0), ("8", 121, 120), ("1", 0, 0), ("2", 0, 0)])
 
 
+def test_substring_dedup_when_40_bits_of_all_windows_agree(spark, monkeypatch):
+    real, low = substring_dedup.windows, np.uint64((1 << 42) - 1)
+    monkeypatch.setattr(substring_dedup, "windows", lambda h, n: real(h, n) & ~low)  # one part of 4 gets all
+    said = {c: " ".join(f"{c}{k}" for k in range(50)) for c in "abc"}
+    rows = [(2, said["a"]), (5, said["b"]), (9, f"x {said['b']} y"), (3, said["c"]), (7, f"{said['c']} {said['b']}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.substring_dedup(docs).collect()}
+    assert got == {d: (n, gone) for d, (n, gone, _) in corpus.removed_words(rows).items()}
+    assert got[9] == (52, 50) and got[7] == (100, 100)
+
+
 def library_counts(texts):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(tokenizer_path())

@@ -1,6 +1,6 @@
 """Substring dedup with repeated-phrase automata.
 
-1. Every window of 50 words is hashed and sent, packed by part, to where equal windows meet. Of a
+1. Every window of 50 words is hashed and sent, packed by part, to where equal windows meet by all 64 bits. Of a
    window that a task has often, only what can matter is sent. Windows of two or more documents are
    recurring; the smallest document that has one owns it.
 2. Each owner's recurring windows, joined where they adjoin, are passages. A passage goes to those
@@ -38,8 +38,6 @@ WINDOW, PHRASE = 50, 25
 FLUSH, PER_TASK = 2_000_000, 2_000_000
 #: Bytes of text in a shard, about.
 SHARD_BYTES = 12 << 20
-#: Bits of a window's hash that are sent; two that agree by chance fail the later confirmation.
-KEY = np.uint64((1 << 40) - 1)
 _LAST = np.int64(2**63 - 1)
 
 
@@ -66,23 +64,27 @@ def _thin(ids: np.ndarray, shards: np.ndarray, window: np.ndarray) -> np.ndarray
 def _sender(parts: int):
     """Make the mapper that sends all windows that matter, packed by part."""
 
-    def pack(ids: list, shards: list, found: list[np.ndarray]) -> pa.RecordBatch:
-        run = np.repeat(np.arange(len(ids)), [len(w) for w in found])
+    def pack(ids: list, shards: list, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        run = np.repeat(np.arange(len(ids), dtype=np.int32), [len(w) for w in found])
         window = np.concatenate(found)
+        found.clear()
         ids, shards = np.array(ids, np.int64), np.array(shards, np.int32)
         keep = _thin(ids[run], shards[run], window)
         run, window = run[keep], window[keep]
-        part = ((window >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+        part = ((window >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         part, run, window = part[order], run[order], window[order]
+        del keep, order
+        rows, held, kinds = [], 0, (pa.int32(), *[pa.binary()] * 4)
         first = np.flatnonzero(np.diff(part, prepend=-1))
-        rows = []
         for a, b in zip(first, np.append(first[1:], len(part)), strict=True):
             at = np.flatnonzero(np.diff(run[a:b], prepend=-1))
             own = run[a:b][at]
-            rows.append((int(part[a]), ids[own].tobytes(), shards[own].tobytes(), np.diff(at, append=b - a).astype(np.uint32).tobytes(), window[a:b].astype(np.uint32).tobytes(), (window[a:b] >> np.uint64(32)).astype(np.uint8).tobytes()))
-        kinds = (pa.int32(), *[pa.binary()] * 5)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "ids", "shards", "runs", "low", "high"])
+            rows.append((int(part[a]), ids[own].tobytes(), shards[own].tobytes(), np.diff(at, append=b - a).astype(np.uint32).tobytes(), window[a:b].tobytes()))
+            held += b - a
+            if held >= FLUSH // 8 or b == len(part):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "ids", "shards", "runs", "windows"])
+                rows, held = [], 0
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, shards, found, held = [], [], [], 0
@@ -97,27 +99,27 @@ def _sender(parts: int):
                         found.append(w)
                         held += len(w)
                 if held >= FLUSH:
-                    yield pack(ids, shards, found)
+                    yield from pack(ids, shards, found)
                     ids, shards, found, held = [], [], [], 0
         if held:
-            yield pack(ids, shards, found)
+            yield from pack(ids, shards, found)
 
     return send
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per owner: its recurring windows in this part, each with a shard that has it too."""
-    keys, docs, homes = [], [], []
+    keys, docs, homes, sizes = [], [], [], []
     for batch in batches:
-        for ids, shards, runs, low, high in zip(*(batch.column(k) for k in range(1, 6)), strict=True):
-            n = np.frombuffer(runs.as_buffer(), np.uint32)
-            docs.append(np.repeat(np.frombuffer(ids.as_buffer(), np.int64), n))
-            homes.append(np.repeat(np.frombuffer(shards.as_buffer(), np.int32), n))
-            keys.append(np.frombuffer(low.as_buffer(), np.uint32).astype(np.uint64) | (np.frombuffer(high.as_buffer(), np.uint8).astype(np.uint64) << np.uint64(32)))
+        for ids, shards, runs, sent in zip(*(batch.column(k) for k in range(1, 5)), strict=True):
+            docs.append(np.frombuffer(ids.as_buffer(), np.int64))
+            homes.append(np.frombuffer(shards.as_buffer(), np.int32))
+            sizes.append(np.frombuffer(runs.as_buffer(), np.uint32))
+            keys.append(np.frombuffer(sent.as_buffer(), np.uint64))
     if not keys:
         return
-    key, doc, home = np.concatenate(keys), np.concatenate(docs), np.concatenate(homes)
-    del keys, docs, homes
+    key, doc, home, ends = np.concatenate(keys), np.concatenate(docs), np.concatenate(homes), np.cumsum(np.concatenate(sizes), dtype=np.int64)
+    del keys, docs, homes, sizes, batch, ids, shards, runs, sent
     order = np.argsort(key, kind="stable")
     key = key[order]
     same = key[1:] == key[:-1]
@@ -125,7 +127,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep[1:] |= same
     keep[:-1] |= same
     order = order[keep]
-    key, doc, home = key[keep], doc[order], home[order]
+    run = np.searchsorted(ends, order, side="right")
+    key, doc, home = key[keep], doc[run], home[run]
     if not len(key):
         return
     first = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)))
@@ -155,7 +158,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to, own, texts = [], [], []
             for k, row in enumerate(words.rows):
                 first = words.first[k]
-                w = windows(words.hashes[first : words.first[k + 1]], WINDOW) & KEY
+                w = windows(words.hashes[first : words.first[k + 1]], WINDOW)
                 if not len(w):
                     continue
                 pack = packs[row].as_py()
@@ -294,7 +297,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     width = shuffle_width(spark)
     parts, shards = max(width, size // 6 // PER_TASK + 1), max(width, size // SHARD_BYTES + 1)
     placed = docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), "text")
-    sent = placed.mapInArrow(_sender(parts), "part int, ids binary, shards binary, runs binary, low binary, high binary")
+    sent = placed.mapInArrow(_sender(parts), "part int, ids binary, shards binary, runs binary, windows binary")
     owned = cut(sent.repartition(parts, "part").mapInArrow(_meet, "owner long, keys binary, shards binary"))
     packs = owned.groupBy("owner").agg(F.collect_list(F.struct("keys", "shards")).alias("packs")).withColumnRenamed("owner", "doc_id")
     owners = keep_possible(docs.select("doc_id", "text"), owned.select(F.col("owner").alias("doc_id")), "doc_id")
