@@ -223,6 +223,20 @@ def test_language_id_held_out(spark, empty):
     assert {r["lang_pred"] for r in language_id.identify_languages(docs.withColumn("lang", docs.lang.substr(9, 1)).filter("false")).collect()} == set()
 
 
+def test_language_id_rejects_long_texts_of_no_learned_language():
+    rng = random.Random(7)
+    parts = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schr", "ung", "eit", "ver"], "cc": ["ção", "ões", "lh", "que"], "dd": ["wy", "żó", "szcz", "ąc"]}
+    latin, han = "abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(0x4E00, 0x9FA5)]
+    said = lambda letters, most, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, most))) for _ in range(n))
+    names = [list(parts)[k % 4] for k in range(600)]
+    # Short texts hold a secret besides a word, so they are far from their language.
+    learned = [said(latin, 8, 5) + " " + said(parts[x], 4, 4) if k // 4 % 4 == 0 else said(parts[x], 4, (30, 300, 2000)[k // 4 % 4 - 1]) for k, x in enumerate(names)]
+    strange = [said(letters, 8, n) for letters in (latin, han, ["при", "вет", "го", "да"]) for n in (300, 2000, 10_000)]
+    model = language_id.train(names, np.stack([n for _, n in language_id._counts(pa.array(learned))]))
+    (out,) = language_id._predictor(model)(iter([pa.RecordBatch.from_arrays([pa.array(learned + strange)], ["_text"])]))
+    assert out["_rejected"].to_pylist() == [False] * 600 + [True] * 9
+
+
 def test_thinning_keeps_the_owner_and_the_shards_that_have_another():
     rng = np.random.default_rng(0)
     for _ in range(100):

@@ -3,7 +3,10 @@
 A text is a vector of hashed byte trigrams of its letters, all else being one space, weighted by TF-IDF and of length 1. Each language has
 several centroids, found by spherical k-means among its own sample texts. The language of the nearest
 centroid by cosine is predicted; a text farther from it than nearly all sample texts of that language
-are is rejected.
+and of about its length are is rejected. The cosine grows with length, so each band of lengths has a
+line of its own: from the language's sample texts there, or if these are few from those of all
+languages, or else the line of the next shorter band. Bands before the first line are judged by a
+loose one of all lengths.
 
 The model is fitted on a bounded sample, ``SAMPLE`` texts per language at most; every text is
 predicted from all of its bytes.
@@ -31,8 +34,10 @@ from veedor.llm.storage import fold_of, labelled_sample
 SAMPLE, CELLS = 512, 4096
 #: Centroids per language, and rounds of k-means.
 CENTROIDS, ROUNDS = 4, 8
-#: A text is rejected below this part of the cosine that all but this share of sample texts reach.
-SLACK, TAIL = 0.3, 0.005
+#: A text is rejected below this part of the cosine that all but this share of sample texts reach; the loose part is for all lengths together.
+SLACK, LOOSE, TAIL = 0.8, 0.3, 0.005
+#: Bands of lengths, each of four times the trigrams of the one before, and the least sample texts that set a line.
+BANDS, LEAST_TEXTS = 16, 20
 
 
 def _fold_table() -> np.ndarray:
@@ -64,9 +69,30 @@ def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["label", "counts"])
 
 
+def _bands(counts: np.ndarray) -> np.ndarray:
+    """The band of lengths of each row of trigram counts."""
+    total = np.maximum(counts.sum(1, dtype=np.float64), 1)
+    return np.minimum(np.log2(total) // 2, BANDS - 1).astype(np.int64)
+
+
+def _lines(cosine: np.ndarray, band: np.ndarray, found: np.ndarray, right: np.ndarray, languages: int) -> np.ndarray:
+    """Least cosines by language and band, from the sample texts that are predicted right."""
+    least = np.zeros((languages, BANDS))
+    for k in range(languages):
+        mine = right & (found == k)
+        line = LOOSE * np.quantile(cosine[mine], TAIL) if mine.any() else 0.0
+        for b in range(BANDS):
+            for some in (mine & (band == b), right & (band == b)):
+                if some.sum() >= LEAST_TEXTS:
+                    line = SLACK * np.quantile(cosine[some], TAIL)
+                    break
+            least[k, b] = line
+    return least
+
+
 @dataclass
 class Model:
-    """Inverse document frequencies, centroids by row, the language of each, and least cosines."""
+    """Inverse document frequencies, centroids by row, the language of each, and least cosines by language and band."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -105,15 +131,15 @@ def train(labels: list[str], counts: np.ndarray) -> Model | None:
     if not len(labels):
         return None
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    model = Model(idf, np.zeros((0, CELLS), np.float32), np.zeros(0, np.int64), sorted(set(labels)), np.zeros(0))
+    model = Model(idf, np.zeros((0, CELLS), np.float32), np.zeros(0, np.int64), sorted(set(labels)), np.zeros((0, BANDS)))
     v, groups = model.vectors(counts), []
     for language in model.languages:
         groups.append(_cluster(v[labels == language]))
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
     found, cosine = model.nearest(v)
-    right = [cosine[(labels == language) & (found == k)] for k, language in enumerate(model.languages)]
-    model.least = np.array([SLACK * np.quantile(r, TAIL) if len(r) else 0.0 for r in right])
+    right = np.array(model.languages, object)[found] == labels
+    model.least = _lines(cosine, _bands(counts), found, right, len(groups))
     return model
 
 
@@ -140,9 +166,10 @@ def _predictor(model: Model | None):
             lang, score, out = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
 
             def settle(held, lang=lang, score=score, out=out):
-                found, cosine = model.nearest(model.vectors(np.stack([n for _, n in held])))
-                for (row, _), k, c in zip(held, found, cosine, strict=True):
-                    lang[row], score[row], out[row] = model.languages[k], min(1.0, max(0.0, float(c))), c < model.least[k]
+                counts = np.stack([n for _, n in held])
+                found, cosine = model.nearest(model.vectors(counts))
+                for (row, _), k, c, b in zip(held, found, cosine, _bands(counts), strict=True):
+                    lang[row], score[row], out[row] = model.languages[k], min(1.0, max(0.0, float(c))), c < model.least[k, b]
 
             for row, n in _counts(texts) if model else ():
                 if _has_letter(texts[row].as_py()):
