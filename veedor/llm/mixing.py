@@ -2,7 +2,8 @@
 
 Each source's documents, in a hashed order, are one stream of tokens cut into blocks of one length.
 A source's target is a number of slots; every slot draws its output shard, so that the counts of the
-sources in each shard are a multinomial draw. Slot k stands for the block that an affine permutation
+sources in each shard are a multinomial draw; but nothing reads that shard yet, and no packed blocks
+are returned: only the words taken are counted, which no shard changes. Slot k stands for the block that an affine permutation
 of the source's block numbers gives for k; after all blocks were used once, a second permutation
 starts. Joining slots to blocks by index says how often each document's words are taken. DataFrame
 functions only.
