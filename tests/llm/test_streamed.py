@@ -168,12 +168,11 @@ def segments_by_hand(scores):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.sampled_from([None, None, 1.0, 2.3, 5.7]), max_size=14))
-def test_maximal_segments(marks):
-    drift = -1.05
-    at = np.array([k for k, m in enumerate(marks) if m], np.int64)
-    got = [(a, b) for a, b, _ in toxicity.maximal_segments(at, np.array([m for m in marks if m]), drift)]
-    assert got == segments_by_hand([m or drift for m in marks])
+@given(st.lists(st.sampled_from([-3.2, -1.05, -0.3, 1.0, 2.3, 5.7]), max_size=14))
+def test_maximal_segments(scores):
+    got = toxicity.maximal_segments(np.array(scores, float))
+    assert [(a, b) for a, b, _ in got] == segments_by_hand(scores)
+    assert toxicity.best_segment(np.array(scores, float)) == pytest.approx(max([0.0, *(s for _, _, s in got)]))
 
 
 def labelled(n, seed):

@@ -7,7 +7,7 @@ comes from two prefix sums, so no word is ever cut out as an object.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -80,6 +80,14 @@ def blocks(texts: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
         i = j
 
 
+def span_hasher(data: np.ndarray, fold: bool = False) -> Callable[..., np.ndarray]:
+    """A function that hashes any spans ``starts, ends`` of ``data``; ``salt`` sets kinds of spans apart."""
+    up, down = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_FOLDED if fold else _BYTE)[data] * up[:-1], out=sums[1:])
+    return lambda starts, ends, salt=0: mix((sums[ends] - sums[starts]) * down[starts] + np.uint64(salt))
+
+
 def split_words(texts: pa.Array, fold: bool = False, parts: np.ndarray | None = None) -> Iterator[Words]:
     """The words of every document, block by block; ``fold`` hashes A-Z as a-z.
 
@@ -97,11 +105,7 @@ def split_words(texts: pa.Array, fold: bool = False, parts: np.ndarray | None =
         inner = edges[edges > 0] - 1
         end[inner] |= solid[inner]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        up, down = powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _BYTE)[data] * up[:-1], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * down[starts])
-        yield Words(rows, data, np.searchsorted(starts, at), starts, ends, hashes)
+        yield Words(rows, data, np.searchsorted(starts, at), starts, ends, span_hasher(data, fold)(starts, ends))
 
 
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
