@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 
@@ -122,9 +123,14 @@ def library_counts(texts):
     return [len(x.ids) for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+@functools.cache
+def characters():
+    return token_count.read_characters(tokenizer_path())
+
+
 def compiled_counts(texts):
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
-    return pa.Table.from_batches(token_count._counter(tokenizer_path())(iter([batch])))["n_tokens"].to_pylist()
+    return pa.Table.from_batches(token_count._counter(tokenizer_path(), characters())(iter([batch])))["n_tokens"].to_pylist()
 
 
 @settings(max_examples=80, deadline=None)
@@ -144,6 +150,28 @@ def test_token_counts_of_special_and_long_texts(spark, docs, rows, empty):
     assert token_count.count_tokens(empty, tokenizer_path()).collect() == []
 
 
+def test_token_counts_of_scripts_without_spaces_marks_emoji_and_unknown_code_points():
+    rng = random.Random(12)
+    alphabets = ["漢字仮名交じり文。、", "한국어각각", "😀👍🏽\u200d♥️", "e\u0301a\u0323\u0302Å\u212b", "αΣςσΐ", "\u1c89\ua7cb\U00010d50\U00010d4e\U0003ffff\U000effff", "zzzab", "'’srtvel d", "<|endoftext|>"]
+    texts = ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(1, 80))) for _ in range(1500)]
+    texts += ["".join(rng.choice(a) for _ in range(rng.choice([3, 40, 700]))) for a in alphabets for _ in range(40)]
+    assert compiled_counts(texts) == library_counts(texts)
+
+
+def test_every_token_of_the_vocabulary_and_a_full_store(monkeypatch):
+    import json
+
+    signs = token_count._byte_signs()
+    with open(tokenizer_path()) as f:
+        words = [bytes(signs[c] for c in t.removesuffix("</w>")).decode(errors="ignore") for t in json.load(f)["model"]["vocab"]]
+    assert compiled_counts(words) == library_counts(words)
+    notes = token_count._annotations(tokenizer_path())
+    monkeypatch.setattr(token_count, "KEPT", len(notes.keys))
+    texts = [f"unseen{k}x{k * k} piece" for k in range(300)]
+    before = len(notes.keys)
+    assert compiled_counts(texts) == library_counts(texts) and len(notes.keys) == before
+
+
 def test_chunk_maps_agree_with_one_sweep():
     after, out = token_count._machine()
     kind = np.random.default_rng(4).integers(0, 10, 5000).astype(np.uint8)

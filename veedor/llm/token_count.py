@@ -1,30 +1,41 @@
 """Token counts by finite-state transducers, without tokenizing documents one by one.
 
-The splitting rule of a tokenizer of the word-end BPE kind (contractions, runs of letters, single
-digits, runs of other signs) is compiled into a deterministic transducer over character classes. A
-block of text is cut into chunks of equal length; for all chunks at once, and from every state, the
-map from the state before a chunk to the state after it is computed, these maps are composed by a
-parallel prefix scan, and a second sweep then knows each chunk's true state and writes where words of
-the tokenizer begin. Each such piece is one transition of the outer machine, annotated with the
-number of tokens that it emits. Annotations are compiled on first use by the tokenizer's own library
-and kept, by a 64-bit hash of the piece; a BPE of 49,000 merges has far too many states to be
-compiled in full, while the pieces that texts are made of are few.
-
-Texts for which the compiled machine is not proven to agree with the library go to it whole: those
-with a special token's string, with characters that normalisation may join or that are beyond
-U+2FFF, or whose lower case is not one character.
-
-Defined results: a null text is empty and has no token; repeated rows count each by itself; an empty
-table gives no row; further columns are ignored.
+Two machines are compiled from the tokenizer's file, of the word-end BPE kind over bytes.
+
+1. The splitting rule (contractions, runs of letters, single digits, runs of other signs) is a
+   deterministic transducer over character classes. A block of text is cut into chunks of equal
+   length; for all chunks at once, and from every state, the map from the state before a chunk to the
+   state after it is computed, these maps are composed by a parallel prefix scan, and a second sweep
+   then knows each chunk's true state and writes where words of the tokenizer, its pieces, begin.
+2. Inside a piece the vocabulary machine runs. It is a trie of all tokens; where a token ends, its
+   state is that token. The transition from state a by token b exists if merging both side by side gives
+   a and b again: no merge across their border comes before one inside them, which the merge ranks along
+   the right edge of a and the left edge of b decide. As merging is deterministic, exactly one path leads
+   to each place of a piece; a transition emits one token. Each piece starts the machine anew, so its map
+   of a chunk is constant from the first piece on, and all pieces of a block run side by side.
+
+Equal pieces of a block run once, and a worker keeps the counts of up to ``KEPT`` pieces by their
+64-bit hash; when that is full it stays as it is and further pieces run each time. The library itself
+gives the character classes, once on the driver, and brings texts into its normal form that are not
+in it yet; it tokenizes nothing.
+
+Strings of special tokens count as one token each and part the text around them, as the library does.
+
+Defined results: a null text is empty and has no token; repeated rows count each by itself; a very
+long text is one block, in about 100 bytes a character; an empty table gives no row; further columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 import types
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +44,14 @@ from pyspark.sql import functions as F
 
 from veedor.llm.kernel import blocks, mix
 
-#: Characters that the compiled machine knows.
-KNOWN = 0x3000
 #: Characters in a chunk of a block.
 CHUNK = 512
-#: Pieces whose annotations one worker keeps.
+#: Pieces whose counts one worker keeps.
 KEPT = 2_000_000
-#: Unicode white space below U+3000. Fixed values.
-_WHITE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F)
+#: Bytes of the longest pieces that run side by side, and cells of one such table.
+WIDEST, CELLS = 256, 4_000_000
+#: Code points, and the end of the planes that scripts are in; all beyond are signs.
+_CODES, _USED = 0x110000, 0x40000
 # Classes: 0 white, 1 letter, 2 number, 3 other, 4 apostrophe, 5 one of s t m d, 6 r, 7 v, 8 l, 9 e.
 _LETTERS = {"s": 5, "t": 5, "m": 5, "d": 5, "r": 6, "v": 7, "l": 8, "e": 9}
 # States: 0 between pieces, 1 in letters, 2 in other signs, 3 after an apostrophe that begins a
@@ -73,19 +84,39 @@ def _machine() -> tuple[np.ndarray, np.ndarray]:
     return after, out
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Class (255: not known) and lower case of each character below ``KNOWN``."""
-    kind, lower = np.full(KNOWN, 255, np.uint8), np.arange(KNOWN, dtype=np.uint32)
-    for code in range(KNOWN):
-        char, group = chr(code), unicodedata.category(chr(code))
-        small = char.lower()
-        risky = group[0] == "M" or group in ("Cn", "Cs") or 0x1100 <= code < 0x1200 or len(small) != 1 or code == 0x3A3 or ord(small) >= KNOWN
-        if risky or not unicodedata.is_normalized("NFC", char) or not unicodedata.is_normalized("NFC", small):
-            continue
-        lower[code] = ord(small)
-        group = unicodedata.category(small)
-        kind[code] = 0 if code in _WHITE else 4 if char == "'" else _LETTERS.get(small) or (1 if group[0] == "L" else 2 if group[0] == "N" else 3)
-    return kind, lower
+@dataclass
+class Characters:
+    """Class and lower case of every code point, and which ones this Python's Unicode does not know."""
+
+    kind: np.ndarray
+    lower: np.ndarray
+    new: np.ndarray
+
+
+def read_characters(path: str) -> Characters:
+    """The classes as the tokenizer's own splitter has them."""
+    library = _library(path)
+    new, lower, kind = np.zeros(_CODES, bool), np.arange(_CODES, dtype=np.uint32), np.full(_CODES, 3, np.uint8)
+    for c in range(_USED):
+        char, g = chr(c), unicodedata.category(chr(c))
+        if g == "Cn":
+            new[c] = True
+        elif g != "Co" and g != "Cs":
+            small = char.lower()
+            if len(small) == 1:
+                lower[c] = ord(small)
+            kind[c] = 1 if g[0] == "L" else 2 if g[0] == "N" else 0 if char.isspace() and not 0x1C <= c <= 0x1F else 3
+    # Of code points that only the library may know: a letter goes on after a letter, a sign is gone on with.
+    for k in range(0, len(unknown := np.flatnonzero(new)), 50_000):
+        some = unknown[k : k + 50_000]
+        begins = np.zeros(4 * len(some) + 4, bool)
+        begins[[a for _, (a, _) in library.pre_tokenizer.pre_tokenize_str("".join(f"a{chr(c)}! " for c in some))]] = True
+        kind[some] = np.where(~begins[1 : 4 * len(some) : 4], 1, np.where(~begins[2 : 4 * len(some) : 4], 3, 2))
+    kind = kind[lower]
+    kind[ord("'")] = 4
+    for c, k in _LETTERS.items():
+        kind[[ord(c), ord(c.upper())]] = k
+    return Characters(kind, lower, new)
 
 
 def piece_starts(kind: np.ndarray, after: np.ndarray, out: np.ndarray) -> np.ndarray:
@@ -118,41 +149,167 @@ def piece_starts(kind: np.ndarray, after: np.ndarray, out: np.ndarray) -> np.nda
     return begins
 
 
-_rng = np.random.default_rng(77)
-_CHAR = _rng.integers(1, 2**63, KNOWN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = 0xD1342543DE82EF95
 
 
-class _Annotations:
-    """Tokens that each piece emits, by the piece's hash."""
+def _library(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _byte_signs() -> dict[str, int]:
+    """The sign by which byte-level vocabularies write each byte: itself if it is printable, else one from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class Vocabulary:
+    """The vocabulary machine: a trie of tokens over bytes (256 more for the last byte of a piece), and merge ranks."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        end, ids, signs = model["end_of_word_suffix"], model["vocab"], _byte_signs()
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        n = max(ids.values()) + 1
+        #: Rank of the merge that makes a token, -1 for single bytes, and its two parts.
+        self.born, self.left, self.right = (np.full(n, -1, np.int64) for _ in range(3))
+        left, right, made = (np.array([ids[x] for x in side], np.int64) for side in zip(*((a, b, a + b) for a, b in pairs), strict=True))
+        if len(np.unique(made)) != len(made):
+            raise ValueError("a token that two merges make is beyond this machine")
+        self.born[made], self.left[made], self.right[made] = np.arange(len(made)), left, right
+        key = left * n + right
+        order = np.argsort(key)
+        self.n, self.pair, self.rank = n, key[order], order
+        edges: dict[int, int] = {}
+        ends: dict[int, int] = {}
+        for token, number in ids.items():
+            body, last = (token[: -len(end)], 256) if token.endswith(end) and token != end else (token, 0)
+            said = [signs[c] for c in body]
+            said[-1] += last
+            node = 0
+            for x in said:
+                node = edges.setdefault(node * 512 + x, len(edges) + 1)
+            ends[node] = number
+        self.edges, self.token = edges, np.full(len(edges) + 1, -1, np.int64)
+        self.token[list(ends)] = list(ends.values())
+        step = np.fromiter(edges, np.int64)
+        order = np.argsort(step)
+        self.step, self.child = step[order], np.fromiter(edges.values(), np.int64)[order]
+        self.known: dict[int, bool] = {}
+
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether tokens ``a`` and ``b`` side by side stay as they are.
+
+        Going back in time, the later made of the two tokens at the border is undone again and again;
+        a merge across the border would have happened if its rank comes before the undone ones'.
+        """
+        never = np.int64(len(self.rank))
+        good, at = np.ones(len(a), bool), np.arange(len(a))
+        a, b, until_a, until_b = a.copy(), b.copy(), np.full(len(a), never), np.full(len(a), never)
+        while len(at):
+            key = a * self.n + b
+            place = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+            rank = np.where(self.pair[place] == key, self.rank[place], never)
+            # Of equal merges the left one comes first.
+            crossed = (rank < until_a) & (rank <= until_b) & (rank < never)
+            good[at[crossed]] = False
+            born_a, born_b = self.born[a], self.born[b]
+            on = ~crossed & (np.maximum(born_a, born_b) >= 0)
+            first = born_a > born_b
+            until_a, until_b = np.where(first, born_a, until_a)[on], np.where(first, until_b, born_b)[on]
+            a, b, at = np.where(first, self.right[a], a)[on], np.where(first, b, self.left[b])[on], at[on]
+        return good
+
+    def count(self, pieces: list[bytes]) -> np.ndarray:
+        """The number of tokens of each piece."""
+        size = np.array([len(p) for p in pieces], np.int64)
+        out, order = np.zeros(len(pieces), np.int64), np.argsort(size, kind="stable")
+        at = 0
+        while at < len(order) and size[order[at]] <= WIDEST:
+            # Pieces of up to twice the shortest one's length run together.
+            most = min(WIDEST, 2 * int(size[order[at]]))
+            stop = min(int(np.searchsorted(size[order], most, "right")), at + CELLS // (most + 1))
+            some = order[at:stop]
+            out[some] = self._side_by_side([pieces[i] for i in some], size[some])
+            at = stop
+        for i in order[at:]:
+            out[i] = self._alone(pieces[i])
+        return out
+
+    def _side_by_side(self, pieces: list[bytes], size: np.ndarray) -> np.ndarray:
+        wide, rows = int(size.max()), np.arange(len(pieces))
+        said = np.zeros((len(pieces), wide + 1), np.int64)
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        row = np.repeat(rows, size)
+        said[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+        said[rows, size - 1] += 256
+        state, emitted = np.full((len(pieces), wide + 1), -1, np.int64), np.zeros((len(pieces), wide + 1), np.int64)
+        for start in range(wide):
+            row = np.flatnonzero(size > start) if start == 0 else np.flatnonzero((size > start) & (state[:, start] >= 0))
+            node, at, found = np.zeros(len(row), np.int64), start, []
+            while len(row):
+                key = node * 512 + said[row, at]
+                place = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+                there = self.step[place] == key
+                row, node, at = row[there], self.child[place[there]], at + 1
+                token = self.token[node]
+                ends = token >= 0
+                found.append((row[ends], token[ends], np.full(int(ends.sum()), at)))
+                on = size[row] > at
+                row, node = row[on], node[on]
+            if found:
+                row, token, at = (np.concatenate(x) for x in zip(*found, strict=True))
+                good = self.compatible(state[row, start], token) if start else np.ones(len(row), bool)
+                row, token, at = row[good], token[good], at[good]
+                state[row, at], emitted[row, at] = token, emitted[row, start] + 1
+        return emitted[rows, size]
+
+    def _alone(self, piece: bytes) -> int:
+        """The same for one long piece."""
+        said, state, emitted = [*piece[:-1], piece[-1] + 256], [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
+        for start in range(len(said)):
+            node, at = 0, start
+            while at < len(said) and (node := self.edges.get(node * 512 + said[at], 0)):
+                at += 1
+                token = int(self.token[node])
+                if token >= 0:
+                    key = state[start] * self.n + token
+                    if start and key not in self.known:
+                        if len(self.known) >= KEPT:
+                            self.known.clear()
+                        self.known[key] = bool(self.compatible(np.array([state[start]]), np.array([token]))[0])
+                    if not start or self.known[key]:
+                        state[at], emitted[at] = token, emitted[start] + 1
+        return emitted[-1]
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def exact(self, texts: list[str]) -> list[int]:
-        return [len(x.ids) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+class _Annotations:
+    """The compiled vocabulary, and the counts of pieces kept by their hash."""
+
+    def __init__(self, path: str):
+        self.library, self.vocabulary = _library(path), Vocabulary(path)
+        self.specials = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def look_up(self, hashes: np.ndarray, cut) -> np.ndarray:
-        """Counts of pieces; ``cut(i)`` gives the string of piece i when it is new."""
+        """Counts of pieces; ``cut(i)`` gives the bytes of piece i when it is new."""
         known, first, where = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.minimum(np.searchsorted(self.keys, known), max(len(self.keys) - 1, 0))
-        new = np.flatnonzero(self.keys[place] != known) if len(self.keys) else np.arange(len(known))
+        counts, new = np.zeros(len(known), np.int64), np.arange(len(known))
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, known), len(self.keys) - 1)
+            there = self.keys[place] == known
+            counts[there], new = self.counts[place[there]], np.flatnonzero(~there)
         if len(new):
-            fresh = np.array(self.exact([cut(i) for i in first[new]]), np.int64)
-            if len(self.keys) > KEPT:
-                self.keys, self.counts = self.keys[:0], self.counts[:0]
-                return self.look_up(hashes, cut)
-            keys = np.concatenate([self.keys, known[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.counts = keys[order], np.concatenate([self.counts, fresh])[order]
-            place = np.searchsorted(self.keys, known)
-        return self.counts[place][where]
+            counts[new] = self.vocabulary.count([cut(i) for i in first[new]])
+            if len(self.keys) + len(new) <= KEPT:
+                keys = np.concatenate([self.keys, known[new]])
+                order = np.argsort(keys, kind="stable")
+                self.keys, self.counts = keys[order], np.concatenate([self.counts, counts[new]])[order]
+        return counts[where]
 
 
 def _annotations(path: str) -> _Annotations:
@@ -163,44 +320,48 @@ def _annotations(path: str) -> _Annotations:
     return home.annotations
 
 
-def _counter(path: str):
-    kind_of, lower_of = _tables()
+def _counter(path: str, characters: Characters | None = None):
+    known = characters or read_characters(path)
     after, out = _machine()
 
+    def normal(text: str, library) -> np.ndarray:
+        """Code points of a text as the library would have them, before lower case."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if not text.isascii() and (known.new[codes].any() or "\u0130" in text or not unicodedata.is_normalized("NFC", text)):
+            codes = np.frombuffer(library.normalizer.normalize_str(text).encode("utf-32-le"), np.uint32)
+        return codes
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         notes = _annotations(path)
-        specials = [x.content for x in notes.library.get_added_tokens_decoder().values()]
+        special = re.compile("|".join(map(re.escape, sorted(notes.specials, key=len, reverse=True)))) if notes.specials else None
         up, down = _char_powers(1 << 20)
+        gap = np.full(1, 32, np.uint32)
         for batch in batches:
             sizes, totals = [], []
             for _rows, data, at in blocks(batch.column(1)):
                 texts = [bytes(data[a:b]).decode() for a, b in zip(at[:-1], at[1:], strict=True)]
-                codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts]
-                simple = np.array([(len(c) == 0 or (int(c.max()) < KNOWN and bool((kind_of[c] != 255).all()))) and not any(s in t for s in specials) for c, t in zip(codes, texts, strict=True)])
-                counts = np.zeros(len(texts), np.int64)
-                hard = np.flatnonzero(~simple)
-                if len(hard):
-                    counts[hard] = notes.exact([texts[i] for i in hard])
-                # All simple texts, one space after each.
-                gap = np.full(1, 32, np.uint32)
-                easy = np.flatnonzero(simple)
-                text = np.concatenate([x for i in easy for x in (codes[i], gap)]) if len(easy) else gap
-                bounds = np.append(0, np.cumsum([len(codes[i]) + 1 for i in easy]))
-                kind, text = kind_of[text], lower_of[text]
+                parts = [special.split(t) if special else [t] for t in texts]
+                # All parts of all texts, one space after each.
+                codes = [x for some in parts for t in some for x in (normal(t, notes.library), gap)]
+                bounds = np.append(0, np.cumsum([len(a) + 1 for a in codes[::2]]))
+                edges = bounds[np.append(0, np.cumsum([len(some) for some in parts]))]
+                text = np.concatenate(codes)
+                kind, text = known.kind[text], known.lower[text]
                 begins = piece_starts(kind, after, out)
                 starts = np.flatnonzero(begins)
+                counts = np.array([len(some) - 1 for some in parts], np.int64)
                 if len(starts):
                     if len(text) > len(up):
                         up, down = _char_powers(len(text))
-                    sums = np.append(np.uint64(0), np.cumsum(_CHAR[text] * up[: len(text)]))
+                    sums = np.append(np.uint64(0), np.cumsum((mix(text.astype(np.uint64)) | np.uint64(1)) * up[: len(text)]))
                     # A piece ends where the next begins or white space does.
                     white = np.flatnonzero(kind == 0)
                     ends = np.minimum(np.append(starts[1:], len(text)), white[np.searchsorted(white, starts)])
                     hashes = mix((sums[ends] - sums[starts]) * down[starts])
-                    cut = lambda i, t=text, s=starts, e=ends: t[s[i] : e[i]].tobytes().decode("utf-32-le")
+                    cut = lambda i, t=text, s=starts, e=ends: t[s[i] : e[i]].tobytes().decode("utf-32-le").encode()
                     tokens = np.append(0, np.cumsum(notes.look_up(hashes, cut)))
-                    edge = np.searchsorted(starts, bounds)
-                    counts[easy] = tokens[edge[1:]] - tokens[edge[:-1]]
+                    edge = np.searchsorted(starts, edges)
+                    counts += tokens[edge[1:]] - tokens[edge[:-1]]
                 sizes.append(np.diff(at))
                 totals.append(counts)
             n, t = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, totals))
