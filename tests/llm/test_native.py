@@ -153,7 +153,7 @@ def test_mixing(docs, rows, empty):
         s = source[r["doc_id"]]
         assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s])
     for s, t in want.items():
-        assert abs(taken[s] - t) <= 0.03 * t + 2
+        assert abs(taken[s] - t) <= 0.01 * t + mixing.BLOCK
     again = sorted((r["doc_id"], r["taken"]) for r in mixing.mix(docs.repartition(5)).collect())
     assert again == sorted((r["doc_id"], r["taken"]) for r in got)
     assert mixing.mix(empty).collect() == []

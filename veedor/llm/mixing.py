@@ -1,16 +1,20 @@
 """Mixing sources to target weights, in fixed-length token blocks drawn by pseudorandom permutation.
 
-Each source's documents, in a hashed order, are one stream of tokens cut into blocks of one length.
-A source's target is a number of slots; every slot draws its output shard, so that the counts of the
-sources in each shard are a multinomial draw; but nothing reads that shard yet, and no packed blocks
-are returned: only the words taken are counted, which no shard changes. Slot k stands for the block that an affine permutation
-of the source's block numbers gives for k; after all blocks were used once, a second permutation
-starts. Joining slots to blocks by index says how often each document's words are taken. DataFrame
-functions only.
+Each source's documents, in a hashed order, are one stream of words, packed into blocks of ``BLOCK``
+words; only a stream's last block may be shorter. The mix is a number of slots, dealt to output shards
+of ``SHARD_SLOTS`` slots. For every shard the counts of the sources are a multinomial draw with the targets as
+weights: each slot draws its source. As the sums of such draws stray from the targets, slots that a
+source has drawn beyond its target are handed, from its last one on, to the sources that drew too few;
+about as many as the draw's own standard deviation. Slot k of a source stands for the block that a
+keyed pseudorandom permutation of the source's block numbers gives for k; after all blocks were used
+once, a permutation of another key starts, so no block comes more than twice. Blocks are joined to
+slots by index. DataFrame functions only.
 
 Defined results: a null source is a source of its own, after all others; a null or blank text has
-size 0 and is never taken; repeated rows count each by itself; an empty table gives no row; further
-columns are carried through :func:`mix_rows`, and ignored otherwise.
+size 0 and is never taken; rows of one doc_id and text tie in their stream and stand in any order, which
+moves words only between them; repeated rows count each by itself; a very long text is cut into many
+blocks; an empty table gives no row; further columns are carried through :func:`mix_rows`, and
+ignored otherwise.
 """
 
 from __future__ import annotations
@@ -18,15 +22,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veedor.llm.storage import cut
+from veedor.llm.storage import cut, running_sums
 
 #: Weights by place in the order of sources, repeating; what the mix holds of all words; the most of one source.
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
-#: The longest block in words, and the least number of blocks that a source of enough words is cut into.
-BLOCK, LEAST_BLOCKS = 256, 200
-#: Documents whose places in their source's stream are summed together.
-STREAM_RUN = 20_000
-OUTPUT_SHARDS = 64
+#: Words of a block, and slots of an output shard.
+BLOCK, SHARD_SLOTS = 64, 4096
+#: Rounds of the permutation, and parts of the range that drawn numbers are looked up by.
+ROUNDS, BUCKETS = 24, 1024
+_SOURCE = "coalesce(concat('s', source), 't')"
 
 
 def word_count(text):
@@ -36,31 +40,128 @@ def word_count(text):
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """Targets from one row ``source, source_size`` per source: ``source, source_size, target``.
+    """Targets from one row ``source, source_size`` per source, whose further columns stay: ``target``.
 
     All sources fill in proportion to their weight until they meet their cap; with sources sorted
     by cap over weight, those full are a prefix, which running sums find without iterating.
     """
-    weights = F.array(*map(F.lit, WEIGHTS))
-    ranked = sizes.selectExpr("source", "source_size", "cast(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS int) AS place")
-    ranked = ranked.withColumn("weight", F.element_at(weights, F.col("place") % len(WEIGHTS) + 1).cast("double"))
-    ranked = ranked.selectExpr(
-        "*", f"{CAP} * source_size AS most", f"{SHARE} * sum(source_size) OVER () AS whole",
-        f"{CAP} * source_size / weight AS ratio",
-    )
-    order = "ORDER BY ratio, place"
-    ranked = ranked.selectExpr(
-        "*", f"coalesce(sum(most) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled",
-        f"sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open",
-    )
-    level = ranked.selectExpr("*", "max(CASE WHEN ratio * open >= whole - filled THEN (whole - filled) / open END) OVER () AS level")
-    return level.selectExpr("source", "source_size", "least(cast(most AS double), coalesce(level, 1e300) * weight) AS target", "place")
+    weight = f"element_at(array({', '.join(f'{w}D' for w in WEIGHTS)}), cast((_place - 1) % {len(WEIGHTS)} + 1 AS int)) AS _weight"
+    ranked = running_sums(sizes.selectExpr("*", f"{_SOURCE} AS _order", "1L AS _one"), ["_order"], {"_place": "_one"})
+    ranked = ranked.selectExpr("*", weight, f"cast({CAP} * source_size AS double) AS _most").selectExpr("*", "_most / _weight AS _ratio")
+    ranked = cut(running_sums(ranked, ["_ratio", "_place"], {"_filled": "_most", "_past": "_weight"}))
+    whole, weights = ranked.agg(SHARE * F.sum("source_size"), F.sum("_weight")).first()
+    rest, open_ = f"({whole or 0:.1f}D - (_filled - _most))", f"({weights or 0:.1f}D - (_past - _weight))"
+    level = ranked.selectExpr(f"max(CASE WHEN _ratio * {open_} >= {rest} THEN {rest} / {open_} END)").first()[0]
+    return ranked.selectExpr(*(f"`{c}`" for c in sizes.columns), f"least(_most, {1e300 if level is None else level!r}D * _weight) AS target")
+
+
+def streams(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their places in their source's stream, and one row per source.
+
+    Rows: ``row, doc_id, draw, source_key, size, start, source_size, target``; sources: ``source_key,
+    source_size, target, blocks, slots``, the last being the number of slots that meets the target best.
+    """
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
+    rows = running_sums(rows.selectExpr("*", f"{_SOURCE} AS source_key"), ["source_key", "draw", "doc_id"], {"upto": "size"})
+    rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+    sizes = cut(rows.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"), F.min(F.col("upto") - F.col("size")).alias("origin")))
+    sources = source_targets(sizes).selectExpr("*", f"cast(ceil(source_size / {BLOCK}) AS bigint) AS blocks")
+    sources = cut(sources.selectExpr("*", f"CASE WHEN blocks > 0 THEN least({CAP} * blocks, cast(round(target / source_size * blocks) AS bigint)) ELSE 0L END AS slots"))
+    placed = rows.drop("source").join(sources.drop("source"), "source_key")
+    placed = placed.selectExpr("row", "doc_id", "draw", "source_key", "size", "upto - size - origin AS start", "source_size", "target")
+    return placed, sources.select("source_key", "source_size", "target", "blocks", "slots")
+
+
+def draw_sources(sources: DataFrame, seed: int) -> DataFrame:
+    """The multinomial draw: one row per slot of the mix, ``shard, place, source_key``, before it is balanced."""
+    spark = sources.sparkSession
+    known = cut(running_sums(sources.filter("slots > 0"), ["source_key"], {"high": "slots"}))
+    total = known.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0]
+    step = total // BUCKETS + 1
+    ranges = known.selectExpr("source_key", "high - slots AS low", "high", f"explode(sequence((high - slots) div {step}L, (high - 1) div {step}L)) AS bucket")
+    shards = spark.range((total + SHARD_SLOTS - 1) // SHARD_SLOTS).withColumnRenamed("id", "shard")
+    slots = shards.selectExpr("shard", f"explode(sequence(0L, least({SHARD_SLOTS}L, {total}L - shard * {SHARD_SLOTS}) - 1)) AS place")
+    slots = slots.selectExpr("shard", "place", f"pmod(xxhash64({seed}, 'source', shard, place), {max(total, 1)}L) AS number").selectExpr("*", f"number div {step}L AS bucket")
+    return slots.join(ranges, "bucket").filter("number >= low AND number < high").select("shard", "place", "source_key")
+
+
+def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
+    """One row per slot of the mix: ``shard, place, source_key, k, block``; slot ``k`` of a source stands for ``block``."""
+    drawn = running_sums(draw_sources(sources, seed).withColumn("one", F.lit(1).cast("long")), ["source_key", "shard", "place"], {"upto": "one"})
+    drawn = cut(drawn)
+    counts = drawn.groupBy("source_key").agg(F.count(F.lit(1)).alias("n"), F.min("upto").alias("first"))
+    known = sources.filter("slots > 0").join(counts, "source_key", "left").selectExpr("source_key", "blocks", "slots", "coalesce(n, 0L) AS n", "first")
+    known = known.selectExpr("*", "greatest(n - slots, 0L) AS over", "greatest(slots - n, 0L) AS under")
+    known = cut(running_sums(known, ["source_key"], {"overs": "over", "unders": "under"}))
+    numbered = drawn.join(known, "source_key").selectExpr("shard", "place", "source_key", "upto - first AS k", "slots", "overs - over AS begin")
+    # Slots beyond a source's target and those that others lack are as many; both are numbered through.
+    spare = numbered.filter("k >= slots").selectExpr("shard", "place", "begin + k - slots AS number")
+    lacking = known.filter("under > 0").selectExpr("source_key", "n", "unders - under AS begin", "explode(sequence(0L, under - 1)) AS i")
+    handed = spare.join(lacking.selectExpr("source_key", "n + i AS k", "begin + i AS number"), "number").select("shard", "place", "source_key", "k")
+    slots = numbered.filter("k < slots").select("shard", "place", "source_key", "k").unionByName(handed)
+    slots = slots.join(known.select("source_key", "blocks"), "source_key")
+    return slots.selectExpr("shard", "place", "source_key", "k", f"{permuted('k % blocks', 'blocks', f"xxhash64({seed}, 'block', source_key, k div blocks)")} AS block")
+
+
+def permuted(x: str, n: str, key: str) -> str:
+    """SQL of a keyed pseudorandom permutation of ``0 .. n - 1``, at ``x``: the swap-or-not shuffle.
+
+    In each round a number and its partner, the round's key less the number, swap places or do not, by
+    one bit of a hash of the round and the larger of both.
+    """
+    partner = f"pmod(pmod(xxhash64(c.key, i, 'partner'), c.n) - c.x, c.n)"
+    turn = f"named_struct('x', CASE WHEN pmod(xxhash64(c.key, i, greatest(c.x, {partner})), 2L) = 0 THEN c.x ELSE {partner} END, 'n', c.n, 'key', c.key)"
+    return f"aggregate(sequence(1, {ROUNDS}), named_struct('x', {x}, 'n', {n}, 'key', {key}), (c, i) -> {turn}, c -> c.x)"
+
+
+def pack_blocks(placed: DataFrame) -> DataFrame:
+    """The parts of rows that blocks are packed from: ``source_key, block, row, doc_id, at, first, words``.
+
+    ``words`` words of the row, from its word ``first`` on, stand in the block from word ``at`` on.
+    """
+    parts = placed.filter("size > 0").selectExpr("*", f"explode(sequence(start div {BLOCK}, (start + size - 1) div {BLOCK})) AS block")
+    parts = parts.selectExpr("*", f"greatest(start, block * {BLOCK}) AS from_", f"least(start + size, (block + 1) * {BLOCK}) AS until")
+    return parts.selectExpr("source_key", "block", "row", "doc_id", f"from_ - block * {BLOCK} AS at", "from_ - start AS first", "until - from_ AS words")
+
+
+def mixed_blocks(placed: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+    """The mix: ``shard, place, source_key, k, block, spans``, one packed block for each slot.
+
+    ``spans`` are structs ``at, row, doc_id, first, words`` in the block's order; there are ``BLOCK`` at most.
+    """
+    span = F.struct("at", "row", "doc_id", "first", "words")
+    packed = pack_blocks(placed).groupBy("source_key", "block").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    return draw_slots(sources, seed).join(packed, ["source_key", "block"])
+
+
+def block_texts(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The mix as text: ``shard, place, source, block, text``, the words of each slot's block joined by spaces."""
+    word = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    texts = docs.select("doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
+    placed, sources = streams(docs, seed)
+    placed = cut(placed)
+    # Rows that share draw and source have the same text; any of them gives it.
+    said = texts.selectExpr("draw", f"{_SOURCE} AS source_key", "source", "text").dropDuplicates(["draw", "source_key"])
+    words = placed.select("row", "draw", "source_key").join(said, ["draw", "source_key"]).select("row", "source", word.alias("w"))
+    parts = pack_blocks(placed).join(words, "row")
+    part = F.struct("at", F.expr("array_join(slice(w, cast(first + 1 AS int), cast(words AS int)), ' ')").alias("said"))
+    blocks = parts.groupBy("source_key", "source", "block").agg(F.array_sort(F.collect_list(part)).alias("p"))
+    blocks = blocks.select("source_key", "source", "block", F.expr("array_join(transform(p, x -> x.said), ' ')").alias("text"))
+    return draw_slots(sources, seed).join(blocks, ["source_key", "block"]).select("shard", "place", "source", "block", "text")
+
+
+def _taken(docs: DataFrame, seed: int) -> DataFrame:
+    """Every row with the words that the mix takes of it: ``row, doc_id, draw, size, source_size, target, taken``."""
+    placed, sources = streams(docs, seed)
+    placed = cut(placed)
+    spans = mixed_blocks(placed, sources, seed).select(F.explode("spans").alias("s"))
+    taken = spans.groupBy("s.row").agg(F.sum("s.words").alias("taken"))
+    return placed.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """How many words of every row the mix takes: ``doc_id, size, source_size, target, taken``."""
-    rows = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")))
-    return _taken(rows, seed).select("doc_id", "size", "source_size", "target", "taken")
+    return _taken(docs, seed).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_rows(docs: DataFrame, seed: int = 7) -> DataFrame:
@@ -69,54 +170,10 @@ def mix_rows(docs: DataFrame, seed: int = 7) -> DataFrame:
     A row whose words are taken 1.4 times in all comes once or twice, by a draw from its own hash,
     so sources keep their targets. Rows with the same doc_id and text share one decision.
     """
-    keyed = docs.withColumn("_draw", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    rows = keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.col("_draw").alias("draw"))
-    taken = _taken(cut(rows), seed).groupBy("draw").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    taken = _taken(docs, seed).groupBy("draw").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     chance = F.pmod(F.xxhash64(F.lit("times"), "draw"), F.lit(1 << 20)) / F.lit(1 << 20)
-    times = taken.select(F.col("draw").alias("_draw"), F.floor(F.col("taken") / F.col("size") + chance).cast("int").alias("_times")).filter("_times > 0")
-    return keyed.join(times, "_draw").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
-
-
-def _taken(rows: DataFrame, seed: int) -> DataFrame:
-    known = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("source_key")
-    rows = rows.select("*", known)
-    sizes = rows.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    targets = source_targets(sizes.select("source", "source_size"))
-    # One row a source: block length and count, slots, and a step that visits every block.
-    plan = targets.select("source", known, "source_size", "target").selectExpr("*", f"greatest(1, least({BLOCK}, source_size div {LEAST_BLOCKS})) AS length")
-    plan = plan.selectExpr("*", "cast(ceil(source_size / length) AS bigint) AS blocks")
-    plan = plan.selectExpr("*", "CASE WHEN source_size > 0 THEN least(2 * blocks, cast(round(target / source_size * blocks) AS bigint)) ELSE 0L END AS slots")
-    plan = cut(plan)
-    # Each row's place in its source's stream: sums within runs of hashed rows, and sums of runs.
-    total = rows.count()
-    runs = max(1, total // STREAM_RUN + 1)
-    rows = rows.selectExpr("*", f"pmod(draw, {runs}L) AS run")
-    starts = rows.groupBy("source_key", "run").agg(F.sum("size").alias("words"))
-    starts = starts.selectExpr("source_key", "run", "coalesce(sum(words) OVER (PARTITION BY source_key ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
-    rows = rows.selectExpr("*", "coalesce(sum(size) OVER (PARTITION BY source_key, run ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS within")
-    rows = rows.join(starts, ["source_key", "run"]).join(plan.drop("source"), "source_key")
-    rows = rows.selectExpr("doc_id", "draw", "source_key", "size", "source_size", "target", "length", "before + within AS start", "monotonically_increasing_id() AS row")
-    rows = cut(rows)
-    # The words that each row has in each block.
-    parts = rows.filter("size > 0").selectExpr("row", "source_key", "start", "size", "length", "explode(sequence(start div length, (start + size - 1) div length)) AS block")
-    parts = parts.selectExpr("row", "source_key", "block", "least(start + size, (block + 1) * length) - greatest(start, block * length) AS words")
-    drawn = draw_slots(plan, seed).groupBy("source_key", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = parts.join(drawn, ["source_key", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return rows.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-
-
-def draw_slots(plan: DataFrame, seed: int) -> DataFrame:
-    """One row per slot of the mix: ``source_key, slot, shard, block``, in runs of 4,096 slots.
-
-    The block is ``(step * k + offset) mod blocks``, a permutation since ``step`` has no divisor in
-    common with ``blocks``: it is a prime above any block count's small factors, or else 1.
-    """
-    runs = plan.filter("slots > 0").selectExpr("*", "explode(sequence(0L, (slots - 1) div 4096)) AS part")
-    slots = runs.selectExpr("*", "explode(sequence(part * 4096, least(slots, (part + 1) * 4096) - 1)) AS slot")
-    # 2^31 - 1 and two more primes; at least one does not divide blocks unless blocks exceeds their product.
-    step = "CASE WHEN blocks % 2147483647 != 0 THEN 2147483647L WHEN blocks % 1000000007 != 0 THEN 1000000007L ELSE 998244353L END"
-    slots = slots.selectExpr(
-        "source_key", "slot", f"pmod(xxhash64({seed}, source_key, slot), {OUTPUT_SHARDS}L) AS shard", "blocks", f"{step} AS step",
-        f"pmod(xxhash64({seed}, source_key, slot div blocks), blocks) AS offset", "slot % blocks AS k",
-    )
-    return slots.selectExpr("source_key", "slot", "shard", "cast((cast(step % blocks AS decimal(20)) * k + offset) % blocks AS bigint) AS block")
+    times = F.floor(F.col("taken") / F.col("size") + chance).cast("int")
+    times = taken.filter("size > 0").select(F.col("draw").alias("_draw"), times.alias("_times")).filter("_times > 0")
+    # All columns travel as one, so none of them can clash.
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_draw"))
+    return keyed.join(times, "_draw").select("_whole", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_whole.*")

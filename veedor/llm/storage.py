@@ -73,3 +73,18 @@ def labelled_sample(labels: DataFrame, label: str, buckets: int) -> DataFrame:
 def fold_of(folds: int):
     """The fold of a row: CRC-32 of its doc_id as text, modulo ``folds``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def running_sums(rows: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
+    """Add running sums over all ``rows`` in ``order``, each row included: new column -> summed column.
+
+    Rows are dealt by ranges of ``order``, so a key with many rows is spread over as many tasks as its
+    further columns allow; sums run within each range, and those of whole ranges are added to them.
+    """
+    dealt = cut(rows.repartitionByRange(shuffle_width(rows.sparkSession), *order).withColumn("_range", F.spark_partition_id()))
+    whole = dealt.groupBy("_range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
+    # As many rows as there are shuffle partitions.
+    before = F.broadcast(whole.selectExpr("_range", *(f"coalesce(sum({n}) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _{n}" for n in sums)))
+    within = dealt.selectExpr("*", *(f"sum({c}) OVER (PARTITION BY _range ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING) AS {n}" for n, c in sums.items()))
+    met = within.join(before, "_range")
+    return met.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_range", *(f"_{n}" for n in sums))
