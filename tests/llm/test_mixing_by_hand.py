@@ -22,10 +22,11 @@ def spark_hash(*values):
     return h - 2**64 if h >= 2**63 else h
 
 
-def permuted(x, n, key):
+def permuted(x, n, seed, source, cycle):
     for i in range(1, mixing.ROUNDS + 1):
-        partner = (spark_hash(key, ("i", i), "partner") % n - x) % n
-        if spark_hash(key, ("i", i), max(x, partner)) % 2:
+        key = spark_hash(("i", seed), source, ("i", cycle + 1), ("i", i)) % n
+        partner = (key - x) % n
+        if spark_hash(key, max(x, partner)) % 2:
             x = partner
     return x
 
@@ -63,7 +64,7 @@ def mixed_by_hand(rows, seed):
     lacking = [(s, k) for s in order for k in range(counts[s], slots[s])]
     assert len(lacking) == len(spare)
     slot_of |= dict(zip(spare, lacking))
-    slot_of = {at: (s, k, permuted(k % blocks[s], blocks[s], spark_hash(("i", seed), "block", s, k // blocks[s]))) for at, (s, k) in slot_of.items()}
+    slot_of = {at: (s, k, permuted(k % blocks[s], blocks[s], seed, s, k // blocks[s])) for at, (s, k) in slot_of.items()}
     times = Counter((s, b) for s, _, b in slot_of.values())
     taken, at = [0] * len(rows), defaultdict(int)
     for i in sorted(range(len(rows)), key=lambda i: spark_hash(*[("i", seed)] + [v for v in (rows[i][0], rows[i][1]) if v is not None])):

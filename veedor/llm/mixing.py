@@ -22,14 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veedor.llm.storage import cut, running_sums
+from veedor.llm.storage import cut, lookup, running_sums
 
 #: Weights by place in the order of sources, repeating; what the mix holds of all words; the most of one source.
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 #: Words of a block, and slots of an output shard.
-BLOCK, SHARD_SLOTS = 64, 4096
+BLOCK, SHARD_SLOTS = 128, 4096
 #: Rounds of the permutation, and parts of the range that drawn numbers are looked up by.
-ROUNDS, BUCKETS = 24, 1024
+ROUNDS, BUCKETS = 16, 1024
 _SOURCE = "coalesce(concat('s', source), 't')"
 
 
@@ -62,12 +62,13 @@ def streams(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     source_size, target, blocks, slots``, the last being the number of slots that meets the target best.
     """
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
-    rows = running_sums(rows.selectExpr("*", f"{_SOURCE} AS source_key"), ["source_key", "draw", "doc_id"], {"upto": "size"})
+    rows = cut(rows.selectExpr("*", f"{_SOURCE} AS source_key"))
+    rows = running_sums(rows, ["source_key", "draw", "doc_id"], {"upto": "size"})
     rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
     sizes = cut(rows.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"), F.min(F.col("upto") - F.col("size")).alias("origin")))
     sources = source_targets(sizes).selectExpr("*", f"cast(ceil(source_size / {BLOCK}) AS bigint) AS blocks")
     sources = cut(sources.selectExpr("*", f"CASE WHEN blocks > 0 THEN least({CAP} * blocks, cast(round(target / source_size * blocks) AS bigint)) ELSE 0L END AS slots"))
-    placed = rows.drop("source").join(sources.drop("source"), "source_key")
+    placed = rows.drop("source").join(lookup(sources.drop("source")), "source_key")
     placed = placed.selectExpr("row", "doc_id", "draw", "source_key", "size", "upto - size - origin AS start", "source_size", "target")
     return placed, sources.select("source_key", "source_size", "target", "blocks", "slots")
 
@@ -82,7 +83,7 @@ def draw_sources(sources: DataFrame, seed: int) -> DataFrame:
     shards = spark.range((total + SHARD_SLOTS - 1) // SHARD_SLOTS).withColumnRenamed("id", "shard")
     slots = shards.selectExpr("shard", f"explode(sequence(0L, least({SHARD_SLOTS}L, {total}L - shard * {SHARD_SLOTS}) - 1)) AS place")
     slots = slots.selectExpr("shard", "place", f"pmod(xxhash64({seed}, 'source', shard, place), {max(total, 1)}L) AS number").selectExpr("*", f"number div {step}L AS bucket")
-    return slots.join(ranges, "bucket").filter("number >= low AND number < high").select("shard", "place", "source_key")
+    return slots.join(lookup(cut(ranges)), "bucket").filter("number >= low AND number < high").select("shard", "place", "source_key")
 
 
 def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
@@ -91,27 +92,28 @@ def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
     drawn = cut(drawn)
     counts = drawn.groupBy("source_key").agg(F.count(F.lit(1)).alias("n"), F.min("upto").alias("first"))
     known = sources.filter("slots > 0").join(counts, "source_key", "left").selectExpr("source_key", "blocks", "slots", "coalesce(n, 0L) AS n", "first")
-    known = known.selectExpr("*", "greatest(n - slots, 0L) AS over", "greatest(slots - n, 0L) AS under")
+    # The keys of each round of the permutations, of one permutation for every time that all blocks are used.
+    keys = f"transform(sequence(1, {CAP}), c -> transform(sequence(1, {ROUNDS}), i -> pmod(xxhash64({seed}, source_key, c, i), blocks))) AS keys"
+    known = known.selectExpr("*", "greatest(n - slots, 0L) AS over", "greatest(slots - n, 0L) AS under", keys)
     known = cut(running_sums(known, ["source_key"], {"overs": "over", "unders": "under"}))
-    numbered = drawn.join(known, "source_key").selectExpr("shard", "place", "source_key", "upto - first AS k", "slots", "overs - over AS begin")
+    numbered = drawn.join(lookup(known.drop("keys")), "source_key").selectExpr("shard", "place", "source_key", "upto - first AS k", "slots", "overs - over AS begin")
     # Slots beyond a source's target and those that others lack are as many; both are numbered through.
     spare = numbered.filter("k >= slots").selectExpr("shard", "place", "begin + k - slots AS number")
     lacking = known.filter("under > 0").selectExpr("source_key", "n", "unders - under AS begin", "explode(sequence(0L, under - 1)) AS i")
-    handed = spare.join(lacking.selectExpr("source_key", "n + i AS k", "begin + i AS number"), "number").select("shard", "place", "source_key", "k")
+    handed = spare.join(lacking.selectExpr("source_key", "n + i AS k", "begin + i AS number").hint("merge"), "number").select("shard", "place", "source_key", "k")
     slots = numbered.filter("k < slots").select("shard", "place", "source_key", "k").unionByName(handed)
-    slots = slots.join(known.select("source_key", "blocks"), "source_key")
-    return slots.selectExpr("shard", "place", "source_key", "k", f"{permuted('k % blocks', 'blocks', f"xxhash64({seed}, 'block', source_key, k div blocks)")} AS block")
+    slots = slots.join(lookup(known.select("source_key", "blocks", "keys")), "source_key")
+    return slots.selectExpr("shard", "place", "source_key", "k", f"{permuted('k % blocks', 'blocks', 'keys[cast(k div blocks AS int)]')} AS block")
 
 
-def permuted(x: str, n: str, key: str) -> str:
+def permuted(x: str, n: str, keys: str) -> str:
     """SQL of a keyed pseudorandom permutation of ``0 .. n - 1``, at ``x``: the swap-or-not shuffle.
 
     In each round a number and its partner, the round's key less the number, swap places or do not, by
-    one bit of a hash of the round and the larger of both.
+    one bit of a hash of the key and the larger of both.
     """
-    partner = f"pmod(pmod(xxhash64(c.key, i, 'partner'), c.n) - c.x, c.n)"
-    turn = f"named_struct('x', CASE WHEN pmod(xxhash64(c.key, i, greatest(c.x, {partner})), 2L) = 0 THEN c.x ELSE {partner} END, 'n', c.n, 'key', c.key)"
-    return f"aggregate(sequence(1, {ROUNDS}), named_struct('x', {x}, 'n', {n}, 'key', {key}), (c, i) -> {turn}, c -> c.x)"
+    partner = f"pmod(r - x, {n})"
+    return f"aggregate({keys}, {x}, (x, r) -> CASE WHEN xxhash64(r, greatest(x, {partner})) & 1 = 0 THEN x ELSE {partner} END)"
 
 
 def pack_blocks(placed: DataFrame) -> DataFrame:
@@ -131,7 +133,7 @@ def mixed_blocks(placed: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """
     span = F.struct("at", "row", "doc_id", "first", "words")
     packed = pack_blocks(placed).groupBy("source_key", "block").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    return draw_slots(sources, seed).join(packed, ["source_key", "block"])
+    return draw_slots(sources, seed).join(packed.hint("merge"), ["source_key", "block"])
 
 
 def block_texts(docs: DataFrame, seed: int = 7) -> DataFrame:
@@ -147,7 +149,7 @@ def block_texts(docs: DataFrame, seed: int = 7) -> DataFrame:
     part = F.struct("at", F.expr("array_join(slice(w, cast(first + 1 AS int), cast(words AS int)), ' ')").alias("said"))
     blocks = parts.groupBy("source_key", "source", "block").agg(F.array_sort(F.collect_list(part)).alias("p"))
     blocks = blocks.select("source_key", "source", "block", F.expr("array_join(transform(p, x -> x.said), ' ')").alias("text"))
-    return draw_slots(sources, seed).join(blocks, ["source_key", "block"]).select("shard", "place", "source", "block", "text")
+    return draw_slots(sources, seed).join(blocks.hint("merge"), ["source_key", "block"]).select("shard", "place", "source", "block", "text")
 
 
 def _taken(docs: DataFrame, seed: int) -> DataFrame:
@@ -156,7 +158,7 @@ def _taken(docs: DataFrame, seed: int) -> DataFrame:
     placed = cut(placed)
     spans = mixed_blocks(placed, sources, seed).select(F.explode("spans").alias("s"))
     taken = spans.groupBy("s.row").agg(F.sum("s.words").alias("taken"))
-    return placed.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    return placed.join(taken.hint("merge"), "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:

@@ -75,11 +75,21 @@ def fold_of(folds: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
+#: Rows of a side that is broadcast.
+FEW = 100_000
+
+
+def lookup(side: DataFrame) -> DataFrame:
+    """Mark a checkpointed side for broadcast if its counted rows are few, and for a merge join if not."""
+    return F.broadcast(side) if side.limit(FEW + 1).count() <= FEW else side.hint("merge")
+
+
 def running_sums(rows: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
     """Add running sums over all ``rows`` in ``order``, each row included: new column -> summed column.
 
     Rows are dealt by ranges of ``order``, so a key with many rows is spread over as many tasks as its
     further columns allow; sums run within each range, and those of whole ranges are added to them.
+    ``rows`` are read twice, as the ranges are found by sampling.
     """
     dealt = cut(rows.repartitionByRange(shuffle_width(rows.sparkSession), *order).withColumn("_range", F.spark_partition_id()))
     whole = dealt.groupBy("_range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
