@@ -152,3 +152,11 @@ def test_streamed_records_are_validated_once(spark, tmp_path):
     out = [str(tmp_path / n) for n in ("good", "bad", "checkpoint")]
     facade.validate_stream(facade.stream_records(spark, str(tmp_path / "in")), CONTRACT, *out).awaitTermination(120)
     assert spark.read.parquet(out[0]).count() == 1 and spark.read.parquet(out[1]).count() == 1
+
+
+def test_territory_of_many_levels_and_with_a_cycle(spark):
+    chain = [("u0", None)] + [(f"u{k}", f"u{k - 1}") for k in range(1, 15)]
+    got = {r["unit_id"]: (r["level"], r["path"]) for r in integrity.territory_paths(spark.createDataFrame([*chain, ("lost", "nobody")], "unit_id string, parent_id string")).collect()}
+    assert got == {f"u{k}": (k, [f"u{j}" for j in range(k + 1)]) for k in range(15)}
+    with pytest.raises(Exception, match="cycle"):
+        integrity.territory_paths(spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("b", "c")], "unit_id string, parent_id string")).collect()

@@ -59,12 +59,20 @@ def advert_checks() -> dict[str, Column]:
     }
 
 
-def territory_paths(units: DataFrame, most: int = 12) -> DataFrame:
-    """``unit_id, level, path`` of a territory given as ``unit_id, parent_id``, level by level from the roots."""
+def territory_paths(units: DataFrame) -> DataFrame:
+    """``unit_id, level, path`` of a territory given as ``unit_id, parent_id``, level by level from the roots.
+
+    Levels are added until one is empty. A unit that comes again on its own path is refused; units
+    that no root leads to are left out.
+    """
     level = units.filter("parent_id IS NULL").select("unit_id", F.lit(0).alias("level"), F.array("unit_id").alias("path"))
     found = level
-    for k in range(1, most):
-        up = level.select(F.col("unit_id").alias("parent_id"), F.col("path").alias("_path"))
-        level = units.join(up, "parent_id").select("unit_id", F.lit(k).alias("level"), F.concat("_path", F.array("unit_id")).alias("path"))
+    while True:
+        up = level.select(F.col("unit_id").alias("parent_id"), (F.col("level") + 1).alias("level"), F.col("path").alias("_path"))
+        level = units.join(up, "parent_id").select("unit_id", "level", "_path")
+        again = F.raise_error(F.concat(F.lit("the territory has a cycle at "), F.col("unit_id").cast("string"))).cast("string")
+        own = F.when(F.array_contains("_path", F.col("unit_id")), F.array(again).cast(units.schema["unit_id"].dataType.simpleString().join(("array<", ">"))))
+        level = level.select("unit_id", "level", F.coalesce(own, F.concat("_path", F.array("unit_id"))).alias("path"))
+        if level.isEmpty():
+            return found
         found = found.union(level)
-    return found

@@ -49,7 +49,14 @@ KW_PER_CV, MILES_PER_KM = 0.73549875, 0.621371
 
 #: Fields that normalising can change.
 CHANGED = (*TRIMMED, "doors", "seats")
-Rule = Callable[["Values"], list[tuple[Column, str]]]
+#: Fields whose numbers the rules below read; they are computed once per record.
+NUMBERS = (
+    "engine_displacement_cc", "engine_displacement_l", "unitary_displacement_cc", "cylinders", "max_power_rpm", "max_torque_nm", "max_torque_rpm", "power_cv", "max_power_cv", "power_kw",
+    "max_power_kw", "top_speed_kmh", "top_speed_mph", "gear_count", "gearbox_gears", "seats", "boot_capacity_l", "boot_capacity_min_l", "boot_capacity_max_l",
+)
+#: What a rule gives: pairs of a condition and its message, or a column that is a message or null.
+Found = list[tuple[Column, str] | Column]
+Rule = Callable[["Values"], Found]
 
 
 class Values:
@@ -66,6 +73,9 @@ class Values:
 
     def number(self, name: str) -> Column:
         """The value if it is an integer or a float; null for all else."""
+        return F.col(f"_num.{name}") if name in NUMBERS else self.parsed(name)
+
+    def parsed(self, name: str) -> Column:
         return F.when(self.kind(name).isin("int", "float"), self.text(name).try_cast("double"))
 
 
@@ -73,20 +83,35 @@ def _cell(kind: Column, text: Column) -> Column:
     return F.struct(F.when(text.isNull(), F.lit("null")).otherwise(kind).alias("kind"), text.alias("text"))
 
 
-def normalised(name: str) -> Column:
-    """The cell of a field that normalising can change: struct ``kind, text``."""
-    kind, text = F.coalesce(records.kind(name), F.lit("null")), records.text(name)
+def _cleaned(name: str) -> Column:
+    """The text that normalising makes of a field's text (column ``_was``)."""
+    text = F.col(f"_was.{name}.text")
     if name in ("doors", "seats"):
-        bare = strip(text)
-        digits = (kind == "str") & bare.rlike("^[0-9]+$")
-        plain = bare if name == "doors" else text
-        number = F.regexp_replace(bare, "^0+(?=[0-9])", "")
-        return F.when(digits, _cell(F.lit("int"), number)).otherwise(F.when(kind == "str", _cell(kind, plain)).otherwise(F.struct(kind.alias("kind"), text.alias("text"))))
-    clean = F.when(kind == "str", clean_identity(text))
+        return strip(text)
     if name in NAMES:
-        return F.when(kind == "str", _cell(kind, F.upper(clean))).otherwise(F.struct(kind.alias("kind"), text.alias("text")))
+        return F.upper(clean_identity(text))
     table, keep = {"fuel_type": (FUEL, False), "gearbox_type": (GEARBOX, False), "body_type": (BODY, True), "drive_type": (DRIVE, True)}[name]
-    return _cell(F.lit("str"), alias(clean, table, keep))
+    return alias(clean_identity(text), table, keep)
+
+
+def _normalised(name: str) -> Column:
+    """The cell of a field that normalising can change: struct ``kind, text``."""
+    kind, text, clean = F.coalesce(f"_was.{name}.kind", F.lit("null")), F.col(f"_was.{name}.text"), F.col(f"_clean.{name}")
+    other = F.struct(kind.alias("kind"), text.alias("text"))
+    if name in ("doors", "seats"):
+        digits = (kind == "str") & clean.rlike("^[0-9]+$")
+        number = F.regexp_replace(clean, "^0+(?=[0-9])", "")
+        return F.when(digits, _cell(F.lit("int"), number)).when(kind == "str", _cell(kind, clean if name == "doors" else text)).otherwise(other)
+    if name in NAMES:
+        return F.when(kind == "str", _cell(kind, clean)).otherwise(other)
+    return _cell(F.lit("str"), F.when(kind == "str", clean))
+
+
+def normalise(rows: DataFrame) -> DataFrame:
+    """Add ``_now``: the cells that normalising can change. Each step is a computation of its own, small enough to be compiled."""
+    rows = records.pin(rows, {"_was": F.struct(*[F.try_element_at("cells", F.lit(n)).alias(n) for n in CHANGED])})
+    rows = records.pin(rows, {"_clean": F.struct(*[_cleaned(n).alias(n) for n in CHANGED])})
+    return records.pin(rows, {"_now": F.struct(*[_normalised(n).alias(n) for n in CHANGED])}).drop("_was", "_clean")
 
 
 def identity_errors(v: Values) -> list[tuple[Column, str]]:
@@ -98,20 +123,19 @@ def identity_warnings(v: Values) -> list[tuple[Column, str]]:
     return [(v.present("generation_name") & (v.kind("generation_name") != "str"), "generation_name: valor no string"), (v.present("body_type") & (v.kind("body_type") != "str"), "body_type: valor no string → NULL")]
 
 
-def _numeric(v: Values, name: str, *more: tuple[Column, str]) -> list[tuple[Column, str]]:
+def _numeric(v: Values, name: str, *more: tuple[Column, str]) -> Found:
     """Wrong type, not positive, and then the first of ``more`` that holds."""
     n = v.number(name)
     return _first((v.present(name) & n.isNull(), f"{name}: tipo inválido"), (n <= 0, f"{name}: valor no positivo"), *more)
 
 
-def _first(*pairs: tuple[Column, str]) -> list[tuple[Column, str]]:
+def _first(*pairs: tuple[Column, str]) -> Found:
     """Only the first pair that holds counts."""
-    out, before = [], F.lit(False)
-    for condition, text in pairs:
-        condition = F.coalesce(condition, F.lit(False))
-        out.append((condition & ~before, text))
-        before = before | condition
-    return out
+    (condition, text), *others = pairs
+    chain = F.when(condition, F.lit(text))
+    for condition, text in others:
+        chain = chain.when(condition, F.lit(text))
+    return [chain]
 
 
 def _apart(a: Column, b: Column, least: float, share: float) -> Column:
@@ -119,7 +143,7 @@ def _apart(a: Column, b: Column, least: float, share: float) -> Column:
     return a.isNotNull() & b.isNotNull() & (F.abs(a - b) > F.greatest(F.lit(least), b * share))
 
 
-def engine_warnings(v: Values) -> list[tuple[Column, str]]:
+def engine_warnings(v: Values) -> Found:
     cc, litres, rpm = v.number("engine_displacement_cc"), v.number("engine_displacement_l"), v.number("max_power_rpm")
     unit = F.try_divide(litres * 1000, v.number("cylinders"))
     nm, torque_rpm = v.number("max_torque_nm"), v.number("max_torque_rpm")
@@ -139,7 +163,7 @@ def _or(v: Values, first: str, second: str) -> Column:
     return F.when(~other, F.coalesce(F.nullif(v.number(first), F.lit(0.0)), v.number(second)))
 
 
-def performance_warnings(v: Values) -> list[tuple[Column, str]]:
+def performance_warnings(v: Values) -> Found:
     cv, most, kmh = v.number("power_cv"), v.number("max_power_cv"), v.number("top_speed_kmh")
     gears = _or(v, "gear_count", "gearbox_gears")
     box = v.present("gearbox_type")
@@ -153,7 +177,7 @@ def performance_warnings(v: Values) -> list[tuple[Column, str]]:
     ]
 
 
-def dimension_warnings(v: Values) -> list[tuple[Column, str]]:
+def dimension_warnings(v: Values) -> Found:
     kind = v.kind("doors")
     doors = F.when(kind == "int", v.text("doors").try_cast("double")).when(kind == "bool", F.when(v.text("doors") == "true", 1.0).otherwise(0.0))
     seats = v.number("seats")
@@ -171,11 +195,19 @@ ERROR_RULES: tuple[Rule, ...] = (identity_errors,)
 WARNING_RULES: tuple[Rule, ...] = (identity_warnings, engine_warnings, performance_warnings, dimension_warnings)
 
 
-def _messages(rules: Sequence[Rule], v: Values) -> Column:
-    found = [F.when(condition, F.lit(text)) for rule in rules for condition, text in rule(v)]
+def _messages(rule: Rule, v: Values) -> Column:
+    found = [x if isinstance(x, Column) else F.when(x[0], F.lit(x[1])) for x in rule(v)]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
+def _all_messages(rows: DataFrame, name: str, rules: Sequence[Rule], v: Values) -> DataFrame:
+    """Add column ``name`` with the messages of all rules; each rule is a computation of its own."""
+    parts = [f"_{name}_{k}" for k in range(len(rules))]
+    for part, rule in zip(parts, rules, strict=True):
+        rows = records.pin(rows, {part: _messages(rule, v)})
+    return rows.withColumn(name, F.concat(F.array().cast("array<string>"), *parts)).drop(*parts)
+
+
 def completeness(v: Values) -> Column:
     """The metrics of a normalised record, as a struct."""
     has = lambda names: sum((v.present(n).cast("int") for n in names), F.lit(0))
@@ -201,7 +233,8 @@ def validate_semantics(
     ``normalised`` holds the cells that normalising can change; ``raw`` and ``cells`` stay as they are.
     """
     v = Values()
-    rows = records.pin(parsed, {"_now": F.struct(*[normalised(n).alias(n) for n in CHANGED])})
-    rows = records.pin(rows, {"semantic_errors": _messages(error_rules, v), "semantic_warnings": _messages(warning_rules, v)})
+    rows = normalise(parsed)
+    rows = records.pin(rows, {"_num": F.struct(*[v.parsed(n).alias(n) for n in NUMBERS])})
+    rows = _all_messages(_all_messages(rows, "semantic_errors", error_rules, v), "semantic_warnings", warning_rules, v)
     rows = rows.withColumns({"semantic_metrics": metrics(v), "semantic_valid": F.size("semantic_errors") == 0})
-    return rows.withColumnRenamed("_now", "normalised")
+    return rows.drop("_num").withColumnRenamed("_now", "normalised")

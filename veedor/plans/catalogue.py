@@ -305,12 +305,11 @@ def canon(spark, sf_dir):
     return _documents(spark, sf_dir, canon=text.canon("text"), id_slug=text.id_slug("text"))
 
 
-@registered(r"""SELECT doc_id, CAST(regexp_extract(text, '\b((?:19|20)[0-9]{2})\b', 1) AS STRING) AS first_year,
+@registered(r"""SELECT doc_id, CAST(nullif(regexp_extract(text, '(?:^|[^\p{L}\p{M}\p{N}_])((?:19|20)[0-9]{2})(?:$|[^\p{L}\p{M}\p{N}_])', 1), '') AS BIGINT) AS first_year,
   try_cast(nullif(regexp_extract(replace(text, ',', '.'), '(-?[0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE) AS first_number FROM documents""")
 def document_numbers(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    plain = F.regexp_extract("text", r"\b((?:19|20)[0-9]{2})\b", 1)
-    return docs.select("doc_id", plain.alias("first_year"), numbers.first_number("text").alias("first_number"))
+    return docs.select("doc_id", numbers.years("text").first.alias("first_year"), numbers.first_number("text").alias("first_number"))
 
 
 #: Figures written as catalogue pages write them, out of the parts table.
@@ -385,7 +384,7 @@ def resolve_or_create(spark, sf_dir):
 
 #: Load batches out of line items: many repeats, some rows whose checks did not pass.
 LOADS = """
-SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS BIGINT) AS record_idx, CASE WHEN l_quantity = 7 THEN 'failed' ELSE 'passed' END AS iig_status, 'passed' AS dvl_status,
+SELECT (CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 1000000 + l_partkey AS record_idx, CASE WHEN l_quantity = 7 THEN 'failed' ELSE 'passed' END AS iig_status, 'passed' AS dvl_status,
   'passed' AS batch_status, CAST(l_suppkey AS STRING) AS manufacturer_name, CASE WHEN l_quantity = 9 THEN '' ELSE l_returnflag END AS model_name, CAST(l_partkey AS STRING) AS version_name, l_linestatus AS body_type
 FROM {lineitem}"""
 _L = LOADS.replace("{lineitem}", "lineitem")
@@ -451,7 +450,7 @@ t AS (SELECT unit_id, 0 AS level, unit_id AS path FROM u WHERE parent_id IS NULL
 def territory_paths(spark, sf_dir):
     units = from_sql(spark, sf_dir, """SELECT concat('r', CAST(r_regionkey AS STRING)) AS unit_id, CAST(NULL AS STRING) AS parent_id FROM {region} UNION ALL
         SELECT concat('n', CAST(n_nationkey AS STRING)), concat('r', CAST(n_regionkey AS STRING)) FROM {nation} UNION ALL SELECT concat('s', CAST(s_suppkey AS STRING)), concat('n', CAST(s_nationkey AS STRING)) FROM {supplier}""", "region", "nation", "supplier")
-    return integrity.territory_paths(units, 4).withColumn("path", F.array_join("path", ">"))
+    return integrity.territory_paths(units).withColumn("path", F.array_join("path", ">"))
 
 
 # ---------------------------------------------------------------- state, pages and mapping
