@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veedor.sources.shared import cut
+
 #: Tables with their keys, unique column groups and references (columns, table, columns).
 TABLES = {
     "T_Fabricantes": {"key": ["manufacturer_id"], "unique": [], "refs": []},
@@ -62,7 +64,7 @@ def advert_checks() -> dict[str, Column]:
 def territory_paths(units: DataFrame) -> DataFrame:
     """``unit_id, level, path`` of a territory given as ``unit_id, parent_id``, level by level from the roots.
 
-    Levels are added until one is empty. A unit that comes again on its own path is refused; units
+    Levels are added until one is empty, and each is written before the next is joined to it. A unit that comes again on its own path is refused; units
     that no root leads to are left out.
     """
     level = units.filter("parent_id IS NULL").select("unit_id", F.lit(0).alias("level"), F.array("unit_id").alias("path"))
@@ -72,7 +74,7 @@ def territory_paths(units: DataFrame) -> DataFrame:
         level = units.join(up, "parent_id").select("unit_id", "level", "_path")
         again = F.raise_error(F.concat(F.lit("the territory has a cycle at "), F.col("unit_id").cast("string"))).cast("string")
         own = F.when(F.array_contains("_path", F.col("unit_id")), F.array(again).cast(units.schema["unit_id"].dataType.simpleString().join(("array<", ">"))))
-        level = level.select("unit_id", "level", F.coalesce(own, F.concat("_path", F.array("unit_id"))).alias("path"))
+        level = cut(level.select("unit_id", "level", F.coalesce(own, F.concat("_path", F.array("unit_id"))).alias("path")))
         if level.isEmpty():
             return found
         found = found.union(level)
