@@ -45,6 +45,12 @@ def test_chat_examples_are_prefixes_with_one_trained_reply(formatted):
     assert len(chat_format.explode_examples(formatted.filter("conv_id = 7")).collect()) == 75
 
 
+def test_chat_of_very_many_turns_and_long_texts(spark):
+    turns = spark.range(12_000).selectExpr("5L AS conv_id", "id AS turn", "if(id % 40 = 39, 'assistant', 'user') AS role", "if(id = 7, repeat('</s>', 50000), 'hm') AS text")
+    (row,) = chat_format.digest(chat_format.format_conversations(turns)).collect()
+    assert row["n_turns"] == 12_000 and row["loss_chars"] == 600 and row["n_examples"] == 300
+
+
 def test_chat_empty_table(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.digest(chat_format.format_conversations(none)).collect() == []
@@ -199,3 +205,15 @@ def test_decontamination(spark, empty):
     kept = decontamination.clean_rows(rows, items)
     assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6, 8]
     assert decontamination.find_matches(empty, items).collect() == [] and decontamination.find_matches(rows, items.limit(0)).collect() == []
+
+
+def test_decontamination_beyond_the_broadcast_line_and_of_shared_ids(spark, monkeypatch):
+    docs = [(1, "x one two three four five six seven eight nine ten y"), (1, "a clean text that shares its id"), (None, "tiny item"), (None, "clean"), (2, "c d")]
+    rows = spark.createDataFrame([(*d, 5) for d in docs], "doc_id long, text string, _found long")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    want = sorted({(str(d), i) for d, i in brute_matches(docs, ITEMS)})
+    for most in (200_000, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", most)
+        assert sorted((str(r["doc_id"]), r["item_id"]) for r in decontamination.find_matches(rows, items).collect()) == want
+    kept = decontamination.clean_rows(rows, items)
+    assert kept.columns == rows.columns and sorted(r["text"] for r in kept.collect()) == ["a clean text that shares its id", "c d", "clean"]

@@ -16,6 +16,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veedor.llm.storage import cut
+
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 #: Strings that steer a chat model; inside a text they are escaped. Fixed values.
 CONTROL = (
@@ -60,24 +62,22 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.char_length("body").alias("size"), (F.col("role") == "assistant").alias("reply"),
     )
     runs = pieces.groupBy("conv_id", "run").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    # Lengths add up along the run: an array of them, each the one before it and its own.
+    ends = "aggregate(p, array(0L), (a, x) -> concat(a, array(element_at(a, -1) + char_length(x.shown))))"
     runs = runs.select(
-        "conv_id", "run", F.size("p").alias("n"), F.expr("array_join(transform(p, x -> x.shown), '')").alias("shown"),
-        F.expr("transform(p, (x, i) -> aggregate(slice(p, 1, i), 0L, (a, y) -> a + char_length(y.shown)))").alias("at"), "p",
+        "conv_id", "run", F.size("p").cast("long").alias("n"), F.expr("array_join(transform(p, x -> x.shown), '')").alias("shown"), F.expr(ends).alias("at"), "p",
     ).select(
         "conv_id", "run", "n", "shown", F.char_length("shown").cast("long").alias("chars"),
-        F.expr("""filter(transform(p, (x, i) -> struct(i AS turn_index, at[i] + char_length(x.shown) AS chars,
+        F.expr("""filter(transform(p, (x, i) -> struct(cast(i AS bigint) AS turn_index, at[i] + char_length(x.shown) AS chars,
                   at[i] + x.lead AS loss_start, cast(x.size AS bigint) AS loss_chars, x.reply AS reply)), x -> x.reply)""").alias("e"),
     )
-    whole = runs.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("run", "n", "shown", "chars", "e"))).alias("r"))
-    whole = whole.select(
-        "conv_id", F.expr("aggregate(r, 0L, (a, x) -> a + x.n)").alias("n_turns"), F.expr("array_join(transform(r, x -> x.shown), '')").alias("rendered"),
-        F.expr("aggregate(r, 0L, (a, x) -> a + x.chars)").alias("total"),
-        F.expr("""flatten(transform(r, (x, i) -> transform(x.e, y -> struct(
-            y.turn_index + aggregate(slice(r, 1, i), 0L, (a, z) -> a + z.n) AS turn_index,
-            y.chars + aggregate(slice(r, 1, i), 0L, (a, z) -> a + z.chars) AS chars,
-            y.loss_start + aggregate(slice(r, 1, i), 0L, (a, z) -> a + z.chars) AS loss_start,
-            y.loss_chars AS loss_chars))))""").alias("e"),
-    )
+    # Where each run begins in its conversation: one running sum, and then one addition an example.
+    before = "OVER (PARTITION BY conv_id ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    runs = runs.selectExpr("*", f"coalesce(sum(n) {before}, 0L) AS n0", f"coalesce(sum(chars) {before}, 0L) AS c0")
+    runs = runs.selectExpr("conv_id", "run", "n", "shown", "chars", """transform(e, y -> struct(
+        y.turn_index + n0 AS turn_index, y.chars + c0 AS chars, y.loss_start + c0 AS loss_start, y.loss_chars AS loss_chars)) AS e""")
+    whole = runs.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("run", "shown", "e"))).alias("r"), F.sum("n").alias("n_turns"), F.sum("chars").alias("total"))
+    whole = whole.select("conv_id", "n_turns", F.expr("array_join(transform(r, x -> x.shown), '')").alias("rendered"), "total", F.expr("flatten(transform(r, x -> x.e))").alias("e"))
     tail = "array(named_struct('turn_index', -1L, 'chars', total, 'loss_start', total, 'loss_chars', 0L))"
     return whole.select("conv_id", "n_turns", "rendered", F.expr(f"CASE WHEN try_element_at(e, -1).chars = total THEN e ELSE concat(e, {tail}) END").alias("examples"))
 
@@ -98,13 +98,21 @@ def read_turns(rendered: Column) -> Column:
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """Read the formatted output back: what it holds of each conversation, as counts and digests."""
-    said = formatted.withColumn("t", read_turns(F.col("rendered")))
-    loss = F.expr("transform(examples, e -> substring(rendered, cast(e.loss_start + 1 AS int), cast(e.loss_chars AS int)))")
-    said = said.withColumn("loss", F.array_join(F.transform(loss, unescape), ""))
+    """Read the formatted output back: what it holds of each conversation, as counts and digests.
+
+    Turns are parsed from the rendering; all else comes from the examples' own texts, of which only the
+    trained part and the length are kept.
+    """
+    formatted = cut(formatted)
     lines = F.expr("array_join(transform(t, x -> concat(x.role, '\n', x.text, '\n')), '')")
-    return said.select(
-        "conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
-        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
-        F.expr("aggregate(examples, 0L, (a, e) -> a + e.chars)").alias("formatted_chars"), F.size("examples").cast("long").alias("n_examples"),
+    said = formatted.select("conv_id", read_turns(F.col("rendered")).alias("t"))
+    said = said.select("conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"))
+    loss = unescape(F.expr("substring(text, cast(loss_start + 1 AS int), cast(loss_chars AS int))"))
+    examples = explode_examples(formatted).select("conv_id", "turn_index", F.char_length("text").cast("long").alias("chars"), loss.alias("loss"))
+    trained = F.when(F.col("turn_index") >= 0, F.struct("turn_index", "loss"))
+    examples = examples.groupBy(F.col("conv_id").alias("_conv")).agg(
+        F.sum("chars").alias("formatted_chars"), F.count(F.lit(1)).alias("n_examples"), F.array_join(F.transform(F.array_sort(F.collect_list(trained)), lambda x: x.loss), "").alias("loss")
+    )
+    return said.join(examples, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
+        "conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars", "n_examples",
     )

@@ -9,11 +9,13 @@ sketch is a candidate; candidates are verified by comparing whole shingle sets a
 functions only.
 
 Words are maximal runs of letters and digits in lower case; shingles have five, and a text of fewer
-words is one shingle.
+words is one shingle. So an item of fewer than five words matches only documents of the same words and
+no others, and is not found inside a longer one, where a phrase that short says little.
 
 Defined results: null and wordless texts, of items or documents, match nothing; rows that repeat both
 doc_id and text give their matches once; of repeated item_ids every different text is searched and
-the best match counts; empty tables give no match; further columns are carried through
+the best match counts; ties of equal containment give the same row; a very long text is one row of all its
+shingles; empty tables give no match; further columns are carried through
 :func:`clean_rows` and ignored otherwise.
 """
 
@@ -26,7 +28,7 @@ from veedor.llm.storage import cut, keep_possible
 
 #: Words of a shingle, and the share of an item's shingles that makes a match.
 SHINGLE, LEAST = 5, 0.75
-#: Sketches and item shingles are broadcast up to so many rows, and joined by shuffle beyond.
+#: Sketches and item shingles are broadcast up to so many rows; beyond, a bit array of fixed size is.
 BROADCAST_ROWS = 200_000
 
 
@@ -45,9 +47,15 @@ def _shingle_texts(w: str) -> Column:
     return F.expr(f"array_distinct(transform(sequence(1, greatest(size({w}) - {SHINGLE - 1}, 1)), i -> array_join(slice({w}, i, {SHINGLE}), ' ')))")
 
 
-def _bounded(side: DataFrame) -> DataFrame:
-    """Mark a checkpointed side for broadcast if its counted rows are few."""
-    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+def _meet(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Join rows of all documents with a checkpointed side of the items.
+
+    A side of few counted rows is broadcast. Of a larger one a bit array is, and only rows whose bit is
+    set are shuffled; either way gives the same rows.
+    """
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), key)
+    return keep_possible(rows, side.select(key), key).join(side.hint("merge"), key)
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
@@ -68,23 +76,29 @@ def sketches(shingles: DataFrame) -> DataFrame:
     return own.select("item_key", F.explode(F.expr("slice(h, 1, k)")).alias("hash"))
 
 
-def find_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Every match: ``doc_id, item_id, n_shared, n_item, containment``."""
+def _matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Every match with the key of the document's id and text: ``doc_id, doc_key, item_id, b``."""
     shingles = cut(item_shingles(items))
-    wanted = _bounded(cut(sketches(shingles)))
     w = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), words(F.col("text")).alias("w")).filter("size(w) > 0")
     probes = w.select("doc_id", "doc_key", F.explode(F.array_distinct(_shingle_hashes("w"))).alias("hash"))
-    candidates = cut(probes.join(wanted, "hash").select("doc_id", "doc_key", "item_key").distinct())
+    candidates = cut(_meet(probes, cut(sketches(shingles)), "hash").select("doc_id", "doc_key", "item_key").distinct())
     # Verification reads the candidates' texts again and compares shingles themselves.
     keyed = keep_possible(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key")), candidates.select("doc_key"), "doc_key")
     texts = keyed.select("doc_key", words(F.col("text")).alias("w")).filter("size(w) > 0").select("doc_key", F.explode(_shingle_texts("w")).alias("shingle"))
-    shared = texts.join(_bounded(shingles), "shingle").groupBy("doc_key", "item_key", "item_id", "n").agg(F.count_distinct("shingle").alias("n_shared"))
+    shared = _meet(texts, shingles, "shingle").groupBy("doc_key", "item_key", "item_id", "n").agg(F.count_distinct("shingle").alias("n_shared"))
     good = shared.filter(F.col("n_shared") >= LEAST * F.col("n")).join(candidates, ["doc_key", "item_key"])
-    best = good.groupBy("doc_id", "doc_key", "item_id").agg(F.max_by(F.struct(F.col("n_shared").alias("n_shared"), F.col("n").cast("long").alias("n_item")), F.col("n_shared") / F.col("n")).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_shared", "b.n_item", (F.col("b.n_shared") / F.col("b.n_item")).alias("containment"))
+    return good.groupBy("doc_id", "doc_key", "item_id").agg(F.max_by(F.struct(F.col("n_shared").alias("n_shared"), F.col("n").cast("long").alias("n_item")), F.col("n_shared") / F.col("n")).alias("b"))
+
+
+def find_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Every match: ``doc_id, item_id, n_shared, n_item, containment``."""
+    return _matches(docs, items).select("doc_id", "item_id", "b.n_shared", "b.n_item", (F.col("b.n_shared") / F.col("b.n_item")).alias("containment"))
 
 
 def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns."""
-    found = cut(find_matches(docs, items).select(F.col("doc_id").alias("_found")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """The rows of ``docs`` in which no item is found, with all their columns.
+
+    Each row is judged by its own text: rows that share a doc_id with a contaminated one stay.
+    """
+    found = cut(_matches(docs, items).select("doc_key").distinct().toDF("_found_by_key"))
+    return docs.join(found, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_found_by_key"), "left_anti")

@@ -64,7 +64,44 @@ QUERIES = {
         op6_decontamination, op7_mixing, op8_token_counts, op9_language_id, op10_substring_dedup,
     )
 }
+
+
+def _escaped(column: str) -> str:
+    """SQL of the length of a text once its control strings and backslashes are escaped."""
+    parted = "".join(f", '{c}', '{c[0]}~{c[1:]}')" for c in chat_format.CONTROL)
+    return f"(len({'replace(' * len(chat_format.CONTROL)}{column}{parted}) + len({column}) - len(replace({column}, '\\', '')))"
+
+
+_MARKS = len(chat_format.TURN) + len(chat_format.BODY) + len(chat_format.END)
 ORACLES: dict[str, str] = {
+    "op1_chat_formatting": rf"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, row_number() OVER w AS place, sum({_MARKS} + {_escaped("role")} + {_escaped("text")}) OVER (w ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS turns, coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss,
+  CAST(sum(upto) FILTER (WHERE role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars, count(*) FILTER (WHERE role = 'assistant' OR place = n) AS n_examples FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, len(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars, n_examples FROM g""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: md5_number(array_to_string(w[i:i+4], ' ')))) AS shingle FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n, bit_xor(shingle) AS node FROM s GROUP BY doc_id),
+u AS (SELECT node, any_value(n) AS n, min(doc_id) AS doc_id FROM n GROUP BY node),
+r AS (SELECT s.* FROM s JOIN u USING (doc_id)),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM r a JOIN r b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT a, b FROM shared JOIN u x ON x.doc_id = a JOIN u y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+sides AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM u UNION SELECT reach.a, sides.b FROM reach JOIN sides ON sides.a = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN u USING (node) LEFT JOIN c ON c.doc_id = u.doc_id""",
+    "op10_substring_dedup": r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM p JOIN (SELECT k, min(doc_id) AS least FROM p GROUP BY k) USING (k) WHERE least < doc_id),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM w WHERE len(w) > 0),
+d AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY j) AS said FROM x ANTI JOIN g USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256 FROM w LEFT JOIN d USING (doc_id)""",
     "op6_decontamination": r"""
 WITH w AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 t AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM w),

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veedor.sources.shared import cut
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and carry on from the copy.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in local
-    tests, a temporary folder stands in for it.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="veedor-"))
-    return df.checkpoint()
+__all__ = ["attach_groups", "cut", "fold_of", "keep_possible", "labelled_sample", "lookup", "running_sums", "shuffle_width"]
 
 
 def shuffle_width(spark: SparkSession) -> int:
