@@ -177,8 +177,8 @@ class NodeStore:
 
         size, above = FAN**self.stride, None
         for k in reversed(range(self.strides)):
-            rows = self.stride_rows(k)
-            need = wanted if k == 0 else rows.filter(F.col("level") == self.stride * k).select("tree", "pos")
+            rows = self.stride_rows(k)  # read anew for each use, so that columns stay apart
+            need = wanted if k == 0 else self.stride_rows(k).filter(F.col("level") == self.stride * k).select("tree", "pos")
             side = rows.select("tree", "block", "level", "pos", "digest", *(F.lit(None).cast(t).alias(c) for c, t in _PROOF.items()))
             given = []
             if above is not None:
