@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veedor.operators import batch, load, mapping, resolve, structural
 from veedor.sources import pages, records
+from veedor.sources.committed import CommittedTable
 from veedor.sources.contract import load_contract, version_contract
 
 
@@ -68,13 +69,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         return 0
     key = load.load_key(F.col("manufacturer_id"), F.col("model_id"), F.col("generation_id"))
     ready = resolved.select("record_idx", "raw", "version_id", F.coalesce(load.prevalidate(), F.col("resolution_error")).alias("error"), key.alias("load_key"))
-    try:
-        known = spark.read.parquet(a.table).select("load_key")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        known = spark.createDataFrame([], "load_key string")
-    load.load(load.decide(ready, known), a.table, load.new_run_id(), strict=not a.non_strict).show(truncate=False, vertical=True)
+    loaded = load.load_committed(ready, CommittedTable(spark, a.table), load.new_run_id(), strict=not a.non_strict)
+    loaded.report.show(truncate=False, vertical=True)
     return 0
 
 

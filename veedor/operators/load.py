@@ -6,11 +6,16 @@ Statuses are computed before anything is written. A strict load with a failed ro
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from veedor.operators.spread import attach
 from veedor.sources import records
+from veedor.sources.committed import CommittedTable
+from veedor.sources.shared import cut
 
 #: Checks that must have passed, and the fields that a row must have.
 GATES = ("iig_status", "dvl_status", "batch_status")
@@ -43,31 +48,109 @@ def decide(rows: DataFrame, target_keys: DataFrame) -> DataFrame:
     """Add ``status``: ``failed`` with an error, ``skipped_duplicate``, or ``inserted``.
 
     ``rows`` has ``record_idx, load_key, error``. Among rows of one key the first is inserted, unless
-    the target has the key. The first is found by a plain minimum, so a key may hold most rows.
+    the target has the key; of rows that share their record_idx too, one is. Rows are kept once in the
+    shared folder; a key that most of them have is counted on the map side and its rows do not move.
     """
-    firsts = rows.filter("error IS NULL").groupBy("load_key").agg(F.min("record_idx").alias("_first"))
-    known = target_keys.select("load_key").distinct().withColumn("_known", F.lit(True))
-    state = firsts.join(known, "load_key", "left")
-    out = rows.join(state, "load_key", "left")
-    status = F.when(F.col("error").isNotNull(), "failed").when(F.col("_known").isNotNull() | (F.col("record_idx") != F.col("_first")), "skipped_duplicate").otherwise("inserted")
-    return out.withColumns({"status": status, "load_key": F.when(F.col("error").isNull(), F.col("load_key")).otherwise("UNAVAILABLE")}).drop("_first", "_known")
+    return _decide(rows, lambda keys: target_keys.select("load_key").distinct())
 
 
-def report(decided: DataFrame, run_id: str | None = None) -> DataFrame:
-    """One row of counts by status, and the tables that change."""
-    counts = decided.agg(F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col("status") == s).alias(s) for s in ("inserted", "skipped_duplicate", "failed")])
+def _decide(rows: DataFrame, known_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    names = rows.columns
+    rows = cut(rows.withColumn("_seq", F.monotonically_increasing_id()))
+    fit = rows.filter("error IS NULL")
+    firsts = cut(fit.groupBy("load_key").agg(F.min(F.struct("record_idx", "_seq")).alias("_first"), F.count(F.lit(1)).alias("_n")))
+    total = firsts.agg(F.sum("_n")).first()[0] or 0
+    state = firsts.join(known_of(firsts.select("load_key")).withColumn("_known", F.lit(True)), "load_key", "left")
+    repeated = F.col("_known").isNotNull() | (F.struct("record_idx", "_seq") != F.col("_first"))
+    judged = attach(fit, state, "load_key", "_n", total).withColumn("status", F.when(repeated, "skipped_duplicate").otherwise("inserted"))
+    failed = rows.filter("error IS NOT NULL").withColumns({"load_key": F.lit("UNAVAILABLE"), "status": F.lit("failed")})
+    return judged.select(*names, "status").unionByName(failed.select(*names, "status"))
+
+
+STATUSES = ("inserted", "skipped_duplicate", "failed")
+
+
+def _counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES]]
+
+
+def _with_tables(counts: DataFrame, run_id: str | None) -> DataFrame:
     touched = F.when(F.col("inserted") > 0, F.array(F.lit("T_Versiones"))).otherwise(F.array().cast("array<string>"))
     return counts.withColumns({"affected_tables": touched, "ingestion_run_id": F.lit(run_id or new_run_id())})
 
 
+def report(decided: DataFrame, run_id: str | None = None) -> DataFrame:
+    """One row of counts by status, and the tables that change."""
+    return _with_tables(decided.agg(*_counts()), run_id)
+
+
+def refuse_failed(decided: DataFrame) -> None:
+    """Raise for the first failed row, if there is one."""
+    first = decided.filter("status = 'failed'").select(F.min(F.struct("record_idx", "error")).alias("f")).first()["f"]
+    if first is not None:
+        raise ValueError(f"row {first['record_idx']}: {first['error']}")
+
+
 def load(decided: DataFrame, path: str, run_id: str, strict: bool = True) -> DataFrame:
     """Append the inserted rows to the Parquet table at ``path`` in one committed write.
 
-    A strict load raises before writing if any row failed.
+    A strict load raises before writing if any row failed. Only one writer at a time is safe here;
+    ``load_committed`` takes any number.
     """
+    decided = cut(decided)
     if strict:
-        first = decided.filter("status = 'failed'").select(F.min(F.struct("record_idx", "error")).alias("f")).first()["f"]
-        if first is not None:
-            raise ValueError(f"row {first['record_idx']}: {first['error']}")
+        refuse_failed(decided)
     decided.filter("status = 'inserted'").drop("status", "error").withColumn("ingestion_run_id", F.lit(run_id)).write.mode("append").parquet(path)
     return report(decided, run_id)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did: the rows with their ``status``, and its report of one row."""
+
+    decided: DataFrame
+    report: DataFrame
+
+
+def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict: bool = True, attempts: int = 100) -> Loaded:
+    """Load ``record_idx, load_key, error`` and further columns into ``table``, beside other writers (K6, L6, L8).
+
+    Rows are judged against the version that was read, staged, and committed as the next one. If
+    another writer took that version, only keys that it and its followers brought are taken out of
+    what was staged, and the next version is tried; so every key enters once, and all rows of a load
+    at once. Strict: a failed row raises before anything is staged. A run id that was committed
+    before is not loaded again: its rows count as duplicates. The report's counts are observed while
+    rows are judged; no further pass is made for them.
+    """
+    spark, seen = rows.sparkSession, table.version()
+    counts = Observation()
+    decided = cut(_decide(rows, lambda keys: table.known(keys, upto=seen)).observe(counts, *_counts()))
+    n = dict(counts.get)
+
+    def done() -> Loaded:
+        made = spark.createDataFrame([tuple(n[c] for c in ("total_rows", *STATUSES))], f"total_rows long, {', '.join(f'{s} long' for s in STATUSES)}")
+        return Loaded(decided, _with_tables(made, run_id))
+
+    if strict and n["failed"]:
+        refuse_failed(decided)
+    if not n["inserted"] or run_id in table.run_ids():
+        return done()
+    stage = lambda: table.stage(decided.filter("status = 'inserted'").drop("status", "error").withColumn("ingestion_run_id", F.lit(run_id)))
+    entry = stage()
+    for _ in range(attempts):
+        if table.commit(seen + 1, entry, run_id):
+            return done()
+        newest = table.version()
+        mine = decided.filter("status = 'inserted'")
+        taken = cut(table.known(mine.select("load_key"), after=seen, upto=newest))
+        n_taken, seen = taken.count(), newest
+        if n_taken:
+            lost = mine.join(taken.withColumn("_taken", F.lit(True)), "load_key", "left")
+            status = F.when(F.col("_taken"), "skipped_duplicate").otherwise("inserted")
+            decided = cut(lost.withColumn("status", status).select(*decided.columns).unionByName(decided.filter("status != 'inserted'")))
+            n["inserted"] -= n_taken
+            n["skipped_duplicate"] += n_taken
+            if not n["inserted"]:
+                return done()
+            entry = stage()
+    raise RuntimeError(f"no version could be committed in {attempts} attempts")
