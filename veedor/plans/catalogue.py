@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from veedor.functions import numbers, text
 from veedor.operators import batch, integrity, load, mapping, resolve, semantic, structural
-from veedor.sources import pages, records, urls
+from veedor.sources import arrays, pages, records, urls
 from veedor.sources.committed import CommittedTable
 from veedor.sources.contract import version_contract
 from veedor.sources.shared import cut, shared_folder
@@ -88,6 +88,21 @@ _KEYED = f"""WITH v AS ({_V}), k AS (SELECT *, {_NORM("manufacturer_name")} || '
 r AS (SELECT *, generation_key || '|' || {_NORM("version_name")} AS semantic_key FROM k)"""
 _PRESENT = " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for f in FIELDS)
 
+# ---------------------------------------------------------------- record sources
+
+
+@registered(f"""WITH v AS ({_V}) SELECT row_number() OVER (ORDER BY record_idx) - 1 AS record_idx, manufacturer_name, generation_name, version_name, doors, engine_displacement_l, CAST(power_cv AS VARCHAR) AS power_cv FROM v""")
+def json_array_records(spark, sf_dir):
+    """All records as one JSON array file, read again by byte ranges."""
+    path = f"{shared_folder(spark)}/array-{uuid.uuid4().hex}"
+    rows = records.records_of(from_sql(spark, sf_dir, VERSIONS, "part"), FIELDS, F.col("record_idx"))
+    ends = spark.createDataFrame([(-1, "["), (2**62, "null]")], "record_idx long, raw string")  # an array ends without a comma
+    text = F.when(F.col("record_idx").between(0, 2**62 - 1), F.concat("raw", F.lit(","))).otherwise(F.col("raw"))
+    rows.unionByName(ends).coalesce(1).sortWithinPartitions("record_idx").select(text.alias("value")).write.text(path)
+    read = records.parse_records(arrays.read_large_json_array(spark, path)).filter("is_object")
+    return read.select("record_idx", *[records.text(n).alias(n) for n in ("manufacturer_name", "generation_name", "version_name", "doors")], records.number("engine_displacement_l").alias("engine_displacement_l"), records.text("power_cv").alias("power_cv"))
+
+
 # ---------------------------------------------------------------- batch validation
 
 
@@ -506,6 +521,33 @@ def advert_lifecycle(spark, sf_dir):
     return state.lifecycle(table(spark, sf_dir, "events"), "user_id", "ts", "value")
 
 
+#: Sightings out of events: a third of them are of one advert; some have no price.
+SIGHTINGS = "SELECT CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS advert, ts, CASE WHEN event_id % 11 > 0 THEN value END AS price FROM {events}"
+_STATES = f"""WITH s AS ({SIGHTINGS.replace("{events}", "events")}), h AS (SELECT max(ts) AS horizon FROM s),
+g AS (SELECT *, ts - lag(ts) OVER w AS gap FROM s WINDOW w AS (PARTITION BY advert ORDER BY ts, price NULLS FIRST)),
+i AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY advert ORDER BY ts, price NULLS FIRST ROWS UNBOUNDED PRECEDING) AS run FROM g),
+r AS (SELECT advert, run, min(ts) AS since, max(ts) AS last, count(*) AS sightings, first(price ORDER BY ts, price NULLS FIRST) AS first_price, last(price ORDER BY ts, price NULLS FIRST) AS last_price, first(gap ORDER BY ts, price NULLS FIRST) AS gap FROM i GROUP BY 1, 2),
+n AS (SELECT *, lead(since) OVER (PARTITION BY advert ORDER BY run) AS next FROM r),
+st AS (SELECT advert, CASE WHEN gap > INTERVAL 36 HOUR THEN 'reactivado' ELSE 'activo' END AS state, since, sightings, first_price, last_price FROM n
+  UNION ALL SELECT advert, 'no_visto', last + INTERVAL 12 HOUR, NULL, NULL, NULL FROM n, h WHERE last + INTERVAL 12 HOUR <= horizon AND (next IS NULL OR last + INTERVAL 12 HOUR < next)
+  UNION ALL SELECT advert, 'inactivo_confirmado', last + INTERVAL 36 HOUR, NULL, NULL, NULL FROM n, h WHERE last + INTERVAL 36 HOUR <= horizon AND (next IS NULL OR last + INTERVAL 36 HOUR < next)),
+o AS (SELECT advert, CAST(row_number() OVER (PARTITION BY advert ORDER BY since) AS INTEGER) AS seq, state, since, lead(since) OVER (PARTITION BY advert ORDER BY since) AS until, sightings, first_price, last_price FROM st)"""
+
+
+def _advert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.advert_states(from_sql(spark, sf_dir, SIGHTINGS, "events"), "advert", "ts", "price", "12 hours", "36 hours")
+
+
+@registered(f"{_STATES} SELECT * FROM o")
+def advert_states(spark, sf_dir):
+    return _advert_states(spark, sf_dir)
+
+
+@registered(f"{_STATES} SELECT advert, min(since) AS first_seen, max(since) AS state_since, arg_max(state, since) AS estado_anuncio, CAST(sum(sightings) AS BIGINT) AS sightings, count(*) FILTER (WHERE state = 'reactivado') AS times_back FROM o GROUP BY advert")
+def advert_status(spark, sf_dir):
+    return state.advert_status(_advert_states(spark, sf_dir), "advert")
+
+
 @registered("SELECT url FROM pages ORDER BY page_id LIMIT 40 OFFSET 9")
 def url_slice(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("idx"), "url")
