@@ -6,6 +6,7 @@ made of their columns; the SQL that makes them is shared with the oracle, what i
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -452,6 +453,45 @@ def committed_load(spark, sf_dir):
     return made.rows().select("record_idx", "load_key", "ingestion_run_id")
 
 
+#: The declared tables out of those at hand, each with rows that break some of its constraints.
+DECLARED = {
+    "T_Paises": "SELECT r_regionkey AS id, CASE WHEN r_regionkey < 2 THEN 'X' WHEN r_regionkey < 4 THEN r_name END AS nombre FROM {region}",
+    "T_Provincias": "SELECT CASE WHEN n_nationkey <> 5 THEN n_nationkey END AS id, CASE WHEN n_nationkey % 8 = 0 THEN 'P' ELSE n_name END AS nombre, CASE WHEN n_nationkey % 10 = 0 THEN 9 WHEN n_nationkey % 10 <> 1 THEN n_regionkey END AS pais_id FROM {nation}",
+    "T_Municipios": "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 'M' ELSE s_name END AS nombre, CASE WHEN s_suppkey % 17 = 0 THEN 99 ELSE s_nationkey END AS provincia_id FROM {supplier}",
+    "T_Concesionarios": "SELECT c_custkey AS id, CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'dealer' ELSE c_name END AS nombre_normalizado FROM {customer}",
+    "T_Fabricantes": "SELECT DISTINCT p_brand AS manufacturer_id FROM {part} WHERE p_brand <> 'Brand#3'",
+    "T_Modelos": "SELECT DISTINCT p_brand || '_' || p_type AS model_id, CASE WHEN p_brand <> 'Brand#4' THEN p_brand END AS manufacturer_id, CASE WHEN p_size % 2 = 0 THEN p_type END AS model_name FROM {part}",
+    "T_Generaciones": "SELECT p_brand || '_' || p_type || '_' || CAST(p_size % 4 AS VARCHAR(9)) AS generation_id, p_brand || '_' || p_type AS model_id, p_brand AS manufacturer_id, CAST(p_size % 3 AS VARCHAR(9)) AS generation_name FROM {part} WHERE p_size < 40",
+    "T_Versiones": "SELECT CAST(p_partkey - p_partkey % 20 % 2 AS VARCHAR(9)) AS version_id, p_name AS version_name_canonical, p_brand AS manufacturer_id, p_brand || '_' || p_type AS model_id, CASE WHEN p_size % 9 > 0 THEN p_brand || '_' || p_type || '_' || CAST(p_size % 4 AS VARCHAR(9)) END AS generation_id FROM {part}",
+    "T_Anuncios": "SELECT o_orderkey - o_orderkey % 100 % 2 AS id, CASE WHEN o_orderkey % 31 > 0 THEN o_orderstatus END AS fuente, 'u' AS url, CAST(o_custkey AS VARCHAR(9)) AS ide_coche, o_orderdate AS fecha_scrapeo, CASE WHEN o_orderkey % 13 > 0 THEN o_orderdate END AS first_seen, CASE WHEN o_orderkey % 11 = 0 THEN DATE '1990-01-01' WHEN o_orderkey % 7 = 0 THEN DATE '2050-01-01' ELSE o_orderdate END AS last_seen, CASE o_orderkey % 6 WHEN 0 THEN 'activo' WHEN 1 THEN 'no_visto' WHEN 2 THEN 'vendido' WHEN 3 THEN 'reactivado' WHEN 4 THEN 'inactivo_confirmado' END AS estado_anuncio, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 5 - 1 END AS es_profesional, CASE WHEN o_orderkey % 3 > 0 THEN 1 ELSE o_custkey + o_orderkey % 2 * 1000000 END AS concesionario_id, o_orderkey % 120 AS municipio_id, o_orderkey % 30 AS provincia_id, CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey % 9 END AS pais_id FROM {orders}",
+    "T_Historico_Precios": "SELECT l_orderkey * 4 + l_linenumber AS id, CASE WHEN l_partkey % 10 > 0 THEN l_orderkey END AS anuncio_id, l_shipdate AS fecha_scrapeo FROM {lineitem}",
+}
+_ADVERT_CHECKS = {
+    "es_profesional": "es_profesional IN (0, 1)", "estado_anuncio": "estado_anuncio IN ('activo', 'no_visto', 'inactivo_confirmado', 'reactivado')",
+    "seen_order": "first_seen <= last_seen", "scraped_after_seen": "last_seen <= fecha_scrapeo",
+}
+
+
+def _suite_sql() -> str:
+    parts = []
+    for name, d in integrity.TABLES.items():
+        for kind, g in [("key", d["key"]), *[("unique", u) for u in d.get("unique", [])]]:
+            null, cols = " OR ".join(f"{c} IS NULL" for c in g), ", ".join(g)
+            parts.append(f"SELECT '{name}' AS \"table\", '{kind}({','.join(g)})' AS \"constraint\", CAST(coalesce(sum(CASE WHEN {null} THEN {'n' if kind == 'key' else 0} ELSE n - 1 END), 0) AS BIGINT) AS violations FROM (SELECT {cols}, count(*) AS n FROM {name} GROUP BY {cols})")
+        rules = [(f"not_null({c})", f"{c} IS NULL") for c in d.get("not_null", [])] + [(f"check({n})", f"NOT ({c})") for n, c in (_ADVERT_CHECKS if name == "T_Anuncios" else {}).items()]
+        parts += [f"SELECT '{name}', '{label}', count(*) FILTER (WHERE {bad}) FROM {name}" for label, bad in rules]
+        parts += [f"SELECT '{name}', 'reference({c}->{t}.{k})', count(*) FROM {name} x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {t} y WHERE y.{k} = x.{c})" for c, t, k in d.get("refs", [])]
+    views = ", ".join(f"{name} AS ({re.sub(r'[{}]', '', sql)})" for name, sql in DECLARED.items())
+    return f"WITH {views} {' UNION ALL '.join(parts)}"
+
+
+@registered(_suite_sql())
+def constraint_suite(spark, sf_dir):
+    """Every declared constraint of all ten tables, with the number of rows that break it."""
+    needs = {name: sql[sql.index("{") + 1 : sql.index("}")] for name, sql in DECLARED.items()}
+    return integrity.check_suite({name: from_sql(spark, sf_dir, sql, needs[name]) for name, sql in DECLARED.items()})
+
+
 @registered("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def unique_violations(spark, sf_dir):
     return integrity.unique_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
