@@ -12,9 +12,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from veedor.operators import batch, load, mapping, resolve, structural
-from veedor.sources import pages, records
+from veedor.sources import arrays, pages, records
 from veedor.sources.committed import CommittedTable
 from veedor.sources.contract import load_contract, version_contract
+from veedor.sources.shared import cut
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -50,13 +51,13 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         clean = mapping.map_to_contract(mapping.raw_from_pages(parsed, "source"), version_contract())
         clean.write.mode("overwrite").json(a.output, ignoreNullFields=False)
         return 0
-    rows = records.parse_records(records.read_json_array(spark, a.input))
+    rows = cut(records.parse_records(arrays.read_large_json_array(spark, a.input)))
     if a.command == "validate":
         contract = load_contract(a.contract) if a.contract else version_contract()
         gated = structural.validate_records(rows, contract, structural.Settings(strict=a.strict))
         structural.batch_report(gated).show(truncate=False, vertical=True)
-        enriched = batch.enrich(rows)
-        found = batch.dataset_metrics(enriched, batch.detect_issues(enriched))
+        enriched = batch.enrich(records.require_objects(rows))
+        found = batch.dataset_metrics(enriched, batch.issue_tables(enriched)[0])
         found.show(truncate=False, vertical=True)
         return 0 if gated.filter("flags.should_block").isEmpty() and found.first()["is_valid_dataset"] else 2
     named = rows

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from veedor.functions.numbers import lenient_double
 from veedor.functions.text import collapse, key_text, strip
+from veedor.operators.spread import attach
 from veedor.sources import records
+from veedor.sources.shared import cut
 
 # The identity of a version, fields whose conflict matters, keys that say nothing of content, plausible ranges.
 IDENTITY = ("manufacturer_name", "model_name", "generation_name", "version_name")
@@ -203,3 +205,97 @@ def dataset_metrics(enriched: DataFrame, issues: DataFrame) -> DataFrame:
     counts = issues.agg(F.count_if(F.col("severity") == "error").alias("conflicts"), F.count_if(F.col("severity") == "warning").alias("warnings"), F.count_if(F.col("code").startswith("duplicate_")).alias("duplicates"))
     both = totals.join(F.broadcast(counts))  # one row each
     return both.select("total_records", "unique_versions", "duplicates", "conflicts", "warnings", "completeness_avg", "generations", (F.col("conflicts") == 0).alias("is_valid_dataset"))
+
+
+# ---------------------------------------------------------------- issues without lists
+#
+# The functions above list the records of an issue in its row, for reports of batches of some
+# thousand records. Those below keep them in a table of their own, so that no row grows.
+
+#: The columns of an issue, and of a record's part in one.
+TABLE_ISSUE = ("issue_id", "stage", "first_idx", "pos", "code", "severity", "message", "semantic_key", "generation_key", "n_records", "field", "details")
+MEMBER = ("issue_id", "record_idx", "value")
+
+
+def narrow(enriched: DataFrame) -> DataFrame:
+    """What the batch checks read, computed once and kept in the shared folder."""
+    used = {*CONFLICTING, *RANGES}
+    cells = F.map_filter("cells", lambda name, _: name.isin(*sorted(used)))
+    return cut(enriched.select("record_idx", "semantic_key", "generation_key", "completeness", "fingerprint", cells.alias("cells")))
+
+
+def _issue_id(code: Column | str, *key: Column | str) -> Column:
+    return F.md5(F.concat_ws("|", code if isinstance(code, Column) else F.lit(code), *[k.cast("string") if isinstance(k, Column) else F.col(k).cast("string") for k in key]))
+
+
+def _table_issues(rows: DataFrame, stage: int, pos: Column | int, code: Column | str, severity: str, message: Column, details: Column, n: Column | str = "n", field: Column | None = None) -> DataFrame:
+    have = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    out = {
+        "issue_id": F.col("issue_id"), "stage": F.lit(stage), "first_idx": F.col("first_idx"), "pos": pos if isinstance(pos, Column) else F.lit(pos), "code": code if isinstance(code, Column) else F.lit(code),
+        "severity": F.lit(severity), "message": message, "semantic_key": have("semantic_key"), "generation_key": have("generation_key"), "n_records": (F.col(n) if isinstance(n, str) else n).cast("long"),
+        "field": F.lit(None).cast("string") if field is None else field, "details": details,
+    }
+    return rows.select(*[out[c].alias(c) for c in TABLE_ISSUE])
+
+
+def _members_of(rows: DataFrame, issues: DataFrame, total: int) -> DataFrame:
+    """Those of ``issue_id, record_idx, value`` whose issue there is; an issue that most rows have moves none of them."""
+    sizes = issues.select("issue_id", F.col("n_records").alias("_n"))
+    return attach(rows, sizes, "issue_id", "_n", total).filter("_n IS NOT NULL").select(*MEMBER)
+
+
+def issue_tables(enriched: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:  # noqa: B008
+    """All issues of a batch and the records of each, as two tables: ``TABLE_ISSUE`` and ``MEMBER``.
+
+    The codes, severities and messages of ``detect_issues``. Groups are counted with partial sums and
+    members found by the issue's digest, of which those that most records share are split; so a key
+    that holds most of a batch, such as that of all empty names, takes no more memory than another.
+    For a conflict ``value`` is what the record says, and ``details`` counts the values.
+    """
+    rows = narrow(enriched)
+    total, none = rows.count(), F.lit(None).cast("string")
+    groups = key_groups(rows).withColumn("generation_key", generation_key("semantic_key")).filter("n > 1")
+
+    code = F.when(F.col("payloads") == 1, "duplicate_exact").otherwise("duplicate_semantic")
+    details = F.to_json(F.struct(F.substring_index(code, "_", -1).alias("duplicate_kind"), F.col("n").alias("records_in_group")))
+    repeated = groups.withColumn("issue_id", _issue_id("duplicate", "semantic_key"))
+    duplicates = cut(_table_issues(repeated, 2, 0, code, "warning", F.format_string("Se detectaron %d registros para la misma versión semántica.", "n"), details))
+    in_duplicates = rows.select(_issue_id("duplicate", "semantic_key").alias("issue_id"), "record_idx", none.alias("value"))
+
+    pairs = F.array(*[F.struct(F.lit(k).alias("pos"), F.lit(n).alias("field"), scalar_text(records.kind(n), records.text(n)).alias("value")) for k, n in enumerate(CONFLICTING)])
+    long = rows.select("semantic_key", "record_idx", F.explode(F.filter(pairs, lambda p: p.value.isNotNull())).alias("p")).select("semantic_key", "record_idx", "p.*")
+    by_value = long.groupBy("semantic_key", "pos", "field", "value").agg(F.count(F.lit(1)).alias("n"))
+    by_field = by_value.groupBy("semantic_key", "pos", "field").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n")).filter("n_values > 1")
+    clashing = by_field.join(groups.select("semantic_key", "generation_key", "first_idx"), "semantic_key").withColumn("issue_id", _issue_id("conflict", "semantic_key", "field"))
+    text = F.format_string("La versión presenta conflicto interno en el campo '%s'.", "field")
+    conflicts = cut(_table_issues(clashing, 0, F.col("pos"), "conflict_same_version", "error", text, F.to_json(F.struct("n_values")), field=F.col("field")))
+    in_conflicts = long.select(_issue_id("conflict", "semantic_key", "field").alias("issue_id"), "record_idx", "value")
+
+    weak = generation_summary(rows).withColumnRenamed("records", "n")
+    sparse, poor = F.col("unique_versions") < settings.sparse_versions, F.col("completeness") < settings.low_completeness
+    few = weak.filter(sparse).withColumn("issue_id", _issue_id("generation_low_coverage", "generation_key"))
+    low = weak.filter(poor).withColumn("issue_id", _issue_id("generation_low_completeness", "generation_key"))
+    generations = cut(
+        _table_issues(few, 4, 0, "generation_low_coverage", "warning", F.lit("La generación tiene muy pocas versiones únicas en el lote."), F.to_json(F.struct("unique_versions"))).unionByName(
+            _table_issues(low, 4, 1, "generation_low_completeness", "warning", F.lit("La generación presenta baja completitud media."), F.to_json(F.struct(F.bround("completeness", 4).alias("avg_completeness"))))
+        )
+    )
+    both = F.explode(F.array(_issue_id("generation_low_coverage", "generation_key"), _issue_id("generation_low_completeness", "generation_key")))
+    in_generations = rows.select(both.alias("issue_id"), "record_idx", none.alias("value"))
+
+    one = detect_record_conflicts(rows).unionByName(detect_outliers(rows))
+    field = F.when(F.size("fields") == 1, F.col("fields")[0])
+    one = one.withColumns({"issue_id": _issue_id(F.col("code"), "first_idx", F.array_join("fields", ",")), "n": F.lit(1)})
+    single = one.select("issue_id", "stage", "first_idx", "pos", "code", "severity", "message", "semantic_key", "generation_key", F.col("n").cast("long").alias("n_records"), field.alias("field"), "details")
+
+    issues, members = single, single.select("issue_id", F.col("first_idx").alias("record_idx"), none.alias("value"))
+    for found, candidates, times in ((duplicates, in_duplicates, 1), (conflicts, in_conflicts, len(CONFLICTING)), (generations, in_generations, 2)):
+        issues = issues.unionByName(found)
+        members = members.unionByName(_members_of(candidates, found, times * total))
+    return issues, members
+
+
+def with_lists(issues: DataFrame, members: DataFrame) -> DataFrame:
+    """On request: ``record_indexes`` in each issue's row, in order; a row holds all records of its issue."""
+    listed = members.groupBy("issue_id").agg(F.array_sort(F.collect_list("record_idx")).alias("record_indexes"))
+    return issues.join(listed, "issue_id", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veedor.functions.text import canon, clean_text, id_slug, strip
+from veedor.operators.spread import numbered
 
 #: Short names of generations and the names that they stand for.
 GENERATION_ALIASES = {"mk5": "ibiza 2017 actualidad", "mk4": "ibiza 2008 2017", "mk3": "ibiza 2002 2009", "mk2": "ibiza 1993 2002", "mk1": "ibiza 1984 1993"}
@@ -91,7 +92,7 @@ def resolve_or_create(rows: DataFrame, existing: DataFrame, name: str, id_: str,
     """Look names up exactly, trimmed; new ones get the next numbers in order of first sight.
 
     Returns ``rows`` with ``id_``, and the new entries ``[parent,] id_, name``. Only the distinct new
-    names are numbered, not the rows.
+    names are numbered, not the rows, and by ranges, so that no task reads all of them.
     """
     on = [parent] if parent else []
     rows = rows.withColumn("_name", strip(F.col(name)))
@@ -99,7 +100,7 @@ def resolve_or_create(rows: DataFrame, existing: DataFrame, name: str, id_: str,
     known = known.groupBy(*on, "_name").agg(F.min(id_).alias(id_))
     fresh = rows.filter(clean_text("_name").isNotNull()).groupBy(*on, "_name").agg(F.min("record_idx").alias("_at")).join(known, [*on, "_name"], "left_anti")
     top = existing.agg(F.coalesce(F.max(id_), F.lit(0)).alias("_top"))
-    numbered = fresh.selectExpr("*", "row_number() OVER (ORDER BY _at) AS _rn").join(F.broadcast(top))  # one row
-    created = numbered.select(*on, (F.col("_top") + F.col("_rn")).cast("bigint").alias(id_), "_name")
+    placed = numbered(fresh, ["_at", *on, "_name"], "_rn").join(F.broadcast(top))  # one row
+    created = placed.select(*on, (F.col("_top") + F.col("_rn")).cast("bigint").alias(id_), "_name")
     everything = known.select(*on, F.col(id_).cast("bigint").alias(id_), "_name").unionByName(created)
     return rows.join(everything, [*on, "_name"], "left").drop("_name"), created.withColumnRenamed("_name", name)

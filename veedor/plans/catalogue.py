@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from veedor.functions import numbers, text
 from veedor.operators import batch, integrity, load, mapping, resolve, semantic, structural
+from veedor.operators.spread import attach
 from veedor.sources import arrays, pages, records, urls
 from veedor.sources.committed import CommittedTable
 from veedor.sources.contract import version_contract
@@ -167,14 +168,59 @@ def generation_issues(spark, sf_dir):
     return rows.select("generation_key", "code", F.size("record_indexes").cast("long").alias("n"))
 
 
+#: The same records, a third of them without any name: one key holds them all.
+NAMELESS = VERSIONS.replace("p_size % 7 = 0", "p_size % 7 = 0 OR p_partkey % 3 = 0")
+for _name in ("p_brand AS manufacturer_name", "p_type AS model_name", "p_name AS version_name"):
+    NAMELESS = NAMELESS.replace(_name, f"CASE WHEN p_partkey % 3 > 0 THEN {_name.split()[0]} END AS {_name.split()[-1]}")
+_WIDE = _GENERATIONS.replace(_V, NAMELESS.replace("{part}", "part"))
+_MESSAGE = {
+    "duplicate": "'Se detectaron ' || count(*) || ' registros para la misma versión semántica.'", "conflict": "'La versión presenta conflicto interno en el campo ''' || field || '''.'",
+    "outlier": "'Valor fuera de rango lógico en ''' || field || '''.'",
+}
+_ALL_ISSUES = f"""{_WIDE}, u AS ({_CONFLICT}), firsts AS (SELECT semantic_key, min(record_idx) AS first_idx FROM r GROUP BY 1),
+f AS (SELECT generation_key, min(record_idx) AS first_idx FROM r GROUP BY 1), o AS ({_OUT}),
+i AS (SELECT CASE WHEN count(DISTINCT ({', '.join(FIELDS)})) = 1 THEN 'duplicate_exact' ELSE 'duplicate_semantic' END AS code, 'warning' AS severity, semantic_key AS key, '' AS field, count(*) AS n_records,
+  min(record_idx) AS first_idx, {_MESSAGE["duplicate"]} AS message FROM r GROUP BY semantic_key HAVING count(*) > 1
+UNION ALL SELECT 'conflict_same_version', 'error', semantic_key, field, count(*), any_value(first_idx), {_MESSAGE["conflict"]} FROM u JOIN firsts USING (semantic_key) GROUP BY semantic_key, field HAVING count(DISTINCT value) > 1
+UNION ALL SELECT 'conflict_displacement_l_vs_cc', 'error', semantic_key, '', 1, record_idx, 'Cilindrada en litros y en cc no son coherentes dentro del mismo registro.' FROM r WHERE abs(engine_displacement_cc - engine_displacement_l * 1000) > 150
+UNION ALL SELECT 'conflict_power_vs_max_power', 'error', semantic_key, '', 1, record_idx, 'power_cv y max_power_cv no son coherentes dentro del mismo registro.' FROM r WHERE abs(power_cv - max_power_cv) > 5
+UNION ALL SELECT code, 'warning', semantic_key, field, 1, record_idx, {_MESSAGE["outlier"]} FROM o JOIN r USING (record_idx)
+UNION ALL SELECT 'outlier_boot_range', 'warning', semantic_key, '', 1, record_idx, 'boot_capacity_max_l es menor que boot_capacity_min_l.' FROM r WHERE boot_capacity_max_l < boot_capacity_min_l
+UNION ALL SELECT 'generation_low_coverage', 'warning', generation_key, '', CAST(records AS BIGINT), first_idx, 'La generación tiene muy pocas versiones únicas en el lote.' FROM g JOIN f USING (generation_key) WHERE unique_versions < 12
+UNION ALL SELECT 'generation_low_completeness', 'warning', generation_key, '', CAST(records AS BIGINT), first_idx, 'La generación presenta baja completitud media.' FROM g JOIN f USING (generation_key) WHERE completeness < 0.9)"""
+
+
+def _issue_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = spread(from_sql(spark, sf_dir, NAMELESS, "part"))
+    parsed = records.parse_records(records.records_of(rows, FIELDS, F.col("record_idx")))
+    issues, members = batch.issue_tables(batch.enrich(parsed), batch.Settings(sparse_versions=12, low_completeness=0.9))
+    return issues.withColumns({"key": F.coalesce("semantic_key", "generation_key"), "field": F.coalesce("field", F.lit(""))}), members
+
+
+@registered(f"{_ALL_ISSUES} SELECT * FROM i")
+def issue_table(spark, sf_dir):
+    return _issue_tables(spark, sf_dir)[0].select("code", "severity", "key", "field", "n_records", "first_idx", "message")
+
+
+@registered(f"""{_ALL_ISSUES} SELECT code, key, i.field, record_idx, value FROM i JOIN u ON u.semantic_key = key AND u.field = i.field WHERE code = 'conflict_same_version'
+UNION ALL SELECT code, key, field, r.record_idx, NULL FROM i JOIN r ON semantic_key = key WHERE code LIKE 'duplicate%' UNION ALL SELECT code, key, field, r.record_idx, NULL FROM i JOIN r ON generation_key = key WHERE code LIKE 'generation%'
+UNION ALL SELECT code, key, field, first_idx, NULL FROM i WHERE code <> 'conflict_same_version' AND code NOT LIKE 'duplicate%' AND code NOT LIKE 'generation%'""")
+def issue_members(spark, sf_dir):
+    """Every record of every issue; members find their issue by its digest."""
+    issues, members = _issue_tables(spark, sf_dir)
+    met = attach(members, issues.select("issue_id", "code", "key", "field", "n_records"), "issue_id", "n_records", members.count())
+    return met.select("code", "key", "field", "record_idx", F.expr("substring(value, 3)").alias("value"))
+
+
 @registered(f"""{_GENERATIONS}, u AS ({_CONFLICT}), e AS (SELECT semantic_key, field FROM u GROUP BY 1, 2 HAVING count(DISTINCT value) > 1),
 x AS (SELECT (SELECT count(*) FROM e) + count(*) FILTER (WHERE abs(engine_displacement_cc - engine_displacement_l * 1000) > 150) + count(*) FILTER (WHERE abs(power_cv - max_power_cv) > 5) AS conflicts FROM r),
 o AS ({_OUT} UNION ALL SELECT record_idx, 'x', 0, 'x' FROM r WHERE boot_capacity_max_l < boot_capacity_min_l)
 SELECT CAST(sum(records) AS BIGINT) AS total_records, CAST(sum(unique_versions) AS BIGINT) AS unique_versions, CAST(sum(duplicate_groups) AS BIGINT) AS duplicates, (SELECT conflicts FROM x) AS conflicts,
-  CAST(sum(duplicate_groups) + (SELECT count(*) FROM o) + count(*) FILTER (WHERE unique_versions < 2) + count(*) FILTER (WHERE completeness < 0.6) AS BIGINT) AS warnings, count(*) AS generations, (SELECT conflicts FROM x) = 0 AS is_valid_dataset FROM g""")
+  CAST(sum(duplicate_groups) + (SELECT count(*) FROM o) + count(*) FILTER (WHERE unique_versions < 2) + count(*) FILTER (WHERE completeness < 0.6) AS BIGINT) AS warnings, CAST(floor(round(sum(completeness * records) / sum(records), 4) * 1000) AS BIGINT) AS completeness_avg, count(*) AS generations, (SELECT conflicts FROM x) = 0 AS is_valid_dataset FROM g""")
 def dataset_metrics(spark, sf_dir):
     rows = enriched(spark, sf_dir)
-    return batch.dataset_metrics(rows, batch.detect_issues(rows)).drop("completeness_avg")
+    metrics = batch.dataset_metrics(rows, batch.issue_tables(rows)[0])
+    return metrics.withColumn("completeness_avg", F.floor(F.col("completeness_avg") * 1000).cast("long"))
 
 
 # ---------------------------------------------------------------- semantic layer

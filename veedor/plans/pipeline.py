@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veedor.operators import batch, load, resolve, semantic, structural
+from veedor.operators.spread import attach
 from veedor.sources import records
 from veedor.sources.contract import Contract
 
@@ -19,9 +20,9 @@ def statuses(parsed: DataFrame, contract: Contract, gate: structural.Settings =
     rows = semantic.validate_semantics(rows)
     word = lambda ok: F.when(ok, "passed").otherwise("failed")
     rows = rows.withColumns({"iig_status": word(~F.col("flags.should_block")), "dvl_status": word(F.col("semantic_valid"))})
-    lotted = batch.enrich(parsed, lot)
-    wrong = batch.detect_group_conflicts(lotted).unionByName(batch.detect_record_conflicts(lotted))
-    hit = wrong.select(F.explode("record_indexes").alias("record_idx")).distinct().withColumn("_hit", F.lit(True))
+    issues, members = batch.issue_tables(batch.enrich(parsed, lot), lot)
+    errors = issues.filter("severity = 'error'").select("issue_id", F.col("n_records").alias("_n"))
+    hit = attach(members, errors, "issue_id", "_n", members.count()).filter("_n IS NOT NULL").select("record_idx").distinct().withColumn("_hit", F.lit(True))
     return rows.join(hit, "record_idx", "left").withColumn("batch_status", word(F.col("_hit").isNull())).drop("_hit")
 
 
