@@ -117,3 +117,21 @@ def test_rows_of_equal_place_and_hot_keys(spark, tmp_path, monkeypatch):
 def test_rows_are_numbered_over_ranges(spark):
     rows = spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 5000 AS k", "id")
     assert spread.numbered(rows, ["k"], "at").filter("at != k + 1").isEmpty() and spread.numbered(rows.limit(0), ["k"], "at").count() == 0
+
+
+def test_command_line_loads_into_a_committed_table(spark, tmp_path, monkeypatch):
+    import json
+
+    from test_pipeline import SOUND, references
+    from veedor import cli
+
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    names = []
+    for level, rows in zip(("manufacturers", "models", "generations"), references(spark), strict=True):
+        rows.write.parquet(str(tmp_path / level))
+        names += [f"--{level}", str(tmp_path / level)]
+    loaded = SOUND | {"iig_status": "passed", "dvl_status": "passed", "batch_status": "passed"}
+    (tmp_path / "load.json").write_text(json.dumps([loaded, loaded]))
+    for _ in range(2):
+        assert cli.main(["load", str(tmp_path / "load.json"), str(tmp_path / "table"), "--committed", *names]) == 0
+    assert CommittedTable(spark, str(tmp_path / "table")).rows().count() == 1

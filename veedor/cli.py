@@ -32,6 +32,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     three.add_argument("input")
     three.add_argument("table")
     three.add_argument("--non-strict", action="store_true")
+    three.add_argument("--committed", action="store_true", help="the table is written commit by commit, beside other writers")
     for p in (two, three):
         for level in ("manufacturers", "models", "generations"):
             p.add_argument(f"--{level}", required=True, help="Parquet reference table")
@@ -70,8 +71,18 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         return 0
     key = load.load_key(F.col("manufacturer_id"), F.col("model_id"), F.col("generation_id"))
     ready = resolved.select("record_idx", "raw", "version_id", F.coalesce(load.prevalidate(), F.col("resolution_error")).alias("error"), key.alias("load_key"))
-    loaded = load.load_committed(ready, CommittedTable(spark, a.table), load.new_run_id(), strict=not a.non_strict)
-    loaded.report.show(truncate=False, vertical=True)
+    strict, run_id = not a.non_strict, load.new_run_id()
+    if a.committed:
+        found = load.load_committed(ready, CommittedTable(spark, a.table), run_id, strict).report
+    else:
+        try:
+            known = spark.read.parquet(a.table).select("load_key")
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            known = spark.createDataFrame([], "load_key string")
+        found = load.load(load.decide(ready, known), a.table, run_id, strict)
+    found.show(truncate=False, vertical=True)
     return 0
 
 

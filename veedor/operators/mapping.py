@@ -240,6 +240,11 @@ def map_by_labels(raw: DataFrame, contract: Contract, carry: tuple[str, ...] = (
     return raw.select(*carry, *out)
 
 
+def _quoted(text: Column) -> Column:
+    """A pattern that matches ``text`` itself."""
+    return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
 def hierarchy() -> Column:
     """Struct of names inferred from the page's title ``YYYY make model version - Ficha`` and its trail."""
     title, trail = F.col("page.title"), F.col("page.breadcrumbs")
@@ -249,8 +254,10 @@ def hierarchy() -> Column:
     make = F.coalesce(crumb(1), part(2))
     model = F.coalesce(F.substring_index(rest, " ", 1), strip(F.substring_index(crumb(2), "(", 1)))
     from_title = F.when(rest.isNotNull(), F.coalesce(normalize_space(F.regexp_replace(rest, r"^\S+\s*", "")), model))
-    cut = _without_prefix(_without_prefix(F.concat(F.regexp_replace(crumb(3), r"^[0-9]{4}\s+", ""), F.lit(" ")), make), model)
-    from_trail = F.when(make.isNotNull() & model.isNotNull(), first_present(strip(cut), model))
+    # The prefix goes only as a whole: year, make and model in this order and as they are written.
+    prefix = F.concat(F.lit(r"^[0-9]{4}\s+"), _quoted(make), F.lit(r"\s+"), _quoted(model), F.lit(r"\s*"))
+    named = (make != "") & (model != "") & (crumb(3) != "")
+    from_trail = F.when(named, first_present(strip(F.regexp_replace(crumb(3), prefix, F.lit(""))), model))
     version = F.coalesce(from_title, from_trail)
     return F.struct(
         title.alias("headline"), make.alias("manufacturer_name"), model.alias("model_name"), crumb(2).alias("generation_name"), version.alias("version_name"),

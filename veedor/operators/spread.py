@@ -34,5 +34,5 @@ def numbered(rows: DataFrame, order: list[str], out: str) -> DataFrame:
     dealt = cut(rows.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id()))
     counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.broadcast(counts.selectExpr("_range", "coalesce(sum(_n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before"))
-    within = dealt.selectExpr("*", f"row_number() OVER (PARTITION BY _range ORDER BY {', '.join(order)}) AS _at")
-    return within.join(before, "_range").withColumn(out, F.col("_before") + F.col("_at")).drop("_range", "_at", "_before")
+    within = dealt.selectExpr("*", f"row_number() OVER (PARTITION BY _range ORDER BY {', '.join(order)}) AS _within")
+    return within.join(before, "_range").withColumn(out, F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")

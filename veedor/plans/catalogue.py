@@ -646,6 +646,50 @@ def html_parts(spark, sf_dir):
     return page.select("page_id", F.col("page.meta.html_lang").alias("lang"), F.size("page.hrefs").alias("n_links"), F.coalesce(F.try_element_at("page.hrefs", F.lit(1)), F.lit("")).alias("first_link"))
 
 
+#: Catalogue pages out of the pages table: trails, cards, sections and links, some broken, some missing.
+_MAKE, _MODEL, _YEAR = "'Make' || CAST(page_id % 7 AS VARCHAR(9))", "'Mod' || CAST(page_id % 11 AS VARCHAR(9))", "CAST(1990 + page_id % 30 AS VARCHAR(9))"
+_THIRD = f"""CASE page_id % 9 WHEN 0 THEN {_YEAR} || ' ' || {_MAKE} || ' ' || {_MODEL} || ' 1.4 TDI' WHEN 1 THEN '2004 Otra Cosa 1.4' WHEN 2 THEN '2004 ' || {_MAKE} || ' Leon 1.4'
+  WHEN 3 THEN '2004 ' || upper({_MAKE}) || ' ' || {_MODEL} || ' 1.4' WHEN 4 THEN {_YEAR} || ' ' || {_MAKE} || ' ' || {_MODEL} WHEN 5 THEN '' WHEN 6 THEN {_MAKE} || ' ' || {_MODEL} || ' 1.4' WHEN 7 THEN '2004 ' || {_MAKE} || ' ' || {_MODEL} || 'x 1.4' ELSE '(1.4) [a' END"""
+CAPTURED = f"""
+SELECT page_id, url, '<!doctype html><html lang="es" data-lang="ES"><head><link rel="x canonical" href="' || url || '"><meta property="og:title" content=" Og  ' || CAST(page_id AS VARCHAR(9)) || ' "><meta property="og:url" content="u?a=1&amp;b=2">'
+  || CASE WHEN page_id % 4 > 0 THEN '<meta property="og:description" content="De &eacute;l"><meta name="description" content="Preactualizado  1999 a 2002">' ELSE '<meta name="description" content="">' END
+  || CASE WHEN page_id % 5 = 0 THEN '<script type="application/ld+json">{{{{bad</script><script type="application/ld+json">{{{{"other": 1}}}}</script>' ELSE '' END
+  || CASE WHEN page_id % 8 = 7 THEN '' ELSE '<script type="application/ld+json">{{{{"dateModified": "2020-01-02", "breadcrumb": {{{{"itemListElement": [{{{{"position": 1, "name": " ' || {_MAKE} || '", "item": "/m"}}}}, {{{{"position": 2, "name": "' || {_MODEL} || '  (1999-2002)"}}}}, {{{{"position": 3, "name": "' || {_THIRD} || '", "item": null}}}}]}}}}}}}}</script>' END
+  || '</head><body>' || CASE WHEN page_id % 6 = 0 THEN '' ELSE '<div id="bc"><a href="/m/' || CAST(page_id AS VARCHAR(9)) || '">m</a>' || CASE WHEN page_id % 6 > 1 THEN '<p><a href="gen/' || CAST(page_id AS VARCHAR(9)) || '">g</a></p><a href="/no">n</a>' ELSE '' END || '</div>' END
+  || CASE page_id % 3 WHEN 0 THEN '<h1>' || {_YEAR} || '  Marca <b>' || {_MODEL} || CASE WHEN page_id % 2 = 0 THEN ' 1.9  TDI' ELSE '' END || '</b> - Ficha</h1>' WHEN 1 THEN '<h1>Sin  t&iacute;tulo <b>&uacute;til</b></h1><h1>2</h1>' ELSE '' END
+  || '<div id="qs"><dl class="a qs"><dt title=" Potencia  Total ">P<dd>' || CAST(page_id AS VARCHAR(9)) || ' <b>CV</b></dl><dl class="qs"><dt title="">x</dt><dd>lost</dd></dl><dl class="qsx"><dt title="No">x</dt><dd>no</dd></dl></div><dl class="qs"><dt title="Fuera">x</dt><dd>no</dd></dl>'
+  || '<section><h2>Di&eacute;sel  Motor</h2><dl><div class="sd"><dt>Cilindrada</dt><dd>1,9 Litro</dd><dd>1.' || CAST(100 + page_id % 900 AS VARCHAR(9)) || ' cc</dd></div><div class="sd"><dt>Vac&iacute;o</dt><dd> </dd></div><div class="other"><dt>No</dt><dd>no</dd></div></dl></section>'
+  || '<section><h3>Tren Motriz y Chasis</h3><dl><div class="sd"><dt>Ruedas Motrices</dt><dd>FWD</dd></div></dl></section><section><p>none</p><dl><div class="sd"><dt>x</dt><dd>y</dd></div></dl></section></body></html>' AS html FROM {{pages}}"""
+_TRAIL = "page_id % 8 <> 7"
+_TITLED = "page_id % 3 = 0"
+
+
+@registered(f"""SELECT page_id, url AS canonical, 'Og ' || page_id AS og_title, 'u?a=1&b=2' AS og_url, CASE WHEN page_id % 4 > 0 THEN 'De él' END AS og_description, CASE WHEN page_id % 4 > 0 THEN 'Preactualizado 1999 a 2002' END AS meta_description,
+  'es' AS html_lang, 'ES' AS data_lang, CASE WHEN {_TRAIL} THEN '2020-01-02' END AS date_modified, CASE WHEN {_TRAIL} THEN '1=' || {_MAKE} || '=/m;2=' || {_MODEL} || ' (1999-2002)=;3=' || ({_THIRD}) || '=' ELSE '' END AS trail,
+  CASE page_id % 3 WHEN 0 THEN {_YEAR} || ' Marca ' || {_MODEL} || CASE WHEN page_id % 2 = 0 THEN ' 1.9 TDI' ELSE '' END || ' - Ficha' WHEN 1 THEN 'Sin título útil' END AS title, 'Potencia Total=' || page_id || ' CV' AS cards,
+  'Diésel Motor/Cilindrada=1,9 Litro|1.' || (100 + page_id % 900) || ' cc;Tren Motriz y Chasis/Ruedas Motrices=FWD' AS sections,
+  CASE WHEN page_id % 6 > 0 THEN '/m/' || page_id END AS maker_link, CASE WHEN page_id % 6 > 1 THEN 'gen/' || page_id END AS generation_link FROM pages""")
+def page_parts(spark, sf_dir):
+    page = pages.parse_pages(from_sql(spark, sf_dir, CAPTURED, "pages"))
+    crumb = lambda c: F.concat(c.position.cast("string"), F.lit("="), F.coalesce(c["name"], F.lit("")), F.lit("="), F.coalesce(c["item"], F.lit("")))
+    rows = F.transform(F.map_entries("page.sections"), lambda s: F.array_join(F.transform(F.map_entries(s.value), lambda r: F.concat(s.key, F.lit("/"), r.key, F.lit("="), F.array_join(r.value, "|"))), ";"))
+    return page.select(
+        "page_id", *[F.col(f"page.meta.{n}").alias(n) for n in ("canonical", "og_title", "og_url", "og_description", "meta_description", "html_lang", "data_lang")], F.col("page.date_modified").alias("date_modified"),
+        F.array_join(F.transform("page.breadcrumbs", crumb), ";").alias("trail"), F.col("page.title").alias("title"),
+        F.array_join(F.transform(F.map_entries("page.summary"), lambda e: F.concat(e.key, F.lit("="), e.value)), ";").alias("cards"), F.array_join(rows, ";").alias("sections"),
+        F.col("page.links.source_manufacturer_url").alias("maker_link"), F.col("page.links.source_generation_url").alias("generation_link"),
+    )
+
+
+@registered(f"""SELECT page_id, CASE WHEN {_TRAIL} THEN {_MAKE} WHEN {_TITLED} THEN 'Marca' END AS manufacturer_name, CASE WHEN {_TITLED} OR {_TRAIL} THEN {_MODEL} END AS model_name, CASE WHEN {_TRAIL} THEN {_MODEL} || ' (1999-2002)' END AS generation_name,
+  CASE WHEN {_TITLED} THEN CASE WHEN page_id % 2 = 0 THEN '1.9 TDI' ELSE {_MODEL} END WHEN {_TRAIL} THEN CASE page_id % 9 WHEN 0 THEN '1.4 TDI' WHEN 4 THEN {_MODEL} WHEN 5 THEN NULL WHEN 7 THEN 'x 1.4' ELSE ({_THIRD}) END END AS version_name,
+  CASE WHEN {_TITLED} THEN CAST(1990 + page_id % 30 AS INTEGER) END AS first_year, 'Og ' || page_id AS full_title FROM pages""")
+def page_hierarchy(spark, sf_dir):
+    """Names inferred from the title and the trail of each page."""
+    rows = pages.parse_pages(from_sql(spark, sf_dir, CAPTURED, "pages")).select("page_id", mapping.hierarchy().alias("h"))
+    return rows.select("page_id", *[F.col(f"h.{n}").alias(n) for n in ("manufacturer_name", "model_name", "generation_name", "version_name", "first_year", "full_title")])
+
+
 #: Raw page documents out of the parts table.
 DOCUMENTS = """
 SELECT p_partkey AS record_idx, concat('{{"source_version_url": "http://x/', CAST(p_partkey AS STRING), '", "headline": "2009 ', split_part(p_brand, '#', 1), ' ', p_type, ' ', p_name, ' - Ficha", "meta": {{"meta_description": "hecho ', CAST(1950 + p_size AS STRING), '"}}, ',
