@@ -6,6 +6,7 @@ made of their columns; the SQL that makes them is shared with the oracle, what i
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Callable
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from veedor.functions import numbers, text
 from veedor.operators import batch, integrity, load, mapping, resolve, semantic, structural
 from veedor.operators.spread import attach
+from veedor.plans import pipeline
 from veedor.sources import arrays, pages, records, urls
 from veedor.sources.committed import CommittedTable
-from veedor.sources.contract import version_contract
+from veedor.sources.contract import parse_contract, version_contract
 from veedor.sources.shared import cut, shared_folder
 from veedor.streaming import state
 
@@ -576,6 +578,146 @@ def territory_paths(spark, sf_dir):
     return integrity.territory_paths(units).withColumn("path", F.array_join("path", ">"))
 
 
+# ---------------------------------------------------------------- the whole flow
+
+#: Records in pairs of one version each, some of which fail at one stage or another.
+_PAIR = "(p_partkey - p_partkey % 2)"
+_FUEL = "CASE p_partkey % 7 WHEN 0 THEN 'Marciano' WHEN 1 THEN 'diesel' ELSE 'Gasolina' END"
+_FLOW_PARTS = {
+    "make": f"CASE WHEN p_partkey % 41 = 0 THEN NULL WHEN p_partkey % 43 = 0 THEN 'Nadie' ELSE 'Make ' || CAST({_PAIR} % 5 AS VARCHAR(9)) END", "model": f"'M-' || CAST({_PAIR} % 3 AS VARCHAR(9))",
+    "generation": f"'G' || CAST({_PAIR} % 4 AS VARCHAR(9))", "version": f"'v' || CAST({_PAIR} AS VARCHAR(9))", "fuel": _FUEL, "cv": f"CAST(50 + {_PAIR} % 100 AS VARCHAR(9))",
+    "top": f"CAST(50 + {_PAIR} % 100 + CASE WHEN p_partkey % 9 = 8 THEN 10 ELSE 0 END AS VARCHAR(9))",
+}
+_FLOW = "SELECT p_partkey AS record_idx, " + ", ".join(f"{sql} AS {name}" for name, sql in _FLOW_PARTS.items())
+FLOW = """SELECT record_idx, '{{"manufacturer_name": ' || coalesce('"' || make || '"', 'null') || ', "model_name": "' || model || '", "generation_name": "' || generation || '", "version_name": "' || version || '", "fuel_type": "' || fuel || '"'
+  || CASE WHEN record_idx % 13 = 0 THEN '' ELSE ', "source": "s"' END || ', "power_cv": ' || CASE WHEN record_idx % 17 = 0 THEN '"' || cv || '"' ELSE cv END || ', "max_power_cv": ' || top || '}}' AS raw FROM (""" + f"{_FLOW} FROM {{part}})"
+_FLOW_CONTRACT = {
+    "fields": {n: {"type": "string", "required": True, "nullable": n in ("generation_name", "source")} for n in ("manufacturer_name", "model_name", "generation_name", "version_name", "source")}
+    | {"fuel_type": {"type": "string"}, "power_cv": {"type": "integer"}, "max_power_cv": {"type": "integer"}},
+    "required_minimum_fields": ["manufacturer_name", "version_name"],
+}
+_FLOW_KEY = "sha256(coalesce(manufacturer_id, 'None') || '|' || coalesce(model_id, 'None') || '|' || coalesce(generation_id, 'NULL') || '|' || version || '||' || fuel || '|' || cv || '||')"
+
+
+@registered(f"""WITH f AS ({_FLOW} FROM part), n AS (SELECT *, coalesce(upper(make), '') || '|' || model || '|' || generation || '|' || version AS k FROM f),
+bad AS (SELECT k FROM n GROUP BY k HAVING count(DISTINCT upper(fuel)) > 1 OR count(DISTINCT CASE WHEN record_idx % 17 = 0 THEN 's' ELSE '' END || cv) > 1 OR count(DISTINCT top) > 1),
+c AS (SELECT n.*, make IS NULL OR record_idx % 13 = 0 AS blocked, make IS NULL OR fuel = 'Marciano' AS odd, k IN (SELECT k FROM bad) OR record_idx % 9 = 8 AS clash FROM n),
+m AS (SELECT *, CASE WHEN make LIKE 'Make%' THEN 'mk' || substr(make, 6) END AS manufacturer_id FROM c), o AS (SELECT *, CASE WHEN manufacturer_id IS NOT NULL THEN 'md' || substr(make, 6) || substr(model, 3) END AS model_id FROM m),
+g AS (SELECT *, CASE WHEN generation <> 'G3' AND model_id IS NOT NULL THEN model_id || '_' || lower(generation) END AS generation_id FROM o),
+e AS (SELECT *, {_FLOW_KEY} AS key, CASE WHEN blocked THEN 'iig_status is not passed' WHEN odd THEN 'dvl_status is not passed' WHEN clash THEN 'batch_status is not passed'
+  WHEN manufacturer_id IS NULL THEN 'manufacturer not found: ' || make WHEN generation_id IS NULL THEN 'generation not found: ' || generation END AS error FROM g),
+w AS (SELECT *, min(record_idx) FILTER (WHERE error IS NULL) OVER (PARTITION BY key) AS least FROM e)
+SELECT record_idx, CASE WHEN blocked THEN 'failed' ELSE 'passed' END AS iig_status, CASE WHEN odd THEN 'failed' ELSE 'passed' END AS dvl_status, CASE WHEN clash THEN 'failed' ELSE 'passed' END AS batch_status, manufacturer_id, model_id, generation_id,
+  CASE WHEN manufacturer_id IS NOT NULL AND generation_id IS NOT NULL THEN generation_id || '__' || version END AS version_id, error, CASE WHEN error IS NULL THEN key ELSE 'UNAVAILABLE' END AS load_key,
+  CASE WHEN error IS NOT NULL THEN 'failed' WHEN {_PAIR.replace("p_partkey", "record_idx")} % 20 = 0 OR record_idx <> least THEN 'skipped_duplicate' ELSE 'inserted' END AS status FROM w""")
+def whole_flow(spark, sf_dir):
+    """All stages in a row: gate, rules, batch checks, identifiers, and what a load would do with each record."""
+    parsed = cut(records.parse_records(spread(from_sql(spark, sf_dir, FLOW, "part"))))
+    makes = spark.range(5).selectExpr("concat('mk', id) AS manufacturer_id", "concat('Make ', id) AS manufacturer_name", "id AS pos")
+    models = spark.range(15).selectExpr("concat('md', id div 3, id % 3) AS model_id", "concat('mk', id div 3) AS manufacturer_id", "concat('M-', id % 3) AS model_name", "id AS pos")
+    generations = spark.range(45).selectExpr("concat('md', id div 9, id div 3 % 3, '_g', id % 3) AS generation_id", "concat('md', id div 9, id div 3 % 3) AS model_id", "concat('G', id % 3) AS generation_name", "id AS pos")
+    there = from_sql(spark, sf_dir, f"{_FLOW} FROM {{part}} WHERE {_PAIR} % 20 = 0", "part").filter("make LIKE 'Make%'")
+    ids = there.selectExpr("*", "concat('mk', substr(make, 6)) AS manufacturer_id", "concat('md', substr(make, 6), substr(model, 3)) AS model_id").withColumn("generation_id", F.expr("concat(model_id, '_', lower(generation))"))
+    keys = ids.select(F.expr(_FLOW_KEY.replace("sha256(", "sha2(")[:-1] + ", 256)").alias("load_key"))
+    out = pipeline.decide(parsed, parse_contract(_FLOW_CONTRACT), makes, models, generations, keys)
+    return out.select("record_idx", *load.GATES, "manufacturer_id", "model_id", "generation_id", "version_id", "error", "load_key", "status")
+
+
+# ---------------------------------------------------------------- rules
+
+#: Per field the values that records take in turn, as JSON; none means that the key is absent.
+ODD_VALUES = {
+    "manufacturer_name": ['"Seat"', '"Seat"', '"Seat"', "null", "7", '" * "'], "model_name": ['"Ibiza"', '"Ibiza"', "12", "", "true"], "version_name": ['"1.4"', '"x"', "null", "[1]"], "generation_name": ['"Mk5"', "5", "null"],
+    "fuel_type": ['"diesel"', '"agua"', "null", "3"], "body_type": ['"SUV"', "4", "null"], "gearbox_type": ['"MT"', "null", '"?"', ""],
+    "engine_displacement_cc": ["1900", "1000", "0", "-5", '"1900"', "null", "true", "1821.0"], "engine_displacement_l": ["1.9", "1", "0.0", "-1.5", '"1,9"', "null", ""], "unitary_displacement_cc": ["475.0", "250", "null", '"x"', "501"],
+    "cylinders": ["4", "0", "null", "3", '"4"'], "max_power_rpm": ["4000", "499", "15001", "0", "-1", '"4000"', "null", "500", "15000"], "max_torque_nm": ["200", "null", '"n"', "0"], "max_torque_rpm": ["1900", "249", "null", "250"],
+    "power_cv": ["100", "0", "-3", '"100"', "null", "false", "110"], "max_power_cv": ["100", "104", "103", "0", "null", "[]"], "power_kw": ["73.5", "", "0", "60", "null"], "max_power_kw": ["73.5", "90", "null", ""],
+    "top_speed_kmh": ["200", "0", "39", "451", "40", "450", "null", '"200"'], "top_speed_mph": ["124.3", "110", "131", "null", "130"], "gear_count": ["5", "0", "13", "-1", "12", "null", '"5"'], "gearbox_gears": ["6", "", "14", "null"],
+    "doors": ["5", '"3-5"', '" 5 "', "0", "9", "8", "2.5", "true", "null", '"-1"'], "seats": ["5", "0", "13", "12", '" 7 "', "null", '"x"'], "boot_capacity_l": ["300", "0", "19", "20", '"x"', "null"],
+    "boot_capacity_min_l": ["300", "19.5", "-1", "null"], "boot_capacity_max_l": ["900", "200", "0", "null", "19"],
+}
+
+
+def _turn(k: int, n: int) -> str:
+    """SQL of the place in a list of n that a record takes for the k-th field: all pairs of places of two fields occur."""
+    return f"(p_partkey * {2 * k + 3} + p_partkey % 1009 * {k} + {k}) % {n}"
+
+
+def _json_of(k: int, name: str, values: list[str]) -> str:
+    texts = [f"', \"{name}\": {v}'" if v else "''" for v in values]
+    return f"CASE {_turn(k, len(values))} {' '.join(f'WHEN {i} THEN {t}' for i, t in enumerate(texts))} END"
+
+
+def _kind_of(value: str) -> str:
+    if value in ("", "null"):
+        return "null"
+    return {str: "str", bool: "bool", int: "int", float: "float", list: "list"}[type(json.loads(value))]
+
+
+ODD = "SELECT p_partkey AS record_idx, '{{\"id\": 1' || " + " || ".join(_json_of(k, n, v) for k, (n, v) in enumerate(ODD_VALUES.items())) + " || '}}' AS raw FROM {part}"
+
+
+def _seen_sql(k: int, name: str, values: list[str]) -> str:
+    """SQL of a field's kind, number and place in its list."""
+    turn, kinds = _turn(k, len(values)), [_kind_of(v) for v in values]
+    named = " ".join(f"WHEN {i} THEN '{kind}'" for i, kind in enumerate(kinds))
+    numbers = " ".join(f"WHEN {i} THEN {float(v):.6E}" for i, (v, kind) in enumerate(zip(values, kinds)) if kind in ("int", "float"))
+    number = f"CASE {turn} {numbers} ELSE NULL END" if numbers else "CAST(NULL AS DOUBLE)"
+    return f"CASE {turn} {named} END AS k_{name}, {number} AS {name}, {turn} AS i_{name}"
+
+
+_ODD_SEEN = ", ".join(_seen_sql(k, n, v) for k, (n, v) in enumerate(ODD_VALUES.items()))
+
+
+def _first_of(*pairs: tuple[str, str]) -> tuple[str, str]:
+    """One message: that of the first condition that holds, as a ready CASE."""
+    return ("", f"CASE {' '.join(f'''WHEN {c} THEN '{m}' ''' for c, m in pairs)} END")
+
+
+def _list_sql(*found: tuple[str, str]) -> str:
+    return "array_to_string(list_filter([" + ", ".join(m if not c else f"CASE WHEN {c} THEN '{m}' END" for c, m in found) + "], lambda x: x IS NOT NULL), '; ')"
+
+
+def _positive(name: str, *more: tuple[str, str]) -> tuple[str, str]:
+    return _first_of((f"k_{name} <> 'null' AND {name} IS NULL", f"{name}: tipo inválido"), (f"{name} <= 0", f"{name}: valor no positivo"), *more)
+
+
+def _or_sql(first: str, second: str) -> str:
+    other = f"(k_{first} NOT IN ('null', 'int', 'float') AND NOT false)"
+    return f"(CASE WHEN {other} THEN NULL ELSE coalesce(nullif({first}, 0), {second}) END)"
+
+
+_KW, _GEARS = _or_sql("power_kw", "max_power_kw"), _or_sql("gear_count", "gearbox_gears")
+_UNIT = "(engine_displacement_l * 1000 / nullif(cylinders, 0))"
+_DOORS = "(CASE WHEN k_doors = 'int' THEN doors WHEN i_doors = 2 THEN 5 WHEN k_doors = 'bool' THEN 1 END)"
+_SEATS = "(CASE WHEN i_seats = 4 THEN 7 ELSE seats END)"
+_ODD_ERRORS = _list_sql(
+    ("i_manufacturer_name IN (3, 5)", "manufacturer_name: campo crítico ausente o inválido"), ("k_model_name = 'null'", "model_name: campo crítico ausente o inválido"), ("k_version_name = 'null'", "version_name: campo crítico ausente o inválido"),
+    ("i_fuel_type > 0", "fuel_type: campo crítico ausente o inválido"), ("k_manufacturer_name = 'int'", "manufacturer_name: debe ser string"), ("k_model_name IN ('int', 'bool')", "model_name: debe ser string"), ("k_version_name = 'list'", "version_name: debe ser string"),
+)
+_ODD_WARNINGS = _list_sql(
+    ("k_generation_name = 'int'", "generation_name: valor no string"), _positive("engine_displacement_cc"), _positive("engine_displacement_l"),
+    ("abs(engine_displacement_cc - engine_displacement_l * 1000) > greatest(80.0, engine_displacement_l * 1000 * 0.05)", "cilindrada incoherente entre cc y l"),
+    (f"abs(unitary_displacement_cc - {_UNIT}) > greatest(25.0, {_UNIT} * 0.08)", "unitary_displacement_cc incoherente con cilindrada y cilindros"),
+    _positive("max_power_rpm", ("max_power_rpm < 500", "max_power_rpm: sospechosamente bajo"), ("max_power_rpm > 15000", "max_power_rpm: sospechosamente alto")),
+    ("max_torque_nm IS NOT NULL AND max_torque_rpm IS NULL", "max_torque_nm presente sin max_torque_rpm"), ("max_torque_rpm IS NOT NULL AND max_torque_nm IS NULL", "max_torque_rpm presente sin max_torque_nm"), ("max_torque_rpm < 250", "max_torque_rpm: sospechosamente bajo"),
+    _positive("power_cv"), _positive("max_power_cv"), ("abs(power_cv - max_power_cv) > greatest(3.0, max_power_cv * 0.03)", "power_cv incoherente con max_power_cv"), (f"abs({_KW} - power_cv * 0.73549875) > greatest(2.0, power_cv * 0.73549875 * 0.05)", "potencia incoherente entre CV y kW"),
+    _first_of(("top_speed_kmh <= 0", "top_speed_kmh: valor no positivo"), ("top_speed_kmh < 40", "top_speed_kmh: sospechosamente bajo"), ("top_speed_kmh > 450", "top_speed_kmh: sospechosamente alto")),
+    ("abs(top_speed_mph - top_speed_kmh * 0.621371) > greatest(3.0, top_speed_kmh * 0.621371 * 0.05)", "top_speed_mph incoherente con top_speed_kmh"),
+    (f"{_GEARS} IS NOT NULL AND i_gearbox_type > 0", "gear_count presente sin gearbox_type"), (f"i_gearbox_type = 0 AND {_GEARS} IS NULL", "gearbox_type presente sin gear_count"), (f"{_GEARS} <= 0 OR {_GEARS} > 12", "gear_count: valor fuera de rango razonable"),
+    _first_of((f"{_DOORS} <= 0", "doors: valor no positivo"), (f"{_DOORS} > 8", "doors: sospechosamente alto"), ("k_doors = 'float'", "doors: tipo inválido")), _first_of((f"{_SEATS} <= 0", "seats: valor no positivo"), (f"{_SEATS} > 12", "seats: sospechosamente alto")),
+    *[_first_of((f"{n} <= 0", f"{n}: valor no positivo o absurdo"), (f"{n} < 20", f"{n}: sospechosamente bajo")) for n in ("boot_capacity_l", "boot_capacity_min_l", "boot_capacity_max_l")],
+    ("boot_capacity_min_l > boot_capacity_max_l", "maletero incoherente: min_l > max_l"),
+)
+
+
+@registered(f"WITH o AS (SELECT p_partkey AS record_idx, {_ODD_SEEN} FROM part) SELECT record_idx, {_ODD_ERRORS} AS errors, {_ODD_WARNINGS} AS warnings FROM o")
+def rule_branches(spark, sf_dir):
+    """All semantic rules over values of every kind: texts, booleans, lists, zeros, negatives and the ends of ranges."""
+    rows = semantic.validate_semantics(cut(records.parse_records(spread(from_sql(spark, sf_dir, ODD, "part")))))
+    return rows.select("record_idx", F.array_join("semantic_errors", "; ").alias("errors"), F.array_join("semantic_warnings", "; ").alias("warnings"))
+
+
 # ---------------------------------------------------------------- state, pages and mapping
 
 
