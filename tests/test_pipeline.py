@@ -43,3 +43,23 @@ def test_command_line(spark, tmp_path, monkeypatch):
 
 def test_every_query_has_an_oracle():
     assert set(catalogue.QUERIES) == set(catalogue.ORACLES) and len(catalogue.QUERIES) >= 40
+
+
+def test_fixtures_reach_every_branch():
+    """Each message of the rules, each status and each error occurs in the SQL's rows."""
+    import re
+    from collections import Counter
+
+    import duckdb
+
+    db = duckdb.connect()
+    db.sql("CREATE VIEW part AS SELECT range AS p_partkey FROM range(2000)")
+    rows = db.sql(catalogue.ORACLES["rule_branches"]).fetchall()
+    said = Counter(m for _, errors, warnings in rows for m in f"{errors}; {warnings}".split("; ") if m)
+    texts = set(re.findall(r"THEN '([^']*(?:: |incoherente|presente sin)[^']*)'", catalogue._ODD_ERRORS + catalogue._ODD_WARNINGS))
+    assert len(texts) == 46 and not texts - set(said)
+    ends = {((r[8] or "").split(":")[0], r[10]) for r in db.sql(catalogue.ORACLES["whole_flow"]).fetchall()}
+    assert ends == {
+        ("", "inserted"), ("", "skipped_duplicate"), ("iig_status is not passed", "failed"), ("dvl_status is not passed", "failed"), ("batch_status is not passed", "failed"),
+        ("manufacturer not found", "failed"), ("generation not found", "failed"),
+    }

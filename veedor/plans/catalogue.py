@@ -585,7 +585,7 @@ _PAIR = "(p_partkey - p_partkey % 2)"
 _FUEL = "CASE p_partkey % 7 WHEN 0 THEN 'Marciano' WHEN 1 THEN 'diesel' ELSE 'Gasolina' END"
 _FLOW_PARTS = {
     "make": f"CASE WHEN p_partkey % 41 = 0 THEN NULL WHEN p_partkey % 43 = 0 THEN 'Nadie' ELSE 'Make ' || CAST({_PAIR} % 5 AS VARCHAR(9)) END", "model": f"'M-' || CAST({_PAIR} % 3 AS VARCHAR(9))",
-    "generation": f"'G' || CAST({_PAIR} % 4 AS VARCHAR(9))", "version": f"'v' || CAST({_PAIR} AS VARCHAR(9))", "fuel": _FUEL, "cv": f"CAST(50 + {_PAIR} % 100 AS VARCHAR(9))",
+    "generation": f"CASE {_PAIR} % 8 WHEN 0 THEN 'G0' WHEN 2 THEN 'G1' WHEN 4 THEN 'G2' ELSE 'G3' END", "version": f"'v' || CAST({_PAIR} AS VARCHAR(9))", "fuel": _FUEL, "cv": f"CAST(50 + {_PAIR} % 100 AS VARCHAR(9))",
     "top": f"CAST(50 + {_PAIR} % 100 + CASE WHEN p_partkey % 9 = 8 THEN 10 ELSE 0 END AS VARCHAR(9))",
 }
 _FLOW = "SELECT p_partkey AS record_idx, " + ", ".join(f"{sql} AS {name}" for name, sql in _FLOW_PARTS.items())
@@ -639,8 +639,8 @@ ODD_VALUES = {
 
 
 def _turn(k: int, n: int) -> str:
-    """SQL of the place in a list of n that a record takes for the k-th field: all pairs of places of two fields occur."""
-    return f"(p_partkey * {2 * k + 3} + p_partkey % 1009 * {k} + {k}) % {n}"
+    """SQL of the place in a list of n that a record takes for the k-th field, each field in an order of its own."""
+    return f"(CAST(p_partkey AS BIGINT) * {7919 + 104729 * k} % 1000003 % {n})"
 
 
 def _json_of(k: int, name: str, values: list[str]) -> str:
