@@ -12,10 +12,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from veedor.operators import batch, load, mapping, resolve, structural
-from veedor.sources import arrays, pages, records
+from veedor.sources import arrays, pages, records, urls
 from veedor.sources.committed import CommittedTable
 from veedor.sources.contract import load_contract, version_contract
 from veedor.sources.shared import cut
+from veedor.streaming import capture, state
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -39,6 +40,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     four = todo.add_parser("pages", help="map captured HTML files to contract records")
     four.add_argument("output")
     four.add_argument("html", nargs="+")
+    four.add_argument("--resume", action="store_true", help="keep a log and errors in the output folder, and skip pages that are done")
+    four.add_argument("--start", type=int, default=1, help="the first page, in order of path")
+    four.add_argument("--limit", type=int, help="at most so many pages")
     return top.parse_args(argv)
 
 
@@ -48,7 +52,15 @@ def _references(spark: SparkSession, a: argparse.Namespace):
 
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "pages":
-        parsed = pages.parse_pages(pages.read_html(spark, *a.html))
+        html = pages.read_html(spark, *a.html)
+        if a.start != 1 or a.limit is not None:
+            html = urls.slice_urls(html.withColumnRenamed("source", "idx"), a.start, a.limit).withColumnRenamed("idx", "source")
+        if a.resume:
+            done = [r["seq"] for r in state.read_log(spark, f"{a.output}/log").agg(F.max("seq").alias("seq")).collect()][0]
+            log = capture.capture(html.withColumnRenamed("source", "url"), version_contract(), a.output, (done or 0) + 1)
+            log.groupBy("status").count().show()
+            return 0 if log.filter("status = 'failed'").isEmpty() else 2
+        parsed = pages.parse_pages(html)
         clean = mapping.map_to_contract(mapping.raw_from_pages(parsed, "source"), version_contract())
         clean.write.mode("overwrite").json(a.output, ignoreNullFields=False)
         return 0

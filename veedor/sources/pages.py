@@ -172,3 +172,23 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``page``, the parts of each page; SQL takes it from there."""
     made = re.sub(r"(^|, )(\w+) ", r"\1\2:", PAGE)
     return pages.withColumn("page", F.pandas_udf(_read_pages, f"struct<{made}>")(F.col(html)))
+
+
+def _read_apart(html: pd.Series) -> pd.DataFrame:
+    def one(text: str | None) -> dict:
+        if text is None:
+            return {"error": "the page has no HTML"}
+        try:
+            return {**read_page(text), "error": None}
+        except Exception as error:  # one page's failure must not reach the others
+            return {"error": repr(error)}
+
+    return pd.DataFrame([one(h) for h in html], columns=[*_PARTS, "error"]).astype(object).where(lambda d: d.notna(), None)
+
+
+def parse_pages_apart(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``page`` and ``error``: a page that cannot be read has an error and no parts."""
+    made = re.sub(r"(^|, )(\w+) ", r"\1\2:", PAGE)
+    read = pages.withColumn("_read", F.pandas_udf(_read_apart, f"struct<{made},error:string>")(F.col(html)))
+    parts = F.struct(*[F.col(f"_read.{n}").alias(n) for n in _PARTS])
+    return read.withColumns({"page": F.when(F.col("_read.error").isNull(), parts), "error": F.col("_read.error")}).drop("_read")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,25 +18,16 @@ def stream_records(spark: SparkSession, folder: str, watermark: str = "1 day") -
 
 
 def validate_stream(records: DataFrame, contract: Contract, good: str, bad: str, checkpoint: str, settings: structural.Settings = structural.Settings()):  # noqa: B008
-    """Start a query that appends records to ``good``, or to ``bad`` where the gate blocks them, and ends when none are left."""
+    """Start a query that adds records to ``good``, or to ``bad`` where the gate blocks them, and ends when none are left.
+
+    Each batch writes a folder of its own number, so one that is tried again replaces what it left.
+    """
 
-    def settle(batch: DataFrame, _: int) -> None:
+    def settle(batch: DataFrame, number: int) -> None:
         checked = structural.validate_records(parse_records(batch), contract, settings).select("raw", "digest", F.to_json("errors").alias("errors"), F.col("flags.should_block").alias("blocked"))
         checked.persist()
-        checked.filter("NOT blocked").drop("blocked").write.mode("append").parquet(good)
-        checked.filter("blocked").drop("blocked").write.mode("append").parquet(bad)
+        checked.filter("NOT blocked").drop("blocked").write.mode("overwrite").parquet(f"{good}/batch_id={number}")
+        checked.filter("blocked").drop("blocked").write.mode("overwrite").parquet(f"{bad}/batch_id={number}")
         checked.unpersist()
 
     return records.writeStream.foreachBatch(settle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def isolated(step: Callable[[DataFrame], DataFrame], failures: list[str]) -> Callable[[DataFrame, int], None]:
-    """A batch function whose failure is noted and does not end the query."""
-
-    def run(batch: DataFrame, number: int) -> None:
-        try:
-            step(batch)
-        except Exception as error:
-            failures.append(f"{number}: {error}")
-
-    return run
