@@ -863,6 +863,74 @@ def contract_mapping(spark, sf_dir):
     return clean.select("record_idx", "version_id", "version_name", "fuel_type", "power_cv", "engine_displacement_cc", "engine_displacement_l", "kerb_weight_kg", "doors", "model_year", "production_start_year")
 
 
+#: Raw page documents that fill every field that can be filled, some by their second source. Per section or card: label and JSON value, both SQL.
+_N, _CV = "(100 + p_partkey % 900)", "(50 + p_size)"
+_S = lambda x: f"CAST({x} AS VARCHAR(9))"
+_ENGINE_ROWS = {
+    "Cilindrada": f"CASE WHEN p_partkey % 3 = 0 THEN '[\"2,0 Litro\"]' ELSE '[\"1,9 Litro\", \"1.' || {_S(_N)} || ' cc\"]' END", "Configuración": "'\"4 Cil. en Línea\"'", "Inducción": "'\"Turbo\"'",
+    "Potencia Máximo": f"'[\"' || {_S(_CV)} || ' CV @ 4.000 RPM\", \"' || {_S(_CV + ' - 1')} || ' BHP @ 4.000 RPM\"]'", "Par Máximo": "'[\"240,5 Nm @ 1.900 RPM\", \"177,4 lb-ft @ 1.900 RPM\"]'", "Tren de Válvulas": "'\"DOHC\"'",
+    "Válvulas/Cilindro": "CASE WHEN p_partkey % 3 = 1 THEN '\"4\"' ELSE '\"2 (8v Total)\"' END", "Alimentación": "'\"Inyección\"'", "Posición": "'\"Delantera\"'", "Orientación": "'\"Transversal\"'",
+    "Combustible": "CASE WHEN p_partkey % 2 = 0 THEN '\"Diésel\"' ELSE '\"Gasolina\"' END",
+}
+_FULL_SECTIONS = {
+    "Más Datos del Motor": {"Índice de Compresión": "'\"19,5:1\"'", "Diámetro x Carrera": "'\"79,5 x 95,5 mm\"'", "Relación Diámetro-Carrera": "'[\"0,83:1\", \"Carrera Larga\"]'", "Salida Específica": "'\"52,8 CV/Litro\"'", "Potencia/Cilindro": "'\"25,5 CV\"'", "Cilindrada Unitaria": "'\"474,1 cc\"'", "PME": "'[\"15,9 Bar\", \"230,7 PSI\"]'"},
+    "Datos de Prestaciones": {"Velocidad Máxima": "'\"190 km/h\"'", "0-100 Km/h": "'\"10,8 segundos\"'", "Potencia": "'\"77 CV\"'"}, "Economía de Combustible": {"Medio": "'\"4,9 L/100km\"'"}, "Resultados de Euro NCAP": {"Euro NCAP": "'\"4 estrellas\"'"},
+    "Tren Motriz y Chasis": {
+        "Ruedas Motrices": "CASE p_partkey % 3 WHEN 0 THEN '[\"FWD\", \"Tracción Delantera\"]' WHEN 1 THEN '\"Trasera\"' ELSE '\"\"' END", "Caja De Cambios (MT)": "CASE WHEN p_partkey % 2 = 0 THEN '\"5 Velocidades\"' ELSE 'null' END", "Caja de Cambios (MT)": "'\"6 Velocidades\"'",
+        "Neumáticos": "'\"195/50 R15\"'", "Suspensión Delantera": "'\"McPherson\"'", "Suspensión Trasera": "'\"Eje Torsional\"'", "Frenos Delanteros": "'\"Disco\"'", "Frenos Traseros": "'\"Tambor\"'",
+    },
+    "Dimensiones y Practicidad": {
+        "Carrocería": "'\"Hatchback\"'", "Puertas": "CASE WHEN p_partkey % 2 = 0 THEN '\"3-5\"' ELSE '\"\"' END", "Asientos": "'\"5\"'", "Capacidad Maletero": "'\"267 litros\"'", "Peso en Vacío": f"CASE WHEN p_partkey % 7 = 0 THEN '\"Indisponible\"' ELSE '\"1.' || {_S(_N)} || ' kg\"' END", "Peso Bruto": "'\"1.600 kg\"'",
+        "Capacidad de Carga": "'\"450 kg\"'", "Capacidad de Remolque": "'\"1.000 kg\"'", "Longitud": "CASE WHEN p_partkey % 2 = 0 THEN '\"3,96 m\"' ELSE '\"3.960 mm\"' END", "Anchura": "'\"1,7 m\"'", "Altura": "'\"1.441 mm\"'", "Batalla": "'\"2,46 metros\"'", "Via Delantera": "CASE WHEN p_partkey % 2 = 0 THEN '\"1,43 m\"' ELSE 'null' END",
+        "Vía Delantera": "'\"1,44 m\"'", "Vía Trasera": "'\"1,42 m\"'",
+    },
+}
+_CARDS = {
+    "Potencia Total": f"'\"' || {_S(_CV)} || ' CV\"'", "Velocidad Máxima": "CASE WHEN p_partkey % 4 > 0 THEN '\"201,5 km/h\"' ELSE 'null' END", "0-100 Km/h Aceleración": "CASE WHEN p_partkey % 4 > 0 THEN '\"9,8 s\"' ELSE 'null' END",
+    "Consumos (Medio)": "CASE WHEN p_partkey % 4 > 0 THEN '\"5,1 L\"' ELSE '\"\"' END", "Puertas": "'\"3\"'", "Disposición del Tren Motriz": "'\"Integral 4WD\"'", "Diésel Motor": "'\"1.9 TDI\"'",
+}
+
+
+def _object(rows: dict[str, str]) -> str:
+    """SQL of a JSON object; braces are doubled, as Spark formats the text."""
+    return "'{{' || " + " || ', ' || ".join(f"'\"{label}\": ' || {value}" for label, value in rows.items()) + " || '}}'"
+
+
+_TANK = {"Capacidad Depósito": "CASE WHEN p_partkey % 3 = 2 THEN '\"46 litros\"' ELSE 'null' END", "Capacitad Depósito": "CASE WHEN p_partkey % 3 < 2 THEN '\"45 litros\"' ELSE 'null' END"}
+_SECTIONS_SQL = "'{{\"' || CASE WHEN p_partkey % 2 = 0 THEN 'Diésel' ELSE 'Gasolina' END || ' Motor\": ' || " + _object(_ENGINE_ROWS | _TANK) + " || " + " || ".join(f"', \"{s}\": ' || {_object(rows)}" for s, rows in _FULL_SECTIONS.items()) + " || '}}'"
+FULL_DOCUMENTS = (
+    "SELECT p_partkey AS record_idx, '{{\"source_url\": \"http://x/' || CAST(p_partkey AS VARCHAR(9)) || '\", \"headline\": \"2009 Seat Ibiza - Ficha\", \"scrape_timestamp_utc\": \"2026-01-02T03:04:05Z\", \"jsonld_date_modified\": \"2020-01-02\", "
+    "\"meta\": {{\"canonical\": \"http://c\", \"og_title\": \"Título\", \"meta_description\": \"Preactualizado de 1999 a ' || CAST(2000 + p_size AS VARCHAR(9)) || '\", \"html_lang\": \"es\"}}, "
+    "\"breadcrumbs\": [{{\"position\": 1, \"name\": \"Seat\", \"item\": \"/seat\"}}, {{\"position\": 2, \"name\": \"Ibiza (1999-2008)\", \"item\": \"/ibiza\"}}, {{\"position\": 3, \"name\": \"2009 Seat Ibiza V' || CAST(p_partkey AS VARCHAR(9)) || ' Sport\"}}], "
+    f"\"summary\": ' || {_object(_CARDS)} || ', \"sections\": ' || {_SECTIONS_SQL} || '}}}}' AS raw FROM {{part}}"
+)
+_EVEN, _CARD = "p_partkey % 2 = 0", "p_partkey % 4 > 0"
+_FUEL_NAME = f"CASE WHEN {_EVEN} THEN 'Diésel' ELSE 'Gasolina' END"
+_GENERATION_ID = "seat__ibiza__ibiza-1999-2008"
+FULL_EXPECTED = {
+    "version_id": f"'{_GENERATION_ID}__v' || p_partkey || '-sport'", "manufacturer_id": "'seat'", "model_id": "'seat__ibiza'", "generation_id": f"'{_GENERATION_ID}'", "source": f"'{mapping.SOURCE}'", "source_version_url": "'http://x/' || p_partkey", "source_version_url_canonical": "'http://c'",
+    "source_generation_url": "'/ibiza'", "source_manufacturer_url": "'/seat'", "scrape_timestamp": "'2026-01-02T03:04:05Z'", "html_lang": "'es'", "source_date_modified": "'2020-01-02'", "manufacturer_name": "'Seat'", "manufacturer_name_upper": "'SEAT'", "model_name": "'Ibiza'", "model_name_upper": "'IBIZA'",
+    "generation_name": "'Ibiza (1999-2008)'", "generation_name_canonical": "'Ibiza (1999-2008)'", "generation_name_upper": "'IBIZA (1999-2008)'", "version_name": "'V' || p_partkey || ' Sport'", "version_name_canonical": "'V' || p_partkey || ' Sport'", "version_name_upper": "'V' || p_partkey || ' SPORT'",
+    "full_title": "'Título'", "headline": "'2009 Seat Ibiza - Ficha'", "meta_description": "'Preactualizado de 1999 a ' || (2000 + p_size)", "body_type": "'Hatchback'", "facelift_status": "'preactualizado'", "doors": f"CASE WHEN {_EVEN} THEN 5 ELSE 3 END", "seats": "5", "production_start_year": "1999", "production_end_year": "2000 + p_size",
+    "production_years_text": "'1999-' || (2000 + p_size)", "model_year": "2009", "power_cv": _CV, "power_bhp": f"{_CV} - 1", "fuel_type": _FUEL_NAME, "engine_type": _FUEL_NAME, "drive_type": "CASE p_partkey % 3 WHEN 0 THEN 'FWD' WHEN 1 THEN 'RWD' ELSE 'AWD' END",
+    "drive_type_label": "CASE p_partkey % 3 WHEN 0 THEN 'Tracción Delantera' WHEN 1 THEN 'Tracción Trasera' ELSE 'Integral 4WD' END", "engine_name": "'1.9 TDI'", "engine_layout": "'4 Cil. en Línea'", "cylinders": "4", "valves_total": "CASE WHEN p_partkey % 3 <> 1 THEN 8 END", "valves_per_cylinder": "CASE WHEN p_partkey % 3 <> 1 THEN 2 ELSE 4 END",
+    "valvetrain": "'DOHC'", "aspiration": "'Turbo'", "fuel_system": "'Inyección'", "engine_position": "'Delantera'", "engine_orientation": "'Transversal'", "engine_displacement_cc": f"CASE WHEN p_partkey % 3 = 0 THEN 2000 ELSE 1000 + {_N} END", "engine_displacement_l": "CASE WHEN p_partkey % 3 = 0 THEN 2.0 ELSE 1.9 END",
+    "unitary_displacement_cc": "474.1", "compression_ratio": "19.5", "bore_mm": "79.5", "stroke_mm": "95.5", "bore_stroke_text": "'79,5 x 95,5 mm'", "bore_stroke_ratio": "0.83", "bore_stroke_ratio_label": "'Carrera Larga'", "max_power_cv": _CV, "max_power_bhp": f"{_CV} - 1", "max_power_rpm": "4000", "max_torque_nm": "240.5",
+    "max_torque_lbft": "177.4", "max_torque_rpm": "1900", "specific_output_cv_l": "52.8", "power_per_cylinder_cv": "25.5", "bmep_bar": "15.9", "bmep_psi": "230.7", "top_speed_kmh": f"CASE WHEN {_CARD} THEN 201.5 ELSE 190 END", "acceleration_0_100_s": f"CASE WHEN {_CARD} THEN 9.8 ELSE 10.8 END",
+    "fuel_consumption_combined_l_100km": f"CASE WHEN {_CARD} THEN 5.1 ELSE 4.9 END", "euro_ncap": "'4 estrellas'", "gearbox_label": f"CASE WHEN {_EVEN} THEN '5 Velocidades' ELSE '6 Velocidades' END", "gear_count": f"CASE WHEN {_EVEN} THEN 5 ELSE 6 END", "front_suspension": "'McPherson'", "rear_suspension": "'Eje Torsional'",
+    "front_brakes": "'Disco'", "rear_brakes": "'Tambor'", "tyre_size": "'195/50 R15'", "length_mm": "3960", "width_mm": "1700", "height_mm": "1441", "wheelbase_mm": "2460", "front_track_mm": f"CASE WHEN {_EVEN} THEN 1430 ELSE 1440 END", "rear_track_mm": "1420", "kerb_weight_kg": f"CASE WHEN p_partkey % 7 > 0 THEN 1000 + {_N} END",
+    "gross_weight_kg": "1600", "payload_kg": "450", "towing_capacity_braked_kg": "1000", "boot_capacity_l": "267", "fuel_tank_l": "CASE WHEN p_partkey % 3 = 2 THEN 46 ELSE 45 END",
+}
+_SQL_KINDS = {"integer": "BIGINT", "number": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+@registered("SELECT p_partkey AS record_idx, " + ", ".join(f"CAST({FULL_EXPECTED.get(n, 'NULL')} AS {_SQL_KINDS.get(f.type, 'VARCHAR')}) AS {n}" for n, f in version_contract().fields.items()) + " FROM part")
+def contract_fields(spark, sf_dir):
+    """All 124 fields of the contract, those that nothing fills too."""
+    raw = mapping.read_raw_documents(spread(from_sql(spark, sf_dir, FULL_DOCUMENTS, "part")))
+    return mapping.map_to_contract(raw, version_contract(), ("record_idx",))
+
+
 @registered(f"""SELECT p_partkey AS record_idx, CAST(p_size AS BIGINT) AS power_cv, CAST(2 AS BIGINT) AS engine_displacement_cc, CAST(1000 + {_THREE} AS DOUBLE) AS kerb_weight_kg FROM part""")
 def label_mapping(spark, sf_dir):
     raw = mapping.read_raw_documents(spread(from_sql(spark, sf_dir, DOCUMENTS, "part")))
