@@ -278,10 +278,11 @@ _HAS = lambda names: " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for
 
 
 @registered(f"""WITH v AS ({_V}), {_NORMAL} SELECT record_idx, {len(FIELDS)} AS total_fields, {_PRESENT} AS present_fields, {len(FIELDS)} - ({_PRESENT}) AS missing_fields,
-  {_HAS(semantic.CRITICAL)} AS critical_fields_ok, {_HAS(semantic.RELEVANT)} AS relevant_fields_ok, {_HAS(semantic.INFORMATIVE)} AS informative_fields_ok, CAST(len({_WARNINGS}) AS INTEGER) AS warning_count FROM n""")
+  {_HAS(semantic.CRITICAL)} AS critical_fields_ok, {_HAS(semantic.RELEVANT)} AS relevant_fields_ok, {_HAS(semantic.INFORMATIVE)} AS informative_fields_ok, CAST(len({_WARNINGS}) AS INTEGER) AS warning_count,
+  round(({_PRESENT}) / {float(len(FIELDS))}, 4) AS completeness_score, round(({_HAS(semantic.CRITICAL)}) / 4.0, 4) AS critical_ok_ratio, CAST(len({_ERRORS}) AS INTEGER) AS error_count FROM n""")
 def completeness_metrics(spark, sf_dir):
     rows = semantic.validate_semantics(versions(spark, sf_dir))
-    return rows.select("record_idx", *[f"semantic_metrics.{n}" for n in ("total_fields", "present_fields", "missing_fields", "critical_fields_ok", "relevant_fields_ok", "informative_fields_ok", "warning_count")])
+    return rows.select("record_idx", *[f"semantic_metrics.{n}" for n in ("total_fields", "present_fields", "missing_fields", "critical_fields_ok", "relevant_fields_ok", "informative_fields_ok", "warning_count", "completeness_score", "critical_ok_ratio", "error_count")])
 
 
 # ---------------------------------------------------------------- structural gate
@@ -341,6 +342,33 @@ def batch_report(spark, sf_dir):
     return rows.select("total_records", "valid_records", "records_with_errors", "critical_records", F.array_join("anomaly_flags", ";").alias("anomaly_flags"))
 
 
+#: Batches whose reports differ: by the errors of their records, as SQL of either side.
+BATCHES = {"sound": "{n} = 0", "faulty": "{n} > 0", "mixed": "{n} = 0 OR record_idx % 40 = 1", "mostly": "{n} < 2", "none": "false", "all": "true"}
+_EMPTY = " + ".join(f"CASE WHEN {_K} % {m} = 0 THEN 1 ELSE 0 END" for m in (17, 11, 13, 2))
+_REPORTS = f"""{_GATE.replace("AS w FROM", f"AS w, CASE WHEN {_K} % 97 = 0 THEN 0.0 ELSE round(({_EMPTY} + 109) / 124.0, 4) END AS nulls FROM")},
+b AS ({" UNION ALL ".join(f"SELECT '{name}' AS batch, * FROM g WHERE {where.format(n='len(e)')}" for name, where in BATCHES.items())}),
+s AS (SELECT batch, string_agg(code || '=' || n, ',' ORDER BY code) AS said FROM (SELECT batch, code, count(*) AS n FROM (SELECT batch, unnest(e) AS code FROM b) GROUP BY ALL) GROUP BY batch),
+z AS (SELECT batch, string_agg(code || '=' || n, ',' ORDER BY code) AS warned FROM (SELECT batch, code, count(*) AS n FROM (SELECT batch, unnest(w) AS code FROM b) GROUP BY ALL) GROUP BY batch),
+t AS (SELECT n.batch, count(record_idx) AS total_records, count(*) FILTER (WHERE len(e) = 0) AS valid_records, count(*) FILTER (WHERE len(e) > 0) AS records_with_errors, count(*) FILTER (WHERE {_CRIT}) AS critical_records, coalesce(avg(nulls), 0.0) AS nulls
+  FROM (VALUES {", ".join(f"('{name}')" for name in BATCHES)}) n(batch) LEFT JOIN b ON b.batch = n.batch GROUP BY n.batch),
+x AS (SELECT *, coalesce(records_with_errors / nullif(total_records, 0), 0.0) AS errors, coalesce(critical_records / nullif(total_records, 0), 0.0) AS critical FROM t)"""
+
+
+@registered(f"""{_REPORTS} SELECT batch, total_records, valid_records, records_with_errors, critical_records, CAST(round(errors, 4) AS DOUBLE) AS error_rate, CAST(round(critical, 4) AS DOUBLE) AS critical_rate, CAST(round(nulls, 4) AS DOUBLE) AS avg_null_percentage,
+  array_to_string(list_filter([CASE WHEN total_records = 0 THEN 'empty_batch' END, CASE WHEN total_records > 0 AND errors >= 0.15 THEN 'high_error_rate' END, CASE WHEN total_records > 0 AND errors >= 0.35 THEN 'critical_error_rate' END,
+    CASE WHEN total_records > 0 AND nulls >= 0.7 THEN 'high_null_density_batch' END, CASE WHEN critical_records > 0 THEN 'critical_records_present' END], lambda f: f IS NOT NULL), ';') AS anomaly_flags, coalesce(said, '') AS error_summary, coalesce(warned, '') AS warning_summary
+  FROM x LEFT JOIN s USING (batch) LEFT JOIN z USING (batch)""")
+def batch_reports(spark, sf_dir):
+    """The whole report of each batch: counts, rates, flags and both summaries."""
+    rows, found = cut(gated(spark, sf_dir)), None
+    listed = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e.key, F.lit("="), e.value.cast("string"))), ",")
+    for name, where in BATCHES.items():
+        one = structural.batch_report(rows.filter(where.format(n="size(errors)"))).withColumns({"anomaly_flags": F.array_join("anomaly_flags", ";"), "error_summary": listed("error_summary"), "warning_summary": listed("warning_summary")})
+        one = one.select(F.lit(name).alias("batch"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @registered(f"SELECT {_K} AS record_idx, CASE WHEN {_K} % 97 = 0 THEN 0 ELSE 14 - CASE WHEN {_K} % 17 = 0 THEN 1 ELSE 0 END + CASE WHEN {_K} % 23 = 0 THEN 2 ELSE 0 END + 1 END AS n_keys, CASE WHEN {_K} % 23 = 0 AND {_K} % 97 <> 0 THEN 'alfa,zeta' ELSE '' END AS extra FROM customer")
 def json_keys_extra(spark, sf_dir):
     rows = records.parse_records(from_sql(spark, sf_dir, RAW, "customer"))
