@@ -165,3 +165,16 @@ def test_a_trail_is_cut_only_at_the_whole_prefix(spark):
     page = spark.createDataFrame(rows, "t string").selectExpr("t", f"named_struct('title', cast(null AS string), 'breadcrumbs', {trail}, 'meta', named_struct('og_title', 'og')) AS page")
     got = {r["t"]: r["v"] for r in page.select("t", mapping.hierarchy().getField("version_name").alias("v")).collect()}
     assert got == {"2004 Otra Cosa 1.4": "2004 Otra Cosa 1.4", "2004 Seat Leon 1.4": "2004 Seat Leon 1.4", "2004 SEAT Ibiza 1.4": "2004 SEAT Ibiza 1.4", "2004 Seat Ibiza 1.4": "1.4", "2004 Seat Ibiza": "Ibiza", "Seat Ibiza 1.4": "Seat Ibiza 1.4", "2004  Seat Ibiza(x)": "(x)"}
+
+
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_distinct_names_resolve_as_rows_do(spark, monkeypatch, hot):
+    monkeypatch.setattr(spread, "HOT", hot)
+    makes = spark.createDataFrame([("seat", "SEAT", 1), ("vw", "Seat", 2), ("x", "***", 3)], "manufacturer_id string, manufacturer_name string, pos int")
+    models = spark.createDataFrame([("seat_ibiza", "seat", "Ibiza", 1)], "model_id string, manufacturer_id string, model_name string, pos int")
+    gens = spark.createDataFrame([("seat_ibiza_mk5", "seat_ibiza", "Ibiza (2017-Actualidad)", None, 1)], "generation_id string, model_id string, generation_name string, generation_name_canonical string, pos int")
+    names = [("Seat", "IBIZA", "Mk5", "1.0"), ("seat!", "ibiza", "ibiza 2017 actualidad", "x"), ("Seat", "Ibiza", "Mk4", "x"), ("***", "Ibiza", "Mk5", "x"), (None, "Ibiza", "Mk5", "x"), ("", "Ibiza", "Mk5", "x"), ("Seat", " ", "Mk5", None), ("Fiat", "Ibiza", "Mk5", "")]
+    rows = spark.createDataFrame([(k, *names[k % 8 if k % 3 else 0], "old") for k in range(300)], "record_idx long, manufacturer_name string, model_name string, generation_name string, version_name string, manufacturer_id string").repartition(4)
+    ours, theirs = (sorted(map(tuple, f(rows, makes, models, gens).select("record_idx", "manufacturer_id", "model_id", "generation_id", "version_id", "resolution_error", "version_name_canonical").collect()), key=repr) for f in (resolve.resolve_ids_spread, lambda r, *t: resolve.resolve_ids(r.drop("manufacturer_id"), *t)))
+    assert ours == theirs and len(ours) == 300
+    assert resolve.resolve_ids_spread(rows.limit(0), makes, models, gens).count() == 0

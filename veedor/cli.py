@@ -78,7 +78,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         named = named.withColumn(n, records.text(n))
     resolved = resolve.resolve_ids(named, *_references(spark, a))
     if a.command == "resolve":
-        out = resolve.fail_fast(resolved).select("record_idx", "raw", "manufacturer_id", "model_id", "generation_id", "version_name_canonical", "version_id")
+        taken = resolve.fail_fast(resolved).withColumns({n: records.text(n) for n in ("gearbox", "traction", "gearbox_type", "drive_type")})
+        made = ("manufacturer_id", "model_id", "generation_id", "version_name_canonical", "version_id", "gearbox_type", "drive_type")
+        out = resolve.carry_over(taken).select("record_idx", "raw", *made)
         out.write.mode("overwrite").json(a.output, ignoreNullFields=False)
         return 0
     key = load.load_key(F.col("manufacturer_id"), F.col("model_id"), F.col("generation_id"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veedor.functions import numbers as num
-from veedor.functions.text import canon, clean_text, first_present, normalize_space, normalize_url, slug_ascii, slug_unicode, strip, upper_text
+from veedor.functions.text import clean_text, first_present, normalize_space, normalize_url, slug_ascii, slug_unicode, strip, upper_text
 from veedor.sources.contract import Contract
 
 #: Fixed value: the source that is named where a page names none.
@@ -309,7 +309,3 @@ def prefixed_ids(make: Column, model: Column, generation: Column, version: Colum
 def absolute_links(page_url: Column) -> list[Column]:
     """The trail's links, made absolute."""
     return [normalize_url(page_url, F.col(f"page.links.{n}")).alias(n) for n in ("source_manufacturer_url", "source_generation_url", "source_model_url")]
-
-
-def lookup_key(c: Column) -> Column:
-    return canon(c)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veedor.functions.text import canon, clean_text, id_slug, strip
-from veedor.operators.spread import numbered
+from veedor.operators.spread import attach, numbered
+from veedor.sources.shared import cut
 
 #: Short names of generations and the names that they stand for.
 GENERATION_ALIASES = {"mk5": "ibiza 2017 actualidad", "mk4": "ibiza 2008 2017", "mk3": "ibiza 2002 2009", "mk2": "ibiza 1993 2002", "mk1": "ibiza 1984 1993"}
@@ -58,11 +59,17 @@ def resolve_ids(rows: DataFrame, manufacturers: DataFrame, models: DataFrame, ge
     table = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]) if aliases else F.create_map().cast("map<string,string>")
     full = F.try_element_at(table, canon("generation_name"))
     out = look_up(out, full, candidates(generations, "generation_id", names[1:], "pos", "model_id", empty_keys), "_by_alias", F.col("model_id"))
-    out = out.withColumn("generation_id", F.coalesce("_direct", "_by_alias")).drop("_direct", "_by_alias")
+    return _with_version(out.withColumn("generation_id", F.coalesce("_direct", "_by_alias")).drop("_direct", "_by_alias"))
+
+
+_MADE = ("version_name_canonical", "version_id", "resolution_error")
+
+
+def _with_version(out: DataFrame) -> DataFrame:
+    """Add the version's identifier, or the first reason why a record has none."""
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    four = batch_names()
     problem = F.coalesce(
-        *[F.when(blank(c), F.lit(f"{c} is missing")) for c in four], F.when(F.col("manufacturer_id").isNull(), F.concat(F.lit("manufacturer not found: "), F.col("manufacturer_name"))),
+        *[F.when(blank(c), F.lit(f"{c} is missing")) for c in batch_names()], F.when(F.col("manufacturer_id").isNull(), F.concat(F.lit("manufacturer not found: "), F.col("manufacturer_name"))),
         F.when(F.col("model_id").isNull(), F.concat(F.lit("model not found: "), F.col("model_name"))), F.when(F.col("generation_id").isNull(), F.concat(F.lit("generation not found: "), F.col("generation_name"))),
     )
     slug = id_slug("version_name")
@@ -70,6 +77,25 @@ def resolve_ids(rows: DataFrame, manufacturers: DataFrame, models: DataFrame, ge
     return out.withColumn("version_id", F.when(F.col("resolution_error").isNull(), F.col("version_id")))
 
 
+def resolve_ids_spread(rows: DataFrame, manufacturers: DataFrame, models: DataFrame, generations: DataFrame, **settings) -> DataFrame:
+    """:func:`resolve_ids` for reference tables too large to broadcast, and batches of which one make has most rows.
+
+    The batch is first reduced, on the map side, to its distinct canonical names; only these meet the
+    tables, so a make, model or generation comes once however many rows name it. The identifiers then
+    go back by the digest of the names: those of names that a thousandth of all rows share are
+    broadcast, and only the other rows move.
+    """
+    names = batch_names()[:3]
+    # A blank name differs from one that only its signs make empty: messages tell them apart.
+    spelled = [F.concat_ws("=", (F.coalesce(F.col(n), F.lit("")) == "").cast("string"), F.coalesce(canon(n), F.lit(""))) for n in names]
+    keyed = rows.withColumn("_names", F.md5(F.concat_ws("|", *spelled)))
+    distinct = cut(keyed.groupBy("_names").agg(*[F.first(n).alias(n) for n in names], F.count(F.lit(1)).alias("_n"))).withColumn("version_name", F.lit("v"))
+    found = cut(resolve_ids(distinct, manufacturers, models, generations, **settings).select("_names", "_n", "manufacturer_id", "model_id", "generation_id"))
+    total = found.agg(F.sum("_n")).first()[0] or 0
+    met = attach(keyed.drop("manufacturer_id", "model_id", "generation_id"), found, "_names", "_n", total)
+    return _with_version(met).select(*[c for c in rows.columns if c not in ("manufacturer_id", "model_id", "generation_id", *_MADE)], "manufacturer_id", "model_id", "generation_id", *_MADE)
+
+
 def carry_over(rows: DataFrame, keys: Column | str = "keys") -> DataFrame:
     """Copy ``gearbox`` and ``traction`` to the contract's names, where these keys are absent."""
     have = F.col(keys) if isinstance(keys, str) else keys

@@ -474,6 +474,18 @@ def id_resolution(spark, sf_dir):
     return out.select("record_idx", "manufacturer_id", "model_id", "generation_id", "version_id", F.substring_index("resolution_error", " ", 1).alias("unresolved"))
 
 
+@registered("""WITH o AS (SELECT o_orderkey AS record_idx, CASE WHEN o_orderkey % 3 > 0 THEN 1 ELSE o_custkey END AS c FROM orders),
+t AS (SELECT record_idx, c % 10 = 0 AS nomake, c_nationkey AS n, n_regionkey AS r, c_mktsegment AS m FROM o JOIN customer ON c_custkey = c JOIN nation ON n_nationkey = c_nationkey), g AS (SELECT DISTINCT c_nationkey AS n, c_mktsegment AS m FROM customer WHERE c_mktsegment <> 'MACHINERY')
+SELECT record_idx, CASE WHEN NOT nomake THEN 'mk_' || r END AS manufacturer_id, CASE WHEN NOT nomake THEN 'md_' || t.n END AS model_id, CASE WHEN NOT nomake AND g.n IS NOT NULL THEN 'g_' || t.n || '_' || lower(t.m) END AS generation_id,
+  CASE WHEN NOT nomake AND g.n IS NOT NULL THEN 'g_' || t.n || '_' || lower(t.m) || '__v' || record_idx END AS version_id, CASE WHEN nomake THEN 'manufacturer' WHEN g.n IS NULL THEN 'generation' END AS unresolved FROM t LEFT JOIN g ON g.n = t.n AND g.m = t.m""")
+def id_resolution_hot(spark, sf_dir):
+    """Orders as records, two thirds of them of one make, model and generation."""
+    rows = from_sql(spark, sf_dir, """SELECT o_orderkey AS record_idx, CASE WHEN c_custkey % 10 = 0 THEN 'ATLANTIS' ELSE concat(' (', lower(r_name), ')') END AS manufacturer_name, concat(n_name, ' !') AS model_name, c_mktsegment AS generation_name, concat('V', CAST(o_orderkey AS STRING)) AS version_name
+        FROM {orders} JOIN {customer} ON c_custkey = CASE WHEN o_orderkey % 3 > 0 THEN 1 ELSE o_custkey END JOIN {nation} ON n_nationkey = c_nationkey JOIN {region} ON r_regionkey = n_regionkey""", "orders", "customer", "nation", "region")
+    out = resolve.resolve_ids_spread(rows, *_reference_tables(spark, sf_dir))
+    return out.select("record_idx", "manufacturer_id", "model_id", "generation_id", "version_id", F.substring_index("resolution_error", " ", 1).alias("unresolved"))
+
+
 @registered("""WITH f AS (SELECT c_mktsegment AS segment, min(c_custkey) AS seen FROM customer GROUP BY 1), k AS (SELECT segment, 1 AS id FROM f WHERE segment = 'BUILDING' UNION ALL
   SELECT segment, 1 + row_number() OVER (ORDER BY seen) FROM f WHERE segment <> 'BUILDING') SELECT c_custkey AS record_idx, CAST(id AS BIGINT) AS segment_id FROM customer JOIN k ON k.segment = c_mktsegment""")
 def resolve_or_create(spark, sf_dir):
