@@ -60,3 +60,29 @@ def test_run_gives_the_last_stage(spark, folder):
 def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontamination", "mixing", "sharding"]
+
+
+#: Names that the stages use for columns of their own.
+INTERNAL = [
+    "shard", "_group_key", "_item", "_own", "_bundled", "item", "load", "_found_by_key", "doc_key", "_key", "item_key", "hash", "shingle", "_stays", "_id", "node", "n", "comp", "component_id", "holder",
+    "_rejected", "_text", "_lang_pred", "_score", "label", "bucket", "_whole", "_draw", "_times", "row", "draw", "size", "taken", "target", "source_key", "block", "_hot", "_cell", "_page", "_bits", "w", "s", "h", "b",
+]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_hand_columns_of_any_name_through(spark, tmp_path, stage):
+    rows = [(k, f"the quick fox {k} jumps over many lazy dogs in the field near river {k % 30}" if k % 7 else None, "en", f"s{k % 3}", k) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([(1, "jumps over many lazy dogs in the field near river 4")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    run = dict(corpus_pipeline.STAGES)[stage]
+    extra = docs.withColumns({c: F.concat(F.lit(f"my {c} "), F.col("doc_id")) for c in INTERNAL})
+    plain, wide = run(spark, docs, str(tmp_path)), run(spark, extra, str(tmp_path))
+    assert sorted(r["doc_id"] for r in plain.collect()) == sorted(r["doc_id"] for r in wide.collect()) and plain.count() > 0
+    kept = [c for c in INTERNAL if c != "shard" or stage != "sharding"]
+    assert set(extra.columns) <= set(wide.columns) and wide.filter(" OR ".join(f"`{c}` != concat('my {c} ', doc_id)" for c in kept)).isEmpty()
+
+
+def test_the_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -101,4 +101,6 @@ def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     Each row is judged by its own text: rows that share a doc_id with a contaminated one stay.
     """
     found = cut(_matches(docs, items).select("doc_key").distinct().toDF("_found_by_key"))
-    return docs.join(found, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_found_by_key"), "left_anti")
+    # All columns travel as one, so none of them can clash.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"), F.xxhash64("doc_id", "text").alias("_key"))
+    return whole.join(found, F.col("_key") == F.col("_found_by_key"), "left_anti").select("_whole.*")

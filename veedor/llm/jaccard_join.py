@@ -403,4 +403,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     A document is its doc_id here: rows that repeat it stay or go together.
     """
     stay = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    # All columns travel as one, so none of them can clash.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"), F.col("doc_id").alias("_id"))
+    return whole.join(stay, F.col("_id").eqNullSafe(F.col("_stays")), "left_semi").select("_whole.*")

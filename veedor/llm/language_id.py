@@ -198,8 +198,10 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFram
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows that are not rejected, with all their columns; the model is fitted on ``docs``."""
-    found = identify(docs, fit(docs), docs.columns)
-    return found.filter(~F.col("_rejected")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # All columns travel as one, so none of them can clash.
+    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"))
+    found = identify(whole, fit(docs), ["_whole"])
+    return found.filter(~F.col("_rejected")).select("_whole.*")
 
 
 def identify_languages(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

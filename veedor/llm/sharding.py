@@ -10,7 +10,8 @@ Law: ``bytes``; the sizes of shards are near equal.
 
 Defined results: a null text has no bytes, size 1 and checksum 0, and null texts form one group;
 repeated rows keep a slot each; ties between equal sizes go by key, so reruns agree; an empty table
-gives no row; further columns are ignored.
+gives no row; further columns are ignored, and handed through by ``sharded_rows``. Very long texts are
+read whole, and only for their digest and size.
 """
 
 from __future__ import annotations
@@ -88,10 +89,12 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 
 def sharded_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
-    """All columns of ``docs`` with ``shard``; rows of equal text share one."""
+    """All columns of ``docs`` with ``shard``, in place of a column of that name; rows of equal text share one."""
     digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null"))
     plan = schedule(docs.select((F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), digest.alias("_group_key")), shards)
-    return _place(docs.withColumn("_group_key", digest), plan).drop("_group_key")
+    # All columns travel as one, so none of them can clash.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "shard")).alias("_whole"), digest.alias("_group_key"))
+    return _place(whole, plan).select("_whole.*", "shard")
 
 
 def _with_slots(dealt: DataFrame, count: int) -> DataFrame:
