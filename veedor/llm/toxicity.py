@@ -3,8 +3,10 @@
 A token's score is its log-odds between toxic and clean texts, less a constant drift. Counts are
 shrunk by Dirichlet priors in a chain: the prior of a word is the estimate of its longest known prefix,
 that of a prefix the estimate of the next shorter one, and the first has even odds. So a rare form of
-a telling stem, or one never seen, scores as the stem does, and a token that nothing is known of
-weighs a little against. Every token counts, no significance is asked for.
+a telling stem, or one never seen, scores as the stem does. Every token counts, no significance is
+asked for. The drift is as much as odds of e to 1, so a token that nothing is known of weighs against a
+passage, and so do those that a few long toxic texts of a small sample have made a little suspicious:
+with a small drift, long runs of such tokens add up to more than short passages of telling ones.
 
 One linear scan over a text finds all its maximal segments, the toxic passages. The best segment of a
 clean text follows an extreme-value law, whose location grows with the logarithm of the length; the
@@ -42,7 +44,7 @@ SAMPLE = 4096
 #: Bytes of the prefixes that a word's estimate goes back to.
 PREFIXES = (3, 4, 5, 6, 7, 8, 10, 12)
 #: Weight of a prior in tokens, what every score is lowered by, and the most that a token counts in one text.
-PRIOR, DRIFT, MOST = 2.0, 0.2, 4
+PRIOR, DRIFT, MOST = 2.0, 1.0, 4
 #: Segments that clean texts are expected to have fewer of than this are significant.
 SIGNIFICANT = 0.05
 _EULER = 0.5772156649015329
