@@ -1,11 +1,14 @@
+import pathlib
 import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from veedor.operators import load, spread
+from veedor.plans import catalogue
 from veedor.sources import committed
 from veedor.sources.committed import CommittedTable, create_once
+from veedor.sources.shared import shared_folder
 
 
 def batch(spark, first, last, step=1, failed=()):
@@ -135,3 +138,37 @@ def test_command_line_loads_into_a_committed_table(spark, tmp_path, monkeypatch)
     for _ in range(2):
         assert cli.main(["load", str(tmp_path / "load.json"), str(tmp_path / "table"), "--committed", *names]) == 0
     assert CommittedTable(spark, str(tmp_path / "table")).rows().count() == 1
+
+
+def written(spark, run):
+    """Bytes that ``run`` adds to the shared folder."""
+    folder = shared_folder(spark).removeprefix("file:")
+    size = lambda: sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*") if p.is_file())
+    before = size()
+    run()
+    return size() - before
+
+
+@pytest.mark.parametrize("name", ["load_decisions", "load_report"])
+def test_a_load_keeps_few_bytes_a_row(spark, name):
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    got = []
+    assert written(spark, lambda: got.append(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").collect())) < 100 * n
+    assert len(got[0]) == (n if name == "load_decisions" else 1)
+
+
+def test_odd_keys_come_back_as_they_were(spark):
+    keys = ["", "é" * 16, "a" * 64, "A" * 64, "a" * 63, "g" * 64, "x" * 32, "-" * 33, "\n" + "a" * 64, "a" * 64 + "\n"]
+    rows = spark.createDataFrame([(i, k, None, "p") for i, k in enumerate(keys * 2)] + [(99, "k", "bad", "p")], "record_idx long, load_key string, error string, more string")
+    got = [tuple(r) for r in load.decide(rows, spark.createDataFrame([(keys[2],)], "load_key string")).orderBy("record_idx").collect()]
+    first = [(i, k, None, "p", "skipped_duplicate" if i == 2 else "inserted") for i, k in enumerate(keys)]
+    assert got == first + [(i + len(keys), k, None, "p", "skipped_duplicate") for i, k in enumerate(keys)] + [(99, "UNAVAILABLE", "bad", "p", "failed")]
+
+
+def test_the_first_row_of_a_hot_key_is_inserted(spark, monkeypatch):
+    monkeypatch.setattr(spread, "HOT", 5)
+    rows = spark.range(400).selectExpr("999 - id AS record_idx", "if(id % 3 = 0, if(id % 2 = 0, 'hot', 'there'), string(id)) AS load_key", "cast(null AS string) AS error")
+    got = load.decide(rows, spark.createDataFrame([("there",)], "load_key string"))
+    assert got.count() == 400 and got.filter("status = 'inserted' AND load_key = 'there'").isEmpty()
+    assert [r["record_idx"] for r in got.filter("status = 'inserted' AND load_key = 'hot'").collect()] == [999 - 396]
+    assert got.filter("status = 'inserted'").count() == 1 + 400 - 134

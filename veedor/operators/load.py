@@ -9,13 +9,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from veedor.operators.spread import attach
+from veedor.operators import spread
 from veedor.sources import records
 from veedor.sources.committed import CommittedTable
-from veedor.sources.shared import cut
+from veedor.sources.shared import cut, keep
 
 #: Checks that must have passed, and the fields that a row must have.
 GATES = ("iig_status", "dvl_status", "batch_status")
@@ -33,36 +33,74 @@ def prevalidate() -> Column:
     return F.coalesce(*status, *[F.when(F.coalesce(records.text(n), F.lit("")) == "", F.lit(f"{n} is missing")) for n in NEEDED])
 
 
+def spelled(name: str) -> Column:
+    """A field as keys spell it: a missing one is empty, a null one ``None``; numbers stay as written."""
+    return F.when(records.kind(name) == "null", "None").when(records.kind(name) == "bool", F.initcap(records.text(name))).otherwise(F.coalesce(records.text(name), F.lit("")))
+
+
 def load_key(manufacturer: Column, model: Column, generation: Column, fields: list[Column] | None = None) -> Column:
     """SHA-256 over identifiers and fields joined by bars.
 
     A missing field is empty, a null one ``None``, a missing generation ``NULL``; numbers keep their
     spelling, so 95 and 95.0 differ.
     """
-    spelled = lambda n: F.when(records.kind(n) == "null", "None").when(records.kind(n) == "bool", F.initcap(records.text(n))).otherwise(F.coalesce(records.text(n), F.lit("")))
     parts = [F.coalesce(manufacturer.cast("string"), F.lit("None")), F.coalesce(model.cast("string"), F.lit("None")), F.coalesce(generation.cast("string"), F.lit("NULL"))]
     return F.sha2(F.concat_ws("|", *parts, *(fields or [spelled(n) for n in KEYED])), 256)
 
 
-def decide(rows: DataFrame, target_keys: DataFrame) -> DataFrame:
+#: What stands before a key that is no digest, so that it is longer than one.
+_LONG = "-" * 33
+
+
+def _packed(key: str) -> Column:
+    """A key as bytes: a digest takes 32 of them instead of its 64 letters."""
+    return F.when(F.col(key).rlike(r"^[0-9a-f]{64}\z"), F.unhex(key)).otherwise(F.encode(F.concat(F.lit(_LONG), key), "UTF-8"))
+
+
+def _unpacked(key: str) -> Column:
+    return F.when(F.length(key) == 32, F.lower(F.hex(key))).otherwise(F.decode(F.expr(f"substring({key}, {len(_LONG) + 1})"), "UTF-8"))
+
+
+def decide(rows: DataFrame, target_keys: DataFrame, kept: bool = False) -> DataFrame:
     """Add ``status``: ``failed`` with an error, ``skipped_duplicate``, or ``inserted``.
 
     ``rows`` has ``record_idx, load_key, error``. Among rows of one key the first is inserted, unless
-    the target has the key; of rows that share their record_idx too, one is. Rows are kept once in the
-    shared folder; a key that most of them have is counted on the map side and its rows do not move.
+    the target has the key; of rows that share their record_idx too, one is. Rows move once, with
+    their keys as bytes; those of keys that very many rows have are dealt to many tasks. They are read
+    three times, from a copy in the shared folder, or as they are if the caller has ``kept`` them.
     """
-    return _decide(rows, lambda keys: target_keys.select("load_key").distinct())
+    return _decide(rows if kept else keep(rows), lambda keys: target_keys.select("load_key"))
+
+
+#: Hash buckets of keys whose rows are counted to find keys that very many rows have.
+BUCKETS = 1 << 16
+
+
+def _hot_buckets(fit: DataFrame, bucket: Column) -> list[int]:
+    """Buckets with a thousandth of all rows, so at most 1,000."""
+    counts = fit.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    both = counts.agg(F.sum("n").alias("total"), F.expr(f"array_agg(struct(b, n)) FILTER (WHERE n >= {spread.HOT})").alias("large"))
+    return both.select(F.expr(f"transform(filter(large, x -> x.n >= total div {spread.HOT}), x -> x.b)").alias("hot")).first()["hot"] or []
 
 
 def _decide(rows: DataFrame, known_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     names = rows.columns
-    rows = cut(rows.withColumn("_seq", F.monotonically_increasing_id()))
-    fit = rows.filter("error IS NULL")
-    firsts = cut(fit.groupBy("load_key").agg(F.min(F.struct("record_idx", "_seq")).alias("_first"), F.count(F.lit(1)).alias("_n")))
-    total = firsts.agg(F.sum("_n")).first()[0] or 0
-    state = firsts.join(known_of(firsts.select("load_key")).withColumn("_known", F.lit(True)), "load_key", "left")
-    repeated = F.col("_known").isNotNull() | (F.struct("record_idx", "_seq") != F.col("_first"))
-    judged = attach(fit, state, "load_key", "_n", total).withColumn("status", F.when(repeated, "skipped_duplicate").otherwise("inserted"))
+    others, fit = [c for c in names if c not in ("load_key", "error")], rows.filter("error IS NULL")
+    bucket = F.pmod(F.xxhash64("load_key"), F.lit(BUCKETS))
+    hot = _hot_buckets(fit, bucket)
+    known = known_of(fit.select("load_key")).select(_packed("load_key").alias("_key")).distinct().withColumn("_known", F.lit(True))
+    packed = lambda some: some.select(*others, _packed("load_key").alias("_key"))
+    nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("record_idx"))
+    status = lambda repeated: F.when(F.col("_key").isNotNull() & repeated, "skipped_duplicate").otherwise("inserted")
+    judge = lambda some: some.join(known, "_key", "left").withColumn("status", status(F.col("_known").isNotNull() | (nth("_key") > 1))).select(*others, "_key", "status")
+    judged = judge(packed(fit.filter(~bucket.isin(hot)) if hot else fit))
+    if hot:
+        width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = packed(fit.filter(bucket.isin(hot))).withColumn("_part", F.pmod(F.hash(*others), F.lit(width))).withColumn("_nth", nth("_key", "_part"))
+        # Of a key only the first row of each part can be its first row.
+        later = dealt.filter("_nth > 1").withColumn("status", status(F.lit(True))).select(*others, "_key", "status")
+        judged = judged.unionByName(judge(dealt.filter("_nth = 1").select(*others, "_key"))).unionByName(later)
+    judged = judged.withColumns({"load_key": _unpacked("_key"), "error": F.lit(None).cast(rows.schema["error"].dataType)})
     failed = rows.filter("error IS NOT NULL").withColumns({"load_key": F.lit("UNAVAILABLE"), "status": F.lit("failed")})
     return judged.select(*names, "status").unionByName(failed.select(*names, "status"))
 
@@ -124,7 +162,7 @@ def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict:
     """
     spark, seen = rows.sparkSession, table.version()
     counts = Observation()
-    decided = cut(_decide(rows, lambda keys: table.known(keys, upto=seen)).observe(counts, *_counts()))
+    decided = keep(_decide(keep(rows), lambda keys: table.known(keys, upto=seen)).observe(counts, *_counts()))
     n = dict(counts.get)
 
     def done() -> Loaded:

@@ -84,7 +84,7 @@ class CommittedTable:
         return self.spark.read.parquet(*folders) if folders else None
 
     def known(self, keys: DataFrame, after: int = 0, upto: int | None = None) -> DataFrame:
-        """Those of distinct ``keys`` that the commits after a version, up to one, hold.
+        """Those of ``keys``, each once, that the commits after a version, up to one, hold.
 
         Commits whose range of keys the batch does not meet are left out; of the others the bit arrays
         pick the keys that are looked for.
@@ -96,7 +96,7 @@ class CommittedTable:
         if not met:
             return keys.limit(0)
         have = self.spark.read.parquet(*[f"{self.path}/data/{c['folder']}" for c in met]).select(self.key)
-        looked_for = cut(self.may_have(keys, met))
+        looked_for = cut(self.may_have(keys, met).distinct())
         few = looked_for.limit(FEW + 1).count() <= FEW
         # Keys are unique on either side, so this is the semi-join that may move the smaller side.
         return have.join(F.broadcast(looked_for) if few else looked_for, self.key)
