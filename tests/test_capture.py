@@ -93,3 +93,13 @@ def test_command_line_resumes_and_takes_a_slice(spark, tmp_path, monkeypatch):
     assert cli.main(["pages", out, files, "--resume"]) == 0
     assert sorted((r["source"][-7:], r["seq"]) for r in state.read_log(spark, f"{out}/log").collect()) == [("p0.html", 2), ("p1.html", 1), ("p2.html", 2)]
     assert cli.main(["pages", out, files, "--resume", "--limit", "0"]) == 2
+
+
+def test_pages_of_one_url_are_told_apart(spark, tmp_path):
+    out = str(tmp_path / "o")
+    pages = spark.createDataFrame([("https://x.es/a#top", PAGE, 1), ("https://x.es/a#top", None, 2)], f"{SCHEMA}, page_id int")
+    capture.capture(pages, CONTRACT, out, 1, apart="page_id")
+    got = state.read_log(spark, f"{out}/log").select("source", "status", capture.url_of("source").alias("url")).collect()
+    assert sorted(tuple(r) for r in got) == [("https://x.es/a#top#1", "completed", "https://x.es/a#top"), ("https://x.es/a#top#2", "failed", "https://x.es/a#top")]
+    capture.capture(pages.withColumn("html", F.lit(PAGE)), CONTRACT, out, 2, apart="page_id")
+    assert entries(spark, out) == [("1", "completed", 1, None), ("2", "completed", 2, None), ("2", "failed", 1, "the page has no HTML")]

@@ -24,16 +24,19 @@ from veedor.streaming import state
 KINDS = ("raw", "clean", "errors", "log")
 
 
-def capture(captured: DataFrame, contract: Contract, out: str, number: int, mode: str = "batch", at: Column | None = None) -> DataFrame:
+def capture(captured: DataFrame, contract: Contract, out: str, number: int, mode: str = "batch", at: Column | None = None, apart: str | None = None) -> DataFrame:
     """Process the pages (``url, html``) that no other run has completed, as run ``number``; its log entries.
 
     Failed pages are tried again. ``raw`` has the parts of each page, ``clean`` its contract record with
-    its quality flags, ``errors`` what went wrong by page, under the page's entry name.
+    its quality flags, ``errors`` what went wrong by page, under the page's entry name. A URL is one
+    page, however often it comes, unless the column ``apart`` tells pages of one URL apart: their
+    sources are the URL, a number sign and its value (see :func:`url_of`).
     """
     spark, at = captured.sparkSession, F.current_timestamp() if at is None else at
+    source = F.concat("url", F.lit("#"), F.col(apart).cast("string")) if apart else F.col("url")
     log = state.read_log(spark, f"{out}/log")
     others = log.filter(F.col("seq") != number)
-    todo = state.pending(captured.select(F.col("url").alias("source"), "html"), others).dropDuplicates(["source"])
+    todo = state.pending(captured.select(source.alias("source"), "html"), others).dropDuplicates(["source"])
     read = cut(pages.parse_pages_apart(todo).select("source", "page", "error"))
     sound, broken = read.filter("error IS NULL"), read.filter("error IS NOT NULL")
     raw = mapping.raw_from_pages(sound, "source").withColumn("page_url", F.col("source_version_url"))
@@ -50,6 +53,11 @@ def capture(captured: DataFrame, contract: Contract, out: str, number: int, mode
     return written["log"]
 
 
+def url_of(source: Column | str) -> Column:
+    """The URL of a source whose page was told apart."""
+    return F.regexp_replace(source, "#[^#]*$", "")
+
+
 def capture_stream(captured: DataFrame, contract: Contract, out: str, checkpoint: str):
     """Extension: run :func:`capture` on each batch of a stream of ``url, html``; a replayed batch changes nothing."""
 
