@@ -150,7 +150,7 @@ class Loaded:
     report: DataFrame
 
 
-def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict: bool = True, attempts: int = 100) -> Loaded:
+def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict: bool = True, attempts: int = 100, kept: bool = False) -> Loaded:
     """Load ``record_idx, load_key, error`` and further columns into ``table``, beside other writers (K6, L6, L8).
 
     Rows are judged against the version that was read, staged, and committed as the next one. If
@@ -158,11 +158,12 @@ def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict:
     what was staged, and the next version is tried; so every key enters once, and all rows of a load
     at once. Strict: a failed row raises before anything is staged. A run id that was committed
     before is not loaded again: its rows count as duplicates. The report's counts are observed while
-    rows are judged; no further pass is made for them.
+    rows are judged; no further pass is made for them. ``rows`` are read from a copy, or as they are
+    if the caller has ``kept`` them.
     """
     spark, seen = rows.sparkSession, table.version()
     counts = Observation()
-    decided = keep(_decide(keep(rows), lambda keys: table.known(keys, upto=seen)).observe(counts, *_counts()))
+    decided = keep(_decide(rows if kept else keep(rows), lambda keys: table.known(keys, upto=seen)).observe(counts, *_counts()))
     n = dict(counts.get)
 
     def done() -> Loaded:
@@ -180,12 +181,12 @@ def load_committed(rows: DataFrame, table: CommittedTable, run_id: str, strict:
             return done()
         newest = table.version()
         mine = decided.filter("status = 'inserted'")
-        taken = cut(table.known(mine.select("load_key"), after=seen, upto=newest))
+        taken = keep(table.known(mine.select("load_key"), after=seen, upto=newest))
         n_taken, seen = taken.count(), newest
         if n_taken:
             lost = mine.join(taken.withColumn("_taken", F.lit(True)), "load_key", "left")
             status = F.when(F.col("_taken"), "skipped_duplicate").otherwise("inserted")
-            decided = cut(lost.withColumn("status", status).select(*decided.columns).unionByName(decided.filter("status != 'inserted'")))
+            decided = keep(lost.withColumn("status", status).select(*decided.columns).unionByName(decided.filter("status != 'inserted'")))
             n["inserted"] -= n_taken
             n["skipped_duplicate"] += n_taken
             if not n["inserted"]:

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from veedor.sources.shared import cut
+from veedor.sources.shared import keep
 
 COMMIT = "version long, run_id string, folder string, rows long, least string, greatest string, cells long"
 #: Cells of a new table's key array: 16 MiB, good for some 16 million keys; later commits keep a table's own.
@@ -96,7 +96,7 @@ class CommittedTable:
         if not met:
             return keys.limit(0)
         have = self.spark.read.parquet(*[f"{self.path}/data/{c['folder']}" for c in met]).select(self.key)
-        looked_for = cut(self.may_have(keys, met).distinct())
+        looked_for = keep(self.may_have(keys, met).distinct())
         few = looked_for.limit(FEW + 1).count() <= FEW
         # Keys are unique on either side, so this is the semi-join that may move the smaller side.
         return have.join(F.broadcast(looked_for) if few else looked_for, self.key)
@@ -117,7 +117,7 @@ class CommittedTable:
         commits, folder = self.commits(), uuid.uuid4().hex
         cells = commits[0]["cells"] if commits else self.cells
         seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("least"), F.max(self.key).alias("greatest")).write.parquet(f"{self.path}/data/{folder}")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("least"), F.max(self.key).alias("greatest")).write.option("compression", "zstd").parquet(f"{self.path}/data/{folder}")
         staged = self.spark.read.schema(rows.select(self.key).schema).parquet(f"{self.path}/data/{folder}")
         cell = F.explode(F.array(*_cells(self.key, cells))).alias("_cell")
         pages = staged.select(cell).groupBy(F.bitmap_bucket_number("_cell").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_cell")).alias("bits"))
