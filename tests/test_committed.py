@@ -1,3 +1,4 @@
+import hashlib
 import pathlib
 import threading
 
@@ -8,7 +9,7 @@ from veedor.operators import load, spread
 from veedor.plans import catalogue
 from veedor.sources import committed
 from veedor.sources.committed import CommittedTable, create_once
-from veedor.sources.shared import shared_folder
+from veedor.sources.shared import keep, shared_folder
 
 
 def batch(spark, first, last, step=1, failed=()):
@@ -172,3 +173,23 @@ def test_the_first_row_of_a_hot_key_is_inserted(spark, monkeypatch):
     assert got.count() == 400 and got.filter("status = 'inserted' AND load_key = 'there'").isEmpty()
     assert [r["record_idx"] for r in got.filter("status = 'inserted' AND load_key = 'hot'").collect()] == [999 - 396]
     assert got.filter("status = 'inserted'").count() == 1 + 400 - 134
+
+
+def test_a_report_counts_as_decide_does_and_moves_half_digests_only(spark):
+    keys = ["", "é" * 16, "a" * 64, "A" * 64, "x" * 32, "-" * 33, hashlib.sha256(b"q").hexdigest(), "q", None, None]
+    rows = spark.createDataFrame([(i, k, None) for i, k in enumerate(keys * 2)] + [(99, "z", "bad"), (98, None, "bad")], "record_idx long, load_key string, error string").repartition(3)
+    for there in ([], ["a" * 64, "q", "nowhere", None]):
+        target = spark.createDataFrame([(k,) for k in there], "load_key string")
+        got = load.report_of(rows, target, "r")
+        assert got.collect() == load.report(load.decide(rows, target), "r").collect() and got.first()["inserted"] == (10 if there else 12)
+    assert load.report_of(rows.limit(0), target, "r").collect() == load.report(load.decide(rows.limit(0), target), "r").collect()
+
+
+def test_the_report_query_shuffles_few_bytes(spark):
+    plan = catalogue.QUERIES["load_report"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan and "record_idx" not in plan
+
+
+def test_kept_files_have_no_more_rows_than_asked(spark):
+    kept = keep(spark.range(0, 1000, 1, 2), most=150)
+    assert kept.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 150 and kept.count() == 1000

@@ -31,15 +31,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, most: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder as compressed Parquet and carry on from the copy.
 
     A checkpoint takes rows as they lie in memory, several times the bytes; Parquet has no place for
-    untyped nulls and intervals, so rows with those are cut. The copy stays in the folder.
+    untyped nulls and intervals, so rows with those are cut. The copy stays in the folder. With
+    ``most``, no file has more rows: tasks are dealt by bytes, and of rows that pack to a few bytes
+    one task would get so many that it spills.
     """
     kinds = df.schema.simpleString()
     if "void" in kinds or "interval" in kinds:
         return cut(df)
     path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", maxRecordsPerFile=most).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
