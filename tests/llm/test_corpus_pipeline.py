@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from veedor.llm import mixing, queries
+from veedor.llm import jaccard_join, language_id, mixing, queries, sharding
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +86,24 @@ def test_the_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_the_join_sends_small_batches_and_puts_the_setting_back(spark, folder, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    was, join = spark.conf.get(key), jaccard_join._near_duplicates
+    monkeypatch.setattr(jaccard_join, "_near_duplicates", lambda docs: seen.append(int(spark.conf.get(key))) or docs)
+    jaccard_join.near_duplicates(spark.range(1))
+    monkeypatch.setattr(jaccard_join, "_near_duplicates", lambda docs: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jaccard_join.near_duplicates(spark.range(1))
+    assert seen == [1000] and spark.conf.get(key) == was
+    monkeypatch.setattr(jaccard_join, "_near_duplicates", join)
+    plan = jaccard_join.near_duplicates(spark.range(1).selectExpr("id AS doc_id", "'a b' AS text"))._jdf.queryExecution().toString()
+    assert "InArrow" not in plan  # no Python worker runs after the setting is back
+
+
+def test_texts_reach_the_language_model_once_and_the_shard_plan_without_python(spark):
+    docs = spark.range(9).selectExpr("id AS doc_id", "string(id) AS text", "'en' AS lang", "id % 2 AS more")
+    assert "_text" not in language_id.accepted(docs)._jdf.queryExecution().analyzed().toString()
+    plan = sharding.schedule(docs.selectExpr("doc_id + 1 AS size", "text AS _group_key"), 4)
+    assert plan.count() == 9 and "LocalRelation" in plan._jdf.queryExecution().analyzed().toString()

@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veedor.llm.kernel import mix, shingle_set, split_words
-from veedor.llm.storage import attach_groups, cut, keep_possible, shuffle_width
+from veedor.llm.storage import attach_groups, cut, keep_possible, shuffle_width, small_batches
 
 #: Shingle length in words.
 SHINGLE = 5
 #: Cells of the table of shingle counts, a power of two (4 bytes each), and the rows it travels in.
 CELLS, SLICES = 1 << 18, 16
-#: Sketch words buffered in a task before they are sent.
-FLUSH = 1_000_000
+#: Sketch words buffered in a task before they are sent, and nodes that a task remembers to have sent.
+FLUSH, SEEN = 250_000, 1_000_000
 #: Pairs that a member outside the largest component of a block gives in the first of two rounds.
 NEAREST = 4
 #: Sketch words that one task of the candidate search sorts, about.
@@ -189,7 +189,7 @@ def _sender(counts: np.ndarray, parts: int):
                 for k in range(len(words.rows)):
                     s = shingle_set(words.hashes[words.first[k] : words.first[k + 1]], SHINGLE)
                     if len(s) and (node := _node(s)) not in seen:
-                        if len(seen) < FLUSH:
+                        if len(seen) < SEEN:
                             seen.add(node)
                         nodes.append(node)
                         found.append(sketch_words(s, counts))
@@ -357,6 +357,12 @@ class _Verifier:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """The component of every row: ``doc_id, n_shingles, component_id``."""
+    # All jobs with Python workers end in here; what is returned only joins their results.
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     profile = cut(docs.mapInArrow(_profile, "slice int, doc_id long, n long, node long, bytes binary"))

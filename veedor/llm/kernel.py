@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are handled as one block; a longer document is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

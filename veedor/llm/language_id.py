@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,10 +160,14 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def _predictor(model: Model | None):
+def _predictor(model: Model | None, within: int | None = None):
+    """Make the mapper that judges the last column's texts; ``within`` says which field of it they are, which then stays."""
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, held = batch.column(batch.num_columns - 1), []
+            last, held = batch.num_columns - 1, []
+            stay = batch.select(batch.schema.names[:last] if within is None else batch.schema.names)
+            texts = batch.column(last) if within is None else pc.struct_field(batch.column(last), [within])
             lang, score, out = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
 
             def settle(held, lang=lang, score=score, out=out):
@@ -179,7 +184,7 @@ def _predictor(model: Model | None):
                     held = []
             if held:
                 settle(held)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang), pa.array(score), pa.array(out)], [*batch.schema.names[:-1], *_FOUND])
+            yield pa.RecordBatch.from_arrays([*stay.columns, pa.array(lang), pa.array(score), pa.array(out)], [*stay.schema.names, *_FOUND])
 
     return predict
 
@@ -188,19 +193,23 @@ def _predictor(model: Model | None):
 _FOUND = ("_lang_pred", "_score", "_rejected")
 
 
-def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
-    """Columns ``carry`` of every row, with ``_lang_pred, _score, _rejected``."""
+def identify(docs: DataFrame, model: Model | None, carry: list[str], within: int | None = None) -> DataFrame:
+    """Columns ``carry`` of every row, with ``_lang_pred, _score, _rejected``.
+
+    Texts are column ``text``, or that field of the last carried column, so that they travel once.
+    """
     schema = T.StructType([docs.schema[c] for c in carry])
     for name, kind in zip(_FOUND, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True):
         schema = schema.add(name, kind)
-    return docs.select(*(F.col(f"`{c}`") for c in carry), F.col("text").alias("_text")).mapInArrow(_predictor(model), schema)
+    text = [F.col("text").alias("_text")] if within is None else []
+    return docs.select(*(F.col(f"`{c}`") for c in carry), *text).mapInArrow(_predictor(model, within), schema)
 
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows that are not rejected, with all their columns; the model is fitted on ``docs``."""
     # All columns travel as one, so none of them can clash.
-    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"))
-    found = identify(whole, fit(docs), ["_whole"])
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"))
+    found = identify(whole, fit(docs), ["_whole"], [c.lower() for c in docs.columns].index("text"))
     return found.filter(~F.col("_rejected")).select("_whole.*")
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +63,9 @@ def schedule(rows: DataFrame, shards: int) -> DataFrame:
     # At most shards / LARGE large groups and BUNDLES bundles reach the driver.
     loads = groups.groupBy(item.alias("item")).agg(F.sum("load").alias("load")).collect()
     placed = least_loaded([(r["load"], r["item"]) for r in loads], shards)
-    return spark.createDataFrame([*placed.items()] or [("", 0)], "item string, shard int")
+    # As an Arrow table; of a list, executors would start Python workers to read it.
+    plan = pa.table({"item": pa.array([*placed] or [""], pa.string()), "shard": pa.array([*placed.values()] or [0], pa.int32())})
+    return spark.createDataFrame(plan)
 
 
 def _place(rows: DataFrame, plan: DataFrame) -> DataFrame:

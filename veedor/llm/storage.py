@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veedor.sources.shared import cut
 
-__all__ = ["attach_groups", "cut", "fold_of", "keep_possible", "labelled_sample", "lookup", "running_sums", "shuffle_width"]
+__all__ = ["attach_groups", "cut", "fold_of", "keep_possible", "labelled_sample", "lookup", "running_sums", "shuffle_width", "small_batches"]
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -46,6 +49,27 @@ def keep_possible(rows: DataFrame, needed: DataFrame, key: str) -> DataFrame:
     return met.filter(is_set).select(*rows.columns)
 
 
+#: Rows of a batch that goes to a Python worker, while ``small_batches`` holds.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Send rows to Python workers in small batches, for jobs that end in the block.
+
+    Executor and worker both hold a batch whole, in memory that neither gives back, and a batch of
+    Spark's 10,000 rows of texts or sets is tens of MB. The session's own setting is put back after.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    if not 0 < int(was) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def labelled_sample(labels: DataFrame, label: str, buckets: int) -> DataFrame:
     """A bounded sample of ``doc_id, label``: for each label at most ``buckets`` rows.
 
