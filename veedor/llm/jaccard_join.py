@@ -15,8 +15,9 @@ one bit to a word and a length in proportion to the set: pairs whose Hamming dis
 Whole shingle sets are fetched and compared for the rest alone. Each block of candidates is first
 tested as a star around its best connected member; then, in blocks that still hold several components,
 members outside the largest are tested against others, first the nearest and then all that are left. Pairs inside one component need no test,
-as only components are asked for. Components come from alternating star contractions on distributed
-tables. Equal sets are one node from the start.
+as only components are asked for. Each task first replaces its own links by a star per component; if these
+are few, one task joins them up, and if not, alternating star contractions on distributed tables do. Equal sets are
+one node from the start.
 
 Defined results: a null or blank text has no shingle, size 0, and is its own component; with fewer
 than five words the whole sequence is one shingle; rows of equal sets, repeated rows included, are
@@ -46,6 +47,8 @@ FLUSH, SEEN = 250_000, 1_000_000
 NEAREST = 4
 #: Sketch words that one task of the candidate search sorts, about.
 PER_TASK = 1_500_000
+#: Links that a task holds at a time to join them up, 16 bytes each.
+LINKS = 200_000
 
 
 def _bands() -> np.ndarray:
@@ -323,18 +326,58 @@ def _across(nearest: int | None):
     return run
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace each ``LINKS`` links by links of every node to the smallest one of its component; roots are linked to themselves."""
+    held, rows = [], 0
+
+    def settle() -> pa.RecordBatch:
+        ends = np.concatenate(held)
+        node, at = np.unique(ends, return_inverse=True)
+        x, y = at.reshape(ends.shape).T
+        comp = np.arange(len(node))
+        while (comp[x] != comp[y]).any():
+            low = np.minimum(comp[x], comp[y])
+            for end in (comp[x], comp[y]):
+                np.minimum.at(comp, end, low)
+            while (comp != comp[comp]).any():
+                comp = comp[comp]
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[comp])], ["node", "comp"])
+
+    for batch in batches:
+        held.append(np.stack([np.asarray(c) for c in batch.columns], 1))
+        rows += len(held[-1])
+        if rows >= LINKS:
+            yield settle()
+            held, rows = [], 0
+    if rows:
+        yield settle()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected ``a, b``: ``node, comp`` (the smallest node), by alternating stars."""
-    edges = cut(edges.select("a", "b").filter("a != b").distinct())
+    """Connected components of undirected ``a, b``: ``node, comp`` (the smallest node).
+
+    Up to ``LINKS`` links are joined up in one task; more by alternating stars.
+    """
+    stars = cut(edges.select("a", "b").mapInArrow(_stars, "node long, comp long"))
+    # The rows of one task are one batch of links, so what it gives are components.
+    if stars.count() < LINKS:
+        return stars.coalesce(1).mapInArrow(_stars, "node long, comp long")
+    return _alternate(stars.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+
+
+def _alternate(edges: DataFrame) -> DataFrame:
+    """Components by alternating stars."""
+    edges = cut(edges.filter("a != b").distinct())
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select("b", "m").filter("b != m").union(least.select(F.col("a"), "m")).distinct().toDF("a", "b")
+        small = large.join(least, "a").select("b", "m").filter("b != m").union(least.select(F.col("a"), "m")).toDF("a", "b")
         new = cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
         # Done once every node hangs on one root that hangs on nothing.
-        if new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty() and new.groupBy("a").count().filter("count > 1").isEmpty():
+        ends = new.selectExpr("a AS node", "1 AS up", "0 AS down").union(new.selectExpr("b", "0", "1"))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up = 1 AND down = 1").isEmpty():
             return new.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(new.select(F.col("b"), "b").distinct())
         edges = new
 
@@ -379,8 +422,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     met = cut(sent.repartition(parts, "part").mapInArrow(_meet, "a long, b long, identity long, members array<long>"))
     verifier = _Verifier(docs, nodes)
     stars = cut(met.filter("a IS NOT NULL").select("a", "b").distinct())
-    edges = cut(verifier.linked(stars))
-    comps = cut(components(edges))
+    comps = cut(components(verifier.linked(stars)))
     # Blocks that still hold several components: first the nearest pairs across these, which join most
     # that can be joined, then all that remain. Pairs that were tested are not tested again.
     blocks = cut(met.filter("members IS NOT NULL").groupBy("identity").agg(F.first("members").alias("members")))
@@ -392,6 +434,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         listed = members.groupBy("identity").agg(F.collect_list(F.struct("comp", "node", "n", "bits")).alias("m"))
         across = listed.select("m.comp", "m.node", "m.n", "m.bits").mapInArrow(_across(nearest), "a long, b long").distinct()
         across = cut(across.join(tested, ["a", "b"], "left_anti"))
+        if across.isEmpty():
+            continue
         more = cut(verifier.linked(across))
         if not more.isEmpty():
             comps = cut(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))

@@ -64,9 +64,29 @@ def _counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield row, np.bincount(cell[a : max(a, b - 2)], minlength=CELLS)
 
 
+#: A cell that occurs in a text, and how often.
+_CELL = np.dtype([("cell", "<u2"), ("n", "<i4")])
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """A text's counts without the cells that do not occur, most of the 4,096."""
+    cells = np.flatnonzero(counts)
+    packed = np.empty(len(cells), _CELL)
+    packed["cell"], packed["n"] = cells, np.minimum(counts[cells], 2**31 - 1)
+    return packed.tobytes()
+
+
+def _unpack(rows: list[bytes]) -> np.ndarray:
+    counts = np.zeros((len(rows), CELLS), np.int32)
+    for k, row in enumerate(rows):
+        packed = np.frombuffer(row, _CELL)
+        counts[k, packed["cell"]] = packed["n"]
+    return counts
+
+
 def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [np.minimum(n, 2**31 - 1).astype(np.int32).tobytes() for _, n in _counts(batch.column(1))]
+        rows = [_pack(n) for _, n in _counts(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["label", "counts"])
 
 
@@ -127,20 +147,30 @@ def _cluster(v: np.ndarray) -> np.ndarray:
 
 def train(labels: list[str], counts: np.ndarray) -> Model | None:
     """Fit the model to trigram counts of labelled texts."""
-    keep = counts.sum(1) > 0
-    labels, counts = np.array(labels, object)[keep], counts[keep]
+    return _train(labels, [_pack(n) for n in counts])
+
+
+def _train(labels: list[str], packed: list[bytes]) -> Model | None:
+    """Fit the model to packed counts, of which one language's or some hundred are unpacked at a time."""
+    keep = [k for k, row in enumerate(packed) if row]
+    labels, packed = np.array([labels[k] for k in keep], object), [packed[k] for k in keep]
     if not len(labels):
         return None
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
+    seen = np.zeros(CELLS, np.int64)
+    for row in packed:
+        seen[np.frombuffer(row, _CELL)["cell"]] += 1
+    idf = (np.log((1 + len(packed)) / (1 + seen)) + 1).astype(np.float32)
     model = Model(idf, np.zeros((0, CELLS), np.float32), np.zeros(0, np.int64), sorted(set(labels)), np.zeros((0, BANDS)))
-    v, groups = model.vectors(counts), []
-    for language in model.languages:
-        groups.append(_cluster(v[labels == language]))
+    groups = [_cluster(model.vectors(_unpack([packed[k] for k in np.flatnonzero(labels == language)]))) for language in model.languages]
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-    found, cosine = model.nearest(v)
+    judged = []
+    for k in range(0, len(packed), 256):
+        counts = _unpack(packed[k : k + 256])
+        judged.append((*model.nearest(model.vectors(counts)), _bands(counts)))
+    found, cosine, bands = (np.concatenate(x) for x in zip(*judged, strict=True))
     right = np.array(model.languages, object)[found] == labels
-    model.least = _lines(cosine, _bands(counts), found, right, len(groups))
+    model.least = _lines(cosine, bands, found, right, len(groups))
     return model
 
 
@@ -151,9 +181,8 @@ def fit(docs: DataFrame) -> Model | None:
     table = rows.mapInArrow(_vectorise, "label string, counts binary").toArrow()
     if not len(table):
         return None
-    order = sorted(range(len(table)), key=lambda i: (table["label"][i].as_py(), table["counts"][i].as_py()))
-    labels = [table["label"][i].as_py() for i in order]
-    return train(labels, np.stack([np.frombuffer(table["counts"][i].as_py(), np.int32) for i in order]))
+    labels, packed = zip(*sorted(zip(table["label"].to_pylist(), table["counts"].to_pylist(), strict=True)), strict=True)
+    return _train(labels, packed)
 
 
 def _has_letter(text: str | None) -> bool:

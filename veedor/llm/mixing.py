@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veedor.llm.storage import cut, lookup, running_sums
+from veedor.llm.storage import cut, is_few, lookup, running_sums
 
 #: Weights by place in the order of sources, repeating; what the mix holds of all words; the most of one source.
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
@@ -46,9 +46,10 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     by cap over weight, those full are a prefix, which running sums find without iterating.
     """
     weight = f"element_at(array({', '.join(f'{w}D' for w in WEIGHTS)}), cast((_place - 1) % {len(WEIGHTS)} + 1 AS int)) AS _weight"
-    ranked = running_sums(sizes.selectExpr("*", f"{_SOURCE} AS _order", "1L AS _one"), ["_order"], {"_place": "_one"})
+    few = is_few(sizes)
+    ranked = running_sums(sizes.selectExpr("*", f"{_SOURCE} AS _order", "1L AS _one"), ["_order"], {"_place": "_one"}, few)
     ranked = ranked.selectExpr("*", weight, f"cast({CAP} * source_size AS double) AS _most").selectExpr("*", "_most / _weight AS _ratio")
-    ranked = cut(running_sums(ranked, ["_ratio", "_place"], {"_filled": "_most", "_past": "_weight"}))
+    ranked = cut(running_sums(ranked, ["_ratio", "_place"], {"_filled": "_most", "_past": "_weight"}, few))
     whole, weights = ranked.agg(SHARE * F.sum("source_size"), F.sum("_weight")).first()
     rest, open_ = f"({whole or 0:.1f}D - (_filled - _most))", f"({weights or 0:.1f}D - (_past - _weight))"
     level = ranked.selectExpr(f"max(CASE WHEN _ratio * {open_} >= {rest} THEN {rest} / {open_} END)").first()[0]
@@ -76,7 +77,7 @@ def streams(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
 def draw_sources(sources: DataFrame, seed: int) -> DataFrame:
     """The multinomial draw: one row per slot of the mix, ``shard, place, source_key``, before it is balanced."""
     spark = sources.sparkSession
-    known = cut(running_sums(sources.filter("slots > 0"), ["source_key"], {"high": "slots"}))
+    known = cut(running_sums(sources.filter("slots > 0"), ["source_key"], {"high": "slots"}, is_few(sources)))
     total = known.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0]
     step = total // BUCKETS + 1
     ranges = known.selectExpr("source_key", "high - slots AS low", "high", f"explode(sequence((high - slots) div {step}L, (high - 1) div {step}L)) AS bucket")
@@ -95,7 +96,7 @@ def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
     # The keys of each round of the permutations, of one permutation for every time that all blocks are used.
     keys = f"transform(sequence(1, {CAP}), c -> transform(sequence(1, {ROUNDS}), i -> pmod(xxhash64({seed}, source_key, c, i), blocks))) AS keys"
     known = known.selectExpr("*", "greatest(n - slots, 0L) AS over", "greatest(slots - n, 0L) AS under", keys)
-    known = cut(running_sums(known, ["source_key"], {"overs": "over", "unders": "under"}))
+    known = cut(running_sums(known, ["source_key"], {"overs": "over", "unders": "under"}, is_few(sources)))
     numbered = drawn.join(lookup(known.drop("keys")), "source_key").selectExpr("shard", "place", "source_key", "upto - first AS k", "slots", "overs - over AS begin")
     # Slots beyond a source's target and those that others lack are as many; both are numbered through.
     spare = numbered.filter("k >= slots").selectExpr("shard", "place", "begin + k - slots AS number")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from veedor.sources.shared import cut
 
-__all__ = ["attach_groups", "cut", "fold_of", "keep_possible", "labelled_sample", "lookup", "running_sums", "shuffle_width", "small_batches"]
+__all__ = ["attach_groups", "cut", "fold_of", "is_few", "keep_possible", "labelled_sample", "lookup", "running_sums", "shuffle_width", "small_batches"]
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -91,18 +91,26 @@ def fold_of(folds: int):
 FEW = 100_000
 
 
+def is_few(side: DataFrame) -> bool:
+    """Whether a checkpointed side, counted, has no more than ``FEW`` rows."""
+    return side.limit(FEW + 1).count() <= FEW
+
+
 def lookup(side: DataFrame) -> DataFrame:
     """Mark a checkpointed side for broadcast if its counted rows are few, and for a merge join if not."""
-    return F.broadcast(side) if side.limit(FEW + 1).count() <= FEW else side.hint("merge")
+    return F.broadcast(side) if is_few(side) else side.hint("merge")
 
 
-def running_sums(rows: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
+def running_sums(rows: DataFrame, order: list[str], sums: dict[str, str], few: bool = False) -> DataFrame:
     """Add running sums over all ``rows`` in ``order``, each row included: new column -> summed column.
 
     Rows are dealt by ranges of ``order``, so a key with many rows is spread over as many tasks as its
     further columns allow; sums run within each range, and those of whole ranges are added to them.
-    ``rows`` are read twice, as the ranges are found by sampling.
+    ``rows`` are read twice, as the ranges are found by sampling. Rows that are known to be few are
+    summed in one task.
     """
+    if few:
+        return rows.selectExpr("*", *(f"sum({c}) OVER (ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING) AS {n}" for n, c in sums.items()))
     dealt = cut(rows.repartitionByRange(shuffle_width(rows.sparkSession), *order).withColumn("_range", F.spark_partition_id()))
     whole = dealt.groupBy("_range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
     # As many rows as there are shuffle partitions.
