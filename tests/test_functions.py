@@ -1,8 +1,11 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from veedor.functions import numbers as n
 from veedor.functions import text as t
+from veedor.plans import catalogue
 
 
 def one(spark, column, **values):
@@ -51,3 +54,18 @@ def test_alias_keeps_or_drops_unknown_names(spark):
     assert one(spark, t.alias("v", {"a b": "x"}), v=" A  B ") == "x"
     assert one(spark, t.alias("v", {"a": "x"}), v="Zed") is None and one(spark, t.alias("v", {"a": "x"}, True), v="Zed") == "zed"
     assert F is not None
+
+
+def digests(spark, folder, query, *columns):
+    """Rows of a query over documents, by their text: what each column is the digest of, where that is among the texts given."""
+    texts = dict(enumerate(columns[0]))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    want = [tuple(None if x is None else hashlib.md5(x.encode()).hexdigest() for x in row) for row in zip(*columns[1:], strict=True)]
+    return [tuple(r)[1:] for r in catalogue.QUERIES[query](spark, str(folder)).orderBy("doc_id").collect()], want
+
+
+def test_slugs_have_the_words_and_blanks_of_the_sql(spark, tmp_path):
+    texts = ["é x² ½", "!!", "", None, "a\xa0b\x0bc ", "ΑΣ ΟΔΟΣ", "a‿b ⓐ_ࡰ", " -\n"]
+    got, want = digests(spark, tmp_path, "slug_unicode", texts, ["e-x²-½", "", "", None, "abc", "ασ-οδοσ", "ab-ࡰ", ""])
+    assert got == want
+    assert one(spark, t.slug_unicode("v"), v="é x² \x1c½") == "e-x²-½" and one(spark, t.slug_unicode("v"), v="a\xa0b") == "a-b"

@@ -9,30 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPACE = r"[\s\x1c-\x1f]"
+#: What stands for white space and for words within brackets of a pattern; Java's ``\\w`` has marks and joiners too, and neither powers nor fractions.
+_SPACE = r"\s\x1c-\x1f"
+_WORD = r"\p{L}\p{N}_"
+#: Letters and numbers of Unicode 14 and 15, which the patterns of Java 17 do not know.
+_NEWER = "".join("-".join(rf"\x{{{end}}}" for end in ends.split("-")) for ends in (
+    "870-887 889-88e 8b5 8c8-8c9 c5d cdd 170d 171f 1b4c 2c2f 2c5f 9ffd-9fff a7c0-a7c1 a7d0-a7d1 a7d3 a7d5-a7d9 a7f2-a7f4 10570-1057a 1057c-1058a 1058c-10592 10594-10595 "
+    "10597-105a1 105a3-105b1 105b3-105b9 105bb-105bc 10780-10785 10787-107b0 107b2-107ba 10f70-10f81 11071-11072 11075 1123f-11240 11740-11746 11ab0-11abf 11f02 11f04-11f10 "
+    "11f12-11f33 11f50-11f59 12f90-12ff0 1342f 13441-13446 16a70-16abe 16ac0-16ac9 1aff0-1aff3 1aff5-1affb 1affd-1affe 1b11f-1b122 1b132 1b155 1d2c0-1d2d3 1df00-1df1e "
+    "1df25-1df2a 1e030-1e06d 1e290-1e2ad 1e4d0-1e4eb 1e4f0-1e4f9 1e7e0-1e7e6 1e7e8-1e7eb 1e7ed-1e7ee 1e7f0-1e7fe 2a6de-2a6df 2b735-2b739 31350-323af "
+).split())
 
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip(c) -> Column:
+def strip(c, space: str = _SPACE) -> Column:
     """Remove white space at both ends."""
-    return F.regexp_replace(col(c), rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(col(c), rf"(?U)^[{space}]+|[{space}]+\z", "")
 
 
-def collapse(c) -> Column:
+def collapse(c, space: str = _SPACE) -> Column:
     """Strip, and turn each run of white space into one blank."""
-    return F.trim(F.regexp_replace(col(c), rf"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(col(c), rf"(?U)[{space}]+", " "))
 
 
 def blank_to_null(c) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
-def normalize_space(c) -> Column:
+def normalize_space(c, space: str = _SPACE + r"\ufeff") -> Column:
     """Byte order marks count as white space; an empty result is null."""
-    return blank_to_null(collapse(F.regexp_replace(col(c), "﻿", " ")))
+    return blank_to_null(collapse(c, space))
 
 
 def clean_text(c) -> Column:
@@ -45,10 +54,10 @@ def upper_text(c) -> Column:
     return F.upper(clean_text(c))
 
 
-def clean_identity(c) -> Column:
+def clean_identity(c, space: str = _SPACE) -> Column:
     """Collapse white space, then delete all but word characters and ``-/().,+``; empty is null."""
-    kept = F.regexp_replace(collapse(c), r"(?U)[^\w\s\-/().,+]", "")
-    return clean_text(kept)
+    kept = F.regexp_replace(collapse(c, space), rf"(?U)[^{_WORD}{space}\-/().,+{_NEWER}]", "")
+    return blank_to_null(strip(kept, space))
 
 
 def key_text(c) -> Column:
@@ -61,10 +70,10 @@ def slug_ascii(c) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(strip(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
-def slug_unicode(c) -> Column:
+def slug_unicode(c, space: str = _SPACE) -> Column:
     """Lower case; signs are deleted, runs of blanks, underscores and hyphens become one hyphen."""
-    kept = F.regexp_replace(F.lower(strip(c)), r"(?U)[^\w\s-]", "")
-    return blank_to_null(F.regexp_replace(F.regexp_replace(kept, r"(?U)[\s_-]+", "-"), "^-+|-+$", ""))
+    kept = F.regexp_replace(F.lower(strip(c, space)), rf"(?U)[^{_WORD}{space}{_NEWER}-]", "")
+    return blank_to_null(F.regexp_replace(F.regexp_replace(kept, rf"(?U)[{space}_-]+", "-"), "^-+|-+$", ""))
 
 
 def canon(c) -> Column:
